@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import bpe, quality
 
 QUERIES = {
+    "op9_byte_bpe": bpe.op9_byte_bpe,
     "op8_quality_rules": quality.op8_quality_rules,
 }
 
