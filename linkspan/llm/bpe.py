@@ -193,11 +193,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", to: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
-            for a, b in chunks(texts):
-                flat, n = bpe.encode(texts[a:b])
+            for a, texts in chunks(batch.column("__text")):
+                flat, n = bpe.encode(texts)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, b - a) for c in cols], ids], names=[*cols, to])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, len(texts)) for c in cols], ids], names=[*cols, to])
 
     schema = T.StructType([*kept, T.StructField(to, T.ArrayType(T.IntegerType(), False), True)])
     return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
@@ -211,7 +210,9 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", to: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            raw = [bpe.decode(x or []) for x in batch.column(ids).to_pylist()]
+            lists = batch.column(ids)
+            flat, at = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
+            raw = [bpe.decode(flat[a:b].tolist()) if ok else b"" for a, b, ok in zip(at, at[1:], lists.is_valid().to_pylist(), strict=False)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in cols], pa.array(raw, pa.binary())], names=[*cols, to])
 
     return df.select(*[F.col(f"`{c}`") for c in cols]).mapInArrow(run, T.StructType([*kept, T.StructField(to, T.BinaryType(), True)]))

@@ -10,13 +10,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Characters of text handled at a time in a worker.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text handled at a time in a worker.
+CHUNK_BYTES = 1_000_000
 
 
 class PieceStore:
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
         """``encode``: pieces -> ids of all of them one after the other, and the number of ids of each."""
         self.encode, self.limit = encode, limit
         self._clear()
@@ -56,13 +57,15 @@ class PieceStore:
         return flat, np.diff(bounds[upto])
 
 
-def chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` with about CHUNK_CHARS characters each; a longer text is a range of its own."""
+def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Slices of a text column as (first row, texts), null as empty, with about CHUNK_BYTES each; a longer text is a
+    slice of its own. Only one slice at a time is held as Python strings."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = size = 0
-    for k, text in enumerate(texts):
-        if size and size + len(text) > CHUNK_CHARS:
-            yield start, k
+    for k, n in enumerate(sizes.tolist()):
+        if size and size + n > CHUNK_BYTES:
+            yield start, [t or "" for t in texts.slice(start, k - start).to_pylist()]
             start, size = k, 0
-        size += len(text)
+        size += n
     if start < len(texts):
-        yield start, len(texts)
+        yield start, [t or "" for t in texts.slice(start).to_pylist()]

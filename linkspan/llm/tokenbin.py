@@ -81,11 +81,11 @@ def load(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _serialized(texts: list[str], tokenizer: str, end_id: int) -> Iterator[bytes]:
+def _serialized(texts: pa.Array, tokenizer: str, end_id: int) -> Iterator[bytes]:
     word = load(tokenizer)
     end = np.array([end_id], "<u4")
-    for a, b in chunks(texts):
-        flat, n = word.encode(texts[a:b])
+    for _, some in chunks(texts):
+        flat, n = word.encode(some)
         at = 0
         for k in n.tolist():
             yield np.concatenate([flat[at : at + k].astype("<u4"), end]).tobytes()
@@ -99,7 +99,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID, samp
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [r for r in _serialized([t or "" for t in batch.column(0).to_pylist()], tokenizer, end_id) if len(r) <= 4 * most_ids]
+            raw = [r for r in _serialized(batch.column(0), tokenizer, end_id) if len(r) <= 4 * most_ids]
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.binary())], names=["ids"])
 
     some = docs.select("text").where(F.length("text") <= 16 * most_ids).orderBy(F.xxhash64("text")).limit(sample)
@@ -143,8 +143,8 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
         index, offset, start = [], 64, 0
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
-            if texts and out is None:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            if ids and out is None:
                 fs, top = _open(folder)
                 name = f"{part:06d}-{uuid.uuid4().hex}.tok"
                 out = fs.open_output_stream(f"{top}/{name}")
