@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, pii, quality, tokenbin
+from . import bpe, linededup, pii, quality, tokenbin
 
 QUERIES = {
+    "op10_line_dedup": linededup.op10_line_dedup,
     "op3_pii": pii.op3_pii,
     "op7_token_files": tokenbin.op7_token_files,
     "op9_byte_bpe": bpe.op9_byte_bpe,
