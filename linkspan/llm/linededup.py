@@ -1,12 +1,13 @@
 """Line dedup by winnowing over line hashes. DataFrame functions only.
 
 A run is a sequence of lines (lines without a word don't count) of ``min_words`` words or more in all. For each line
-the window is the shortest run that starts there; its fingerprint is the least line hash in it. Two texts that share a
-run share the window at its start, so they select the same fingerprint with the same window: no shared run is missed.
-Positions with equal fingerprint and window are joined with the first of them (smallest doc_id, text hash, line); each
-match is extended both ways, line by line, over up to ``min_words`` words, so a run ends where the texts differ, not
-where the last window ends. All lines of the later run are deleted; the first stays. Deleting can't lose a line: each
-deleted line equals one at an earlier position, and the first of all is never later than another.
+there are two windows: the shortest run that starts there, and the shortest that ends there. A window's fingerprint is
+the least line hash in it. Two texts that share a run share all windows in it, so they select the same fingerprints:
+no shared run is missed. Positions with equal fingerprint and window hash are joined with the first of them (smallest
+doc_id, text hash, line), and the lines of every later one are deleted. The match is thereby extended both ways to the
+whole run: a line of it with ``min_words`` words from it to the run's end starts a forward window in the run, and any
+other lies in the backward window that ends the run. Deleting can't lose a line: each deleted line equals one at an
+earlier position, and the first of all is later than none.
 
 Work is linear: a fingerprint with a million positions is joined with one first position, never pairwise. Counts and
 minima are combined before the shuffle; Spark splits the hot keys of the join.
@@ -17,8 +18,9 @@ document and lose the same lines. Lines are compared as they are, by 64-bit hash
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import WS_RUN, table
 
@@ -26,56 +28,28 @@ from .common import WS_RUN, table
 MIN_WORDS = 50
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, th and the lines with words: pos (in the text), h and w (words, at most MIN_WORDS counted exactly)."""
-    df = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n").alias("lines"))
-    df = df.withColumn("full", F.transform("lines", lambda x, i: F.struct(i.alias("pos"), F.xxhash64(x).alias("h"), F.size(F.array_remove(F.split(x, WS_RUN), "")).alias("w"))))
-    return df.select("doc_id", "th", F.filter("full", lambda x: x["w"] > 0).alias("l"))
-
-
 def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each window: its fingerprint fp, its hash key, its first and last line, and the lines of fewer than
-    ``min_words`` words in all that a match may be extended over: behind (nearest first) and ahead."""
-    df = _lines(docs)
-    n = F.size("l")
-
-    def reach(seq: Column) -> Column:
-        """The index of ``seq`` at which min_words are reached, -1 if they aren't. As each line has a word, min_words lines are enough to look at."""
-        start = F.struct(F.lit(0).alias("sum"), F.lit(-1).alias("at"))
-        return F.aggregate(seq, start, lambda a, j: F.when(a["sum"] >= min_words, a).otherwise(F.struct((a["sum"] + F.col("l")[j]["w"]).alias("sum"), F.when(a["sum"] + F.col("l")[j]["w"] >= min_words, j).otherwise(F.lit(-1)).alias("at"))), lambda a: a["at"])
-
-    forth = lambda i: F.when(i < n, F.sequence(i, F.least(i + min_words, n) - 1)).otherwise(F.array().cast("array<int>"))
-    back = lambda i: F.when(i >= 0, F.sequence(i, F.greatest(i - min_words + 1, F.lit(0)), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    df = df.withColumn("ends", F.transform("l", lambda x, i: F.struct(i.alias("a"), reach(forth(i)).alias("b"))))
-    df = df.withColumn("ends", F.filter("ends", lambda s: s["b"] >= 0)).where(F.size("ends") > 0)
-    side = lambda seq: F.transform(seq, lambda j: F.struct(F.col("l")[j]["pos"].alias("pos"), F.col("l")[j]["h"].alias("h")))
-    stop = lambda seq, at: F.when(at < 0, seq).otherwise(F.filter(seq, lambda j: F.abs(j - F.element_at(seq, 1)) < F.abs(at - F.element_at(seq, 1))))
-
-    def window(s: Column) -> Column:
-        a, b = s["a"], s["b"]
-        hashes = F.transform(F.slice("l", a + 1, b - a + 1), lambda x: x["h"])
-        return F.struct(F.col("l")[a]["pos"].alias("first"), F.col("l")[b]["pos"].alias("last"), F.array_min(hashes).alias("fp"), F.xxhash64(hashes).alias("key"), side(stop(back(a - 1), reach(back(a - 1)))).alias("behind"), side(stop(forth(b + 1), reach(forth(b + 1)))).alias("ahead"))
+    """doc_id, th, and for each window, forward or backward, its first and last line, fingerprint fp and hash key.
 
-    return df.select("doc_id", "th", F.inline(F.transform("ends", window)))
+    With s the words before a line and c those up to its end, the shortest run from line i holds the lines with s in
+    [s_i, s_i + min_words - 1], and the shortest run to it those with c in [c_i - min_words + 1, c_i]: RANGE frames."""
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
+    rows = rows.select("doc_id", "th", "pos", F.xxhash64("line").alias("h"), F.size(F.array_remove(F.split("line", WS_RUN), "")).cast("bigint").alias("w")).where("w > 0")
+    own = W.partitionBy("doc_id", "th")
+    rows = rows.dropDuplicates(["doc_id", "th", "pos"]).withColumn("c", F.sum("w").over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))).withColumn("s", F.col("c") - F.col("w"))
+    forth, back = own.orderBy("s").rangeBetween(0, min_words - 1), own.orderBy("c").rangeBetween(1 - min_words, 0)
+    run = lambda frame, first, last, low, high: F.struct(first.alias("first"), last.alias("last"), F.min("h").over(frame).alias("fp"), F.xxhash64(F.collect_list("h").over(frame)).alias("key"), (high - low >= min_words).alias("full"))
+    rows = rows.withColumn("f", run(forth, F.col("pos"), F.max("pos").over(forth), F.col("s"), F.max("c").over(forth)))
+    rows = rows.withColumn("b", run(back, F.min("pos").over(back), F.col("pos"), F.min("s").over(back), F.col("c")))
+    return rows.select("doc_id", "th", F.explode_outer(F.array_distinct(F.array("f", "b"))).alias("r")).where("r.full").select("doc_id", "th", "r.first", "r.last", "r.fp", "r.key")
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, th (xxhash64 of the text) and gone: the ascending positions of the lines that a document loses."""
     win = windows(docs, min_words)
-    at = F.struct("doc_id", "th", "first")
-    firsts = win.groupBy("fp", "key").agg(F.min(F.struct("doc_id", "th", "first", "behind", "ahead")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "key", "f")
-    same = win.join(firsts, ["fp", "key"]).where(at != F.struct("f.doc_id", "f.th", "f.first"))
-
-    def common(side: str) -> Column:
-        """Positions on one side up to the first difference."""
-        ours, theirs = F.col(side), F.col(f"f.{side}")
-        pairs = F.zip_with(ours, theirs, lambda x, y: F.coalesce(x["h"] == y["h"], F.lit(False)))
-        equal = F.when(F.array_position(pairs, False) > 0, F.array_position(pairs, False) - 1).otherwise(F.size(ours)).cast("int")
-        return F.transform(F.slice(ours, F.lit(1), equal), lambda x: x["pos"])
-
-    low = F.coalesce(F.get(common("behind"), F.size(common("behind")) - 1), F.col("first"))
-    high = F.coalesce(F.get(common("ahead"), F.size(common("ahead")) - 1), F.col("last"))
-    lost = same.select("doc_id", "th", F.explode(F.sequence(low, high)).alias("pos"))
+    firsts = win.groupBy("fp", "key").agg(F.min(F.struct("doc_id", "th", "first")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "key", "f")
+    same = win.join(firsts, ["fp", "key"]).where(F.struct("doc_id", "th", "first") != F.col("f"))
+    lost = same.select("doc_id", "th", F.explode_outer(F.sequence("first", "last")).alias("pos"))
     return lost.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
 
