@@ -57,15 +57,20 @@ class PieceStore:
         return flat, np.diff(bounds[upto])
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Slices of a text column as (first row, texts), null as empty, with about CHUNK_BYTES each; a longer text is a
-    slice of its own. Only one slice at a time is held as Python strings."""
+def slices(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of a text column with about ``most`` bytes each; a longer text is a range of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = size = 0
     for k, n in enumerate(sizes.tolist()):
-        if size and size + n > CHUNK_BYTES:
-            yield start, [t or "" for t in texts.slice(start, k - start).to_pylist()]
+        if size and size + n > most:
+            yield start, k
             start, size = k, 0
         size += n
     if start < len(texts):
-        yield start, [t or "" for t in texts.slice(start).to_pylist()]
+        yield start, len(texts)
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Slices of a text column as (first row, texts), null as empty. Only one slice at a time is held as Python strings."""
+    for a, b in slices(texts):
+        yield a, [t or "" for t in texts.slice(a, b - a).to_pylist()]

@@ -21,6 +21,7 @@ Null ids come first. An empty table has no files. Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import uuid
 import zlib
@@ -29,47 +30,69 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_dir, table
-from .pieces import PieceStore, chunks
+from .pieces import PieceStore, slices
 
 MAGIC, TAIL, VERSION = b"LSPTOK01", b"TOK1", 1
 NO_ID = -(2**63)
 ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("start", "<u8"), ("n", "<u4")])
 END_ID = 1
+#: Words of plain letters; distinct words that a Python worker remembers.
+PLAIN, WORDS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch, 800_000
 #: Documents of the dictionary's sample, and the most ids that one of them may have.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 4096, 65536, 3
 
 
 class WordTokenizer:
-    """A tokenizer of the tokenizers library whose pre-tokens never span white space, so words can be encoded one by
-    one. U+001C to U+001F are white space for str.split but not for the tokenizer: texts with one are encoded whole."""
-
+    """A tokenizer of the tokenizers library that lower-cases, and whose pre-tokens never span white space: words can be
+    encoded one by one. To have fewer distinct words, two changes are made that the tokenizer makes or doesn't notice:
+    A-Z become lower case where the text has no character over U+02FF (such texts are in normal form C either way), and
+    a word ends before a full stop or comma after a letter, which always starts a pre-token."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.store = PieceStore(self._encode)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends_word = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+        self.store = PieceStore(self._encode, WORDS)
 
     def _encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, lens = [], np.empty(len(pieces), np.int64)
-        for k in range(0, len(pieces), 20_000):
-            for i, x in enumerate(self.tokenizer.encode_batch_fast(pieces[k : k + 20_000], add_special_tokens=False), k):
-                got = x.ids
-                ids += got
-                lens[i] = len(got)
-        return np.array(ids, np.int32), lens
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Words of plain letters are one pre-token each and are encoded in lines of many, others one by one."""
+        lens, ids = np.empty(len(pieces), np.int64), [None, None]
+        plain = np.fromiter(map(bool, map(PLAIN, pieces)), bool, len(pieces))
+        places = [np.flatnonzero(plain), np.flatnonzero(~plain)]
+        words = [pieces[i] for i in places[0]]
+        lines = [" ".join(words[k : k + 100]) for k in range(0, len(words), 100)]
+        ids[0] = np.array([i for x in self._batches(lines) for i in x], np.int32)
+        last = np.flatnonzero(self.ends_word[ids[0]])
+        lens[plain] = np.diff(last, prepend=-1)
+        each = list(self._batches([pieces[i] for i in places[1]]))
+        lens[~plain] = np.fromiter(map(len, each), np.int64, len(each))
+        ids[1] = np.array([i for x in each for i in x], np.int32)
+        flat, starts = np.empty(int(lens.sum()), np.int32), np.cumsum(lens) - lens
+        for at, own in zip(places, ids, strict=True):
+            n = lens[at]
+            flat[np.arange(len(own)) + np.repeat(starts[at] - (np.cumsum(n) - n), n)] = own
+        return flat, lens
+
+    def _batches(self, texts: list[str]) -> Iterator[list[int]]:
+        for k in range(0, len(texts), 5000):
+            for x in self.tokenizer.encode_batch_fast(texts[k : k + 5000], add_special_tokens=False):
+                yield x.ids
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and the number of ids of each."""
-        cut = [[t] if any(c in t for c in "\x1c\x1d\x1e\x1f") else t.split() for t in texts]
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        return self.store.lay_out(pa.array([w for x in cut for w in x], pa.string()), counts)
+        texts = pc.fill_null(texts, "")
+        lower = pc.replace_substring_regex(pc.ascii_lower(texts), pattern=r"([a-z])([.,])", replacement=r"\1 \2")
+        cut = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(texts, pattern=r"[^\x{0}-\x{2FF}]"), texts, lower))
+        return self.store.lay_out(cut.flatten(), np.diff(cut.offsets.to_numpy()))
 
 
 @lru_cache(maxsize=2)
@@ -84,8 +107,8 @@ def load(path: str) -> WordTokenizer:
 def _serialized(texts: pa.Array, tokenizer: str, end_id: int) -> Iterator[bytes]:
     word = load(tokenizer)
     end = np.array([end_id], "<u4")
-    for _, some in chunks(texts):
-        flat, n = word.encode(some)
+    for a, b in slices(texts, 4_000_000):
+        flat, n = word.encode(texts.slice(a, b - a))
         at = 0
         for k in n.tolist():
             yield np.concatenate([flat[at : at + k].astype("<u4"), end]).tobytes()
