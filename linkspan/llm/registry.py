@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, mixing, pii, quality, tokenbin
+from . import bpe, linededup, mixing, ngramjoin, pii, quality, tokenbin
 
 QUERIES = {
+    "op2_ngram_jaccard": ngramjoin.op2_ngram_jaccard,
     "op1_mixing": mixing.op1_mixing,
     "op10_line_dedup": linededup.op10_line_dedup,
     "op3_pii": pii.op3_pii,
