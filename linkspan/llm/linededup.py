@@ -33,7 +33,8 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     With s the words before a line and c those up to its end, the shortest run from line i holds the lines with s in
     [s_i, s_i + min_words - 1], and the shortest run to it those with c in [c_i - min_words + 1, c_i]: RANGE frames."""
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
+    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n").alias("lines"))
+    rows = rows.select("doc_id", "th", F.posexplode_outer("lines").alias("pos", "line"))
     rows = rows.select("doc_id", "th", "pos", F.xxhash64("line").alias("h"), F.size(F.array_remove(F.split("line", WS_RUN), "")).cast("bigint").alias("w")).where("w > 0")
     own = W.partitionBy("doc_id", "th")
     rows = rows.dropDuplicates(["doc_id", "th", "pos"]).withColumn("c", F.sum("w").over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))).withColumn("s", F.col("c") - F.col("w"))
