@@ -38,6 +38,8 @@ from .common import Scratch, table
 N, THRESHOLD = 5, (75, 100)
 #: Members of a block, min-hashes of a document, counters of token frequencies.
 BLOCK, KEYS, BUCKETS = 256, 3, 1 << 18
+#: Prefix tokens that a part of the search holds, about.
+PART = 1_000_000
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
 
 
@@ -113,6 +115,93 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
     return run
 
 
+HEAD = np.dtype([("id", "<i8"), ("root", "<i8"), ("cut", "<i4"), ("n", "<i4"), ("k", "<i8")])
+
+
+def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray):
+    """Rows (id, n, root, cut, probe, n_index) -> rows (part, query, heads, tokens): for each part of the token range,
+    documents with their tokens there, as bytes. Query tokens of a range go to one of its parts, index tokens to all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, 2000):
+                yield from deal(whole.slice(a, 2000))
+
+    def deal(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lists = batch.column(4)
+        start = lists.offsets.to_numpy()
+        every = lists.values.to_numpy().view(np.uint64)[start[0] : start[-1]]
+        n_of = np.diff(start)
+        doc = np.repeat(np.arange(batch.num_rows), n_of)
+        place = np.arange(len(every)) - np.repeat(start[:-1] - start[0], n_of)
+        ids, n, root, cut, n_index = (batch.column(c).to_numpy() for c in (0, 1, 2, 3, 5))
+        range_of = np.searchsorted(bounds, every >> np.uint64(64 - 18), "right") - 1
+        rows: list[tuple[int, int, bytes, bytes]] = []
+        for query in (0, 1):
+            use = np.ones(len(every), bool) if query else place < n_index[doc]
+            t, d, r = every[use], doc[use], range_of[use]
+            part = first[r] + (d % salts[r] if query else 0)
+            by = np.lexsort((d, part))
+            t, d, part, r = t[by], d[by], part[by], r[by]
+            for x, y in zip(cuts := np.flatnonzero(np.diff(part, prepend=-1)), [*cuts[1:], len(part)], strict=True):
+                heads = np.flatnonzero(np.diff(d[x:y], prepend=-1))
+                who = d[x:y][heads]
+                h = np.zeros(len(who), HEAD)
+                h["id"], h["root"], h["cut"], h["n"], h["k"] = ids[who], root[who], cut[who], n[who], np.diff([*heads, y - x])
+                for salt in range(1 if query else int(salts[r[x]])):
+                    rows.append((int(part[x]) + salt, query, h.tobytes(), t[x:y].tobytes()))
+        if rows:
+            a, b, c, e = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.binary()), pa.array(e, pa.binary())], names=["part", "query", "heads", "tokens"])
+
+    return run
+
+
+def _searched(threshold: tuple[int, int]):
+    """Rows of _dealt, sorted by part and query -> (id, root, cut) of the blocks that a document's bound doesn't rule out."""
+    up, down = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, matrix = None, [], None
+        for batch in batches:
+            found = []
+            for key, query, heads, raw in zip(*(batch.column(c) for c in range(4)), strict=True):
+                if key.as_py() != part:
+                    part, held, matrix = key.as_py(), [], None
+                h, t = np.frombuffer(heads.as_buffer(), HEAD), np.frombuffer(raw.as_buffer(), np.uint64)
+                if not query.as_py():
+                    held.append((h, t))
+                    continue
+                if not held:
+                    continue
+                if matrix is None:
+                    matrix = union(held)
+                tokens_, root, cut, low, high = matrix
+                doc = np.repeat(np.arange(len(h)), h["k"])
+                a, b = np.searchsorted(tokens_, t, "left"), np.searchsorted(tokens_, t, "right")
+                for x in range(0, len(t), step := 20_000):
+                    lo, m = a[x : x + step], (b - a)[x : x + step]
+                    at = np.repeat(lo - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
+                    q = h[np.repeat(doc[x : x + step], m)]
+                    ok = (q["root"] != root[at]) & (low[at] <= q["n"]) & (high[at].astype(np.int64) * down >= q["n"].astype(np.int64) * up)
+                    if ok.any():
+                        found.append(np.unique(np.stack([q["id"][ok], root[at][ok], cut[at][ok]]), axis=1))
+            some = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((3, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in some], names=["id", "root", "cut"])
+
+    def union(held: list) -> tuple[np.ndarray, ...]:
+        """The token-group matrix of a part: (token, block) once, with the least and largest set size of the block's members there."""
+        h, t = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+        doc = np.repeat(np.arange(len(h)), h["k"])
+        root, cut, n = h["root"][doc], h["cut"][doc], h["n"][doc]
+        by = np.lexsort((cut, root, t))
+        t, root, cut, n = t[by], root[by], cut[by], n[by]
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(t) != 0) | (np.diff(root) != 0) | (np.diff(cut) != 0)]))
+        return t[new], root[new], cut[new].astype(np.int64), np.minimum.reduceat(n, new), np.maximum.reduceat(n, new)
+
+    return run
+
+
 def _packed(n: int):
     """Text in the last column -> its tokens as bytes."""
 
@@ -165,6 +254,18 @@ def _opened(threshold: tuple[int, int]):
     return run
 
 
+def _ranges(counts: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of the leading bits of tokens with about PART prefix tokens each: their first counters, the number of
+    parts of each (over 1 where a single counter has more), and the number of the first part."""
+    share = 1 - threshold[0] / threshold[1]
+    load = np.maximum(counts * share, 1)
+    most = min(PART, max(1.0, load.sum() / 24))
+    bounds = np.flatnonzero(np.diff((np.cumsum(load) - load) // most, prepend=-1))
+    of = np.add.reduceat(load, bounds)
+    salts = np.maximum(1, of // (2 * most)).astype(np.int64)
+    return bounds, salts, np.cumsum(salts) - salts
+
+
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(id, root) of every id in ``edges`` (a, b): root is the smallest id of its component. Large-star and small-star
     steps alternate until the edges no longer change; each step is an aggregation and a join."""
@@ -210,12 +311,8 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     sets = measured.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"))
     named = scratch.write(measured.where("n > 0 and id is not null").join(sets, "digest").select("id", "rep"), "named")
     same = named.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = named.select(F.col("rep").alias("id")).distinct()
-
-    prefix = scratch.write(docs.where("id is not null").mapInArrow(_prefixes(n, threshold, order), "id bigint, n bigint, keys array<bigint>, probe array<bigint>, n_index int"), "prefix-all")
-    prefix = scratch.write(prefix.join(reps, "id", "left_semi"), "prefix")
-    scratch.drop("prefix-all")
-    _free(spark)
+    prefix = scratch.write(docs.where("id is not null").mapInArrow(_prefixes(n, threshold, order), "id bigint, n bigint, keys array<bigint>, probe array<bigint>, n_index int"), "prefix")
+    narrow = prefix.select("id", "n", "keys").join(named.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
 
     def opened(rows: DataFrame, name: str) -> DataFrame:
         """Edges from rows (id, block, query). Texts travel once, sets once for each block."""
@@ -229,7 +326,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
         return edges
 
     # Round 1: stars around the smallest document of each min-hash.
-    keyed = prefix.select("id", F.posexplode_outer("keys").alias("which", "key"))
+    keyed = narrow.select("id", F.posexplode_outer("keys").alias("which", "key"))
     pivots = keyed.groupBy("which", "key").agg(F.min("id").alias("block"), F.count(F.lit(1)).alias("m")).where("m > 1").select("which", "key", "block")
     stars = keyed.join(pivots, ["which", "key"]).where("id <> block").select("id", "block").distinct()
     stars = scratch.write(stars, "stars")
@@ -239,17 +336,21 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     groups = scratch.write(groups, "groups")
 
     # Round 2: the token-group matrix over blocks of the groups.
-    placed = prefix.join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    sized = placed.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    cut = F.when(F.col("m") > BLOCK, F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / BLOCK))).otherwise(F.lit(0))
-    placed = placed.join(sized, "root").withColumn("block", F.xxhash64("root", cut.cast("bigint"))).select("id", "n", "root", "block", "probe", "n_index")
-    placed = scratch.write(placed, "placed")
-    matrix = placed.select("root", "block", "n", F.explode_outer(F.slice("probe", F.lit(1), F.col("n_index"))).alias("token")).groupBy("token", "root", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    asked = placed.select("id", "n", F.col("root").alias("own"), F.explode_outer("probe").alias("token"))
-    up, down = threshold
-    fits = (F.col("own") != F.col("root")) & (F.col("low") <= F.col("n")) & (F.col("high") * down >= F.col("n") * up)
-    found = scratch.write(asked.join(matrix, "token").where(fits).select("id", "block").distinct(), "found")
-    members = placed.join(found.select("block").distinct(), "block", "left_semi").select("id", "block", F.lit(0).alias("query"))
+    placed = narrow.select("id", "n").dropDuplicates(["id"]).join(groups, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    sized = placed.groupBy("root").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > BLOCK)
+    cut = F.coalesce(F.pmod(F.xxhash64("id"), F.ceil(F.col("m") / BLOCK)), F.lit(0)).cast("int")
+    placed = scratch.write(placed.join(sized, "root", "left").select("id", "root", cut.alias("cut")), "placed")
+    bounds, salts, first = _ranges(counts, threshold)
+    input_ = prefix.select("id", F.col("n").cast("int").alias("n"), "probe", "n_index").join(placed, "id").select("id", "n", "root", "cut", "probe", "n_index")
+    dealt = input_.mapInArrow(_dealt(bounds, salts, first), "part bigint, query int, heads binary, tokens binary")
+    dealt = dealt.repartition("part").sortWithinPartitions("part", "query")
+    found = scratch.write(dealt.mapInArrow(_searched(threshold), "id bigint, root bigint, cut bigint").distinct(), "found")
+    scratch.drop("prefix")
+    _free(spark)
+    block = F.xxhash64("root", F.col("cut").cast("bigint")).alias("block")
+    wanted = found.select("root", F.col("cut").cast("int").alias("cut")).distinct()
+    members = placed.join(wanted, ["root", "cut"], "left_semi").select("id", block, F.lit(0).alias("query"))
+    found = found.select("id", block)
     far = opened(found.select("id", "block", F.lit(1).alias("query")).unionByName(members), "far")
 
     roots = scratch.write(components(spark, near.unionByName(far).unionByName(same), scratch), "roots")
