@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, linededup, mixing, ngramjoin, pii, quality, tokenbin
+from . import bpe, chat, langid, linededup, mixing, ngramjoin, pii, quality, tokenbin
 
 QUERIES = {
+    "op5_language_id": langid.op5_language_id,
+    "op6_chat_format": chat.op6_chat_format,
     "op2_ngram_jaccard": ngramjoin.op2_ngram_jaccard,
     "op1_mixing": mixing.op1_mixing,
     "op10_line_dedup": linededup.op10_line_dedup,
