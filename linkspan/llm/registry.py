@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, langid, linededup, mixing, ngramjoin, pii, quality, tokenbin
+from . import ann, bpe, chat, langid, linededup, mixing, ngramjoin, pii, quality, tokenbin
 
 QUERIES = {
+    "op4_nearest": ann.op4_nearest,
     "op5_language_id": langid.op5_language_id,
     "op6_chat_format": chat.op6_chat_format,
     "op2_ngram_jaccard": ngramjoin.op2_ngram_jaccard,
