@@ -9,7 +9,8 @@ Documents with equal sets count as one (its smallest doc_id). The join then goes
   of another group only if its bound allows a match: tokens are ordered from rare to frequent, and a document whose
   overlap with a smaller member reaches the threshold must share one of its first n - ceil(t n) + 1 tokens with that
   member's first n - ceil(2t / (1 + t) n) + 1. If none is in the union, or all sizes in the block are out of range,
-  the bound on the overlap is below what is needed. Opened blocks are compared with the query exactly, member by
+  the bound on the overlap is below what is needed. A second bound, from bit parities of whole sets, rules out most of
+  the rest: sets differ by as many tokens as their parities by bits, at least. Opened blocks are compared with the query exactly, member by
   member, until one links (a block is connected already, so one link is all that counts).
 
 Both rounds stream through ``_opened``: rows sorted by block, members first, so a task holds one block at a time.
@@ -64,6 +65,23 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[str]:
             yield t or ""
 
 
+def parities(t: np.ndarray) -> bytes:
+    """Parities of a set in 2 to 4 bits a token: bit i is odd if an odd number of tokens end in i. Two sets differ by as
+    many tokens as their parities by bits, at least; halves of a longer one are folded by exclusive or."""
+    size = 1 << max(6, len(t).bit_length() + 1)
+    counts = np.bincount((t & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: np.ndarray, b: np.ndarray) -> int:
+    """Lower bound of the number of tokens in which two sets differ, from their parities as bytes."""
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) > len(b):
+        a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _measure(n: int):
     """Each document's set size and digest; at the end of a task the counts of its tokens by bucket, as rows without a digest."""
 
@@ -84,7 +102,7 @@ def _measure(n: int):
 
 
 def _prefixes(n: int, threshold: tuple[int, int], order):
-    """id, n, min-hash keys, tokens of the prefix from rare to frequent, and how many of them are index tokens."""
+    """id, n, min-hash keys, tokens of the prefix from rare to frequent, how many of them are index tokens, and parities."""
     up, down = threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +119,7 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
                 first = t[np.lexsort((t, counts[(t >> np.uint64(64 - 18)).astype(np.int64)]))[:probe]]
                 x = t[:, None] * MIX[None, :KEYS]
                 keys = (x ^ (x >> np.uint64(32))).min(axis=0)
-                rows.append((ids[k], size, keys.view(np.int64), first.view(np.int64), min(index, probe)))
+                rows.append((ids[k], size, keys.view(np.int64), first.view(np.int64), min(index, probe), parities(t)))
                 if len(rows) == 500:
                     yield _batch(rows)
                     rows = []
@@ -109,8 +127,8 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
                 yield _batch(rows)
 
     def _batch(rows: list) -> pa.RecordBatch:
-        a, b, c, d, e = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int64())), pa.array(d, pa.list_(pa.int64())), pa.array(e, pa.int32())], names=["id", "n", "keys", "probe", "n_index"])
+        a, b, c, d, e, f = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.list_(pa.int64())), pa.array(d, pa.list_(pa.int64())), pa.array(e, pa.int32()), pa.array(f, pa.binary())], names=["id", "n", "keys", "probe", "n_index", "bits"])
 
     return run
 
@@ -215,6 +233,29 @@ def _packed(n: int):
     return run
 
 
+def _bounded(threshold: tuple[int, int]):
+    """Rows (block, query, id, n, bits) sorted by block and query, members first -> (id, block, query) of the queries
+    whose bound on the overlap with some member of the block reaches the threshold."""
+    up, down = threshold
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, members = None, []
+        for batch in batches:
+            ids, blocks = [], []
+            for key, query, doc, n, raw in zip(*(batch.column(c).to_pylist() for c in range(4)), batch.column(4), strict=True):
+                if key != block:
+                    block, members = key, []
+                bits = np.frombuffer(raw.as_buffer(), np.uint8)
+                if not query:
+                    members.append((n, bits))
+                elif any(least_difference(bits, b) * (up + down) <= (n + m) * (down - up) for m, b in members if m * down >= n * up and n * down >= m * up):
+                    ids.append(doc)
+                    blocks.append(key)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blocks, pa.int64())], names=["id", "block"])
+
+    return run
+
+
 def _opened(threshold: tuple[int, int]):
     """Rows (block, query, id, set) sorted by block and query, members (query 0) first -> edges (a, b), one for each
     query that links with the block."""
@@ -311,11 +352,20 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     sets = measured.where("n > 0 and id is not null").groupBy("digest").agg(F.min("id").alias("rep"))
     named = scratch.write(measured.where("n > 0 and id is not null").join(sets, "digest").select("id", "rep"), "named")
     same = named.where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    prefix = scratch.write(docs.where("id is not null").mapInArrow(_prefixes(n, threshold, order), "id bigint, n bigint, keys array<bigint>, probe array<bigint>, n_index int"), "prefix")
+    prefix = scratch.write(docs.where("id is not null").mapInArrow(_prefixes(n, threshold, order), "id bigint, n bigint, keys array<bigint>, probe array<bigint>, n_index int, bits binary"), "prefix")
     narrow = prefix.select("id", "n", "keys").join(named.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
 
-    def opened(rows: DataFrame, name: str) -> DataFrame:
-        """Edges from rows (id, block, query). Texts travel once, sets once for each block."""
+    facts = prefix.select("id", "n", "bits")
+
+    def opened(asked: DataFrame, members: DataFrame, name: str) -> DataFrame:
+        """Edges from queries and members, both (id, block). Blocks are opened for the queries whose bound, from set
+        sizes and parities, allows a link. Texts travel once, sets once for each open block."""
+        ask, hold = asked.select("block", F.lit(1).alias("query"), "id"), members.select("block", F.lit(0).alias("query"), "id")
+        known = ask.unionByName(hold).join(facts, "id").select("block", "query", "id", "n", "bits")
+        known = known.repartition("block").sortWithinPartitions("block", "query")
+        kept = scratch.write(known.mapInArrow(_bounded(threshold), "id bigint, block bigint"), f"{name}-kept")
+        hold = hold.join(kept.select("block").distinct(), "block", "left_semi").select("id", "block", "query")
+        rows = kept.select("id", "block", F.lit(1).alias("query")).unionByName(hold)
         uses = rows.groupBy("id").agg(F.collect_set(F.struct("block", "query")).alias("uses"))
         texts = docs.join(uses, "id").select("id", "text", "uses")
         packed = texts.mapInArrow(_packed(n), "id bigint, uses array<struct<block:bigint,query:int>>, set binary")
@@ -331,7 +381,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     stars = keyed.join(pivots, ["which", "key"]).where("id <> block").select("id", "block").distinct()
     stars = scratch.write(stars, "stars")
     hubs = stars.select(F.col("block").alias("id"), "block").distinct()
-    near = opened(stars.select("id", "block", F.lit(1).alias("query")).unionByName(hubs.select("id", "block", F.lit(0).alias("query"))), "near")
+    near = opened(stars, hubs, "near")
     groups = components(spark, near.unionByName(same), scratch)
     groups = scratch.write(groups, "groups")
 
@@ -345,13 +395,12 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     dealt = input_.mapInArrow(_dealt(bounds, salts, first), "part bigint, query int, heads binary, tokens binary")
     dealt = dealt.repartition("part").sortWithinPartitions("part", "query")
     found = scratch.write(dealt.mapInArrow(_searched(threshold), "id bigint, root bigint, cut bigint").distinct(), "found")
-    scratch.drop("prefix")
     _free(spark)
     block = F.xxhash64("root", F.col("cut").cast("bigint")).alias("block")
     wanted = found.select("root", F.col("cut").cast("int").alias("cut")).distinct()
-    members = placed.join(wanted, ["root", "cut"], "left_semi").select("id", block, F.lit(0).alias("query"))
+    members = placed.join(wanted, ["root", "cut"], "left_semi").select("id", block)
     found = found.select("id", block)
-    far = opened(found.select("id", "block", F.lit(1).alias("query")).unionByName(members), "far")
+    far = opened(found, members, "far")
 
     roots = scratch.write(components(spark, near.unionByName(far).unionByName(same), scratch), "roots")
     out = measured.select("id", "n").join(roots, "id", "left")
