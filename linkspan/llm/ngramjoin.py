@@ -367,7 +367,8 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
         hold = hold.join(kept.select("block").distinct(), "block", "left_semi").select("id", "block", "query")
         rows = kept.select("id", "block", F.lit(1).alias("query")).unionByName(hold)
         uses = rows.groupBy("id").agg(F.collect_set(F.struct("block", "query")).alias("uses"))
-        texts = docs.join(uses, "id").select("id", "text", "uses")
+        # Hashed by id at every size: no sort of texts, and the same plan for small and large inputs.
+        texts = docs.join(uses.hint("shuffle_hash"), "id").select("id", "text", "uses")
         packed = texts.mapInArrow(_packed(n), "id bigint, uses array<struct<block:bigint,query:int>>, set binary")
         flat = packed.select(F.explode_outer("uses").alias("u"), "id", "set").select("u.block", "u.query", "id", "set")
         flat = flat.repartition("block").sortWithinPartitions("block", "query")
