@@ -21,13 +21,13 @@ CTES = {
     "rec": "SELECT 'S' || (1 + doc_id % 3)::INT || '-' || lpad(doc_id::VARCHAR, 7, '0') AS entity_id, substr(text, 1, 40) AS business_name, substr(text, 41, 60) AS business_address, lang AS country, (1 + doc_id % 3)::INT AS source, doc_id AS source_row, md5(text) AS twin FROM documents",
     "s1": "SELECT entity_id AS s1_id, country, source_row AS s1_row FROM rec WHERE source = 1",
     "truth": "SELECT o.s1_id, r.entity_id AS cand_id FROM rec r JOIN (SELECT twin, min(entity_id) AS s1_id FROM rec WHERE source = 1 GROUP BY twin) o USING (twin) WHERE r.source <> 1",
-    "names": f"SELECT *, list_filter({_FOLD.format('business_name')}, lambda x: x NOT IN {_list(t.NAME_STOPWORDS)}) AS nt, {_PLAIN.format(f'list_filter({_FOLD.format("business_address")}, lambda x: x NOT IN {_list(t.ADDRESS_STOPWORDS)})')} AS at FROM rec",
-    "tok": "SELECT entity_id, source, country, 'n' AS field, unnest(list_distinct(nt)) AS token FROM names UNION ALL SELECT entity_id, source, country, 'a', unnest(list_distinct(at)) FROM names",
+    "names": f"SELECT *, list_filter({_FOLD.format('business_name')}, lambda x: x NOT IN {_list(t.NAME_STOPWORDS)}) AS nt, {_PLAIN.format(f'list_filter({_FOLD.format("business_address")}, lambda x: x NOT IN {_list(t.ADDRESS_STOPWORDS)})')} AS adt FROM rec",
+    "tok": "SELECT entity_id, source, country, 'n' AS field, unnest(list_distinct(nt)) AS token FROM names UNION ALL SELECT entity_id, source, country, 'a', unnest(list_distinct(adt)) FROM names",
     "df": "SELECT country, field, token, count(*) AS df FROM tok GROUP BY ALL",
     "idf": "SELECT d.*, round(ln((n + 1) / df) * 1000000)::BIGINT AS idf_micro FROM df d JOIN (SELECT country, count(*)::DOUBLE AS n FROM rec GROUP BY country) USING (country)",
     "w": "SELECT *, CASE field WHEN 'n' THEN idf_micro ELSE round(idf_micro * 1.5::DOUBLE)::BIGINT END AS weight FROM idf",
     "pool": f"SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS combined, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS name_score FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df <= {CONFIG.max_df} AND l.source = 1 AND r.source <> 1 GROUP BY ALL",
-    "flags": "SELECT entity_id, (CASE WHEN regexp_matches(business_name, '[\\x{0250}-\\x{10FFFF}]') AND regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}') THEN 1 ELSE 0 END + CASE WHEN len(at) = 0 THEN 2 ELSE 0 END)::INT AS flags FROM names",
+    "flags": "SELECT entity_id, (CASE WHEN regexp_matches(business_name, '[\\x{0250}-\\x{10FFFF}]') AND regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}') THEN 1 ELSE 0 END + CASE WHEN len(adt) = 0 THEN 2 ELSE 0 END)::INT AS flags FROM names",
     "marked": "SELECT p.*, f.flags <> 0 AS sparse FROM pool p JOIN flags f ON f.entity_id = p.cand_id",
     "ranked": "SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id) AS rank FROM pool",
     "run": f"SELECT *, floor(100 * combined / (combined + 10000000)) / 100.0 AS prob FROM ranked WHERE rank <= {CONFIG.top_k}",
@@ -60,14 +60,14 @@ BODY = {
     "scan_records": "SELECT entity_id, business_name, business_address, country, source, source_row FROM rec",
     "country_counts": "SELECT country, count(*) AS n_records FROM rec GROUP BY country",
     "source_profile": "SELECT source, count(*) AS n_records, count(DISTINCT entity_id) AS n_ids, count(DISTINCT country) AS n_countries, "
-    "count_if(business_name = '') AS empty_name, count_if(business_address = '') AS empty_address, count_if(coalesce(country, '') = '') AS empty_country, "
-    "count_if(regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}')) AS nonlatin_name, count_if(regexp_matches(regexp_replace(business_address, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}')) AS nonlatin_address, "
-    "count_if(regexp_matches(business_name, '[^\\x00-\\x7F]')) AS nonascii_name, count_if(regexp_matches(business_name, '[0-9]')) AS name_with_digit, count_if(regexp_matches(business_address, '[0-9]')) AS address_with_digit, "
-    "count_if(regexp_matches(business_name, '(?i)\\.(com|in|net|org|co|fr)\\b')) AS domain_name, count_if(regexp_matches(business_name, '(?i)\\b(dba|d\\.b\\.a\\.?|fka|formerly known as|aka)\\b')) AS alias_name, "
-    "count_if(regexp_matches(business_name, '\\p{L}') AND upper(business_name) = business_name) AS upper_name, count_if(regexp_matches(business_name, '\\p{L}') AND lower(business_name) = business_name) AS lower_name, "
-    f"count_if(trim(business_name) <> business_name) AS padded_name, count_if(business_name IN {_list(t.NULL_LITERALS)}) AS null_literal_name, count_if(business_address IN {_list(t.NULL_LITERALS)}) AS null_literal_address, "
-    "count_if(regexp_extract(translate(business_address, '#,', '  '), '(?:^|\\s)0*(\\d+)', 1) <> '') AS house_number, "
-    + ", ".join(f"count_if(contains(business_name, '{v.replace(chr(39), chr(39) * 2)}')) AS name_{k}" for k, v in t.PUNCTUATION.items())
+    "count_if(business_name = '')::BIGINT AS empty_name, count_if(business_address = '')::BIGINT AS empty_address, count_if(coalesce(country, '') = '')::BIGINT AS empty_country, "
+    "count_if(regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}'))::BIGINT AS nonlatin_name, count_if(regexp_matches(regexp_replace(business_address, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}'))::BIGINT AS nonlatin_address, "
+    "count_if(regexp_matches(business_name, '[^\\x00-\\x7F]'))::BIGINT AS nonascii_name, count_if(regexp_matches(business_name, '[0-9]'))::BIGINT AS name_with_digit, count_if(regexp_matches(business_address, '[0-9]'))::BIGINT AS address_with_digit, "
+    "count_if(regexp_matches(business_name, '(?i)\\.(com|in|net|org|co|fr)\\b'))::BIGINT AS domain_name, count_if(regexp_matches(business_name, '(?i)\\b(dba|d\\.b\\.a\\.?|fka|formerly known as|aka)\\b'))::BIGINT AS alias_name, "
+    "count_if(regexp_matches(business_name, '\\p{L}') AND upper(business_name) = business_name)::BIGINT AS upper_name, count_if(regexp_matches(business_name, '\\p{L}') AND lower(business_name) = business_name)::BIGINT AS lower_name, "
+    f"count_if(trim(business_name) <> business_name)::BIGINT AS padded_name, count_if(business_name IN {_list(t.NULL_LITERALS)})::BIGINT AS null_literal_name, count_if(business_address IN {_list(t.NULL_LITERALS)})::BIGINT AS null_literal_address, "
+    "count_if(regexp_extract(translate(business_address, '#,', '  '), '(?:^|\\s)0*(\\d+)', 1) <> '')::BIGINT AS house_number, "
+    + ", ".join(f"count_if(contains(business_name, '{v.replace(chr(39), chr(39) * 2)}'))::BIGINT AS name_{k}" for k, v in t.PUNCTUATION.items())
     + ", max(length(business_name))::INT AS max_name, max(length(business_address))::INT AS max_address FROM rec GROUP BY source",
     "tokens_name": "SELECT entity_id, token FROM tok WHERE field = 'n'",
     "tokens_address": "SELECT entity_id, token FROM tok WHERE field = 'a'",
@@ -105,12 +105,12 @@ BODY = {
         SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id)::INT AS rank FROM p QUALIFY rank <= 3""",
     "rescue_channel": "WITH p AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(idf_micro)::BIGINT AS combined, 0::BIGINT AS name_score FROM idf JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE l.field = 'a' AND df <= 20 AND l.source = 1 AND r.source <> 1 GROUP BY ALL), q AS (SELECT * FROM p ANTI JOIN (SELECT * FROM ranked WHERE rank <= 2) x USING (s1_id, cand_id)) SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id)::INT AS rank FROM q QUALIFY rank <= 3",
     "label_pairs": "SELECT s1_id, cand_id, label FROM lab",
-    "truth_summary": "SELECT (SELECT count(*) FROM s1) AS n_s1, (SELECT count(*) FROM s1 ANTI JOIN truth USING (s1_id)) AS singletons, (SELECT max(k) FROM (SELECT count(t.cand_id) AS k FROM s1 LEFT JOIN truth t USING (s1_id) GROUP BY s1_id)) AS most_matches, count(*) AS links, count_if(starts_with(cand_id, 'S2-')) AS links_s2, count_if(starts_with(cand_id, 'S3-')) AS links_s3, count(DISTINCT cand_id) AS linked, (SELECT count(*) FROM (SELECT 1 FROM truth GROUP BY cand_id HAVING count(DISTINCT s1_id) > 1)) AS several_s1 FROM truth",
+    "truth_summary": "SELECT (SELECT count(*) FROM s1) AS n_s1, (SELECT count(*) FROM s1 ANTI JOIN truth USING (s1_id)) AS singletons, (SELECT max(k) FROM (SELECT count(t.cand_id) AS k FROM s1 LEFT JOIN truth t USING (s1_id) GROUP BY s1_id)) AS most_matches, count(*) AS links, count_if(starts_with(cand_id, 'S2-'))::BIGINT AS links_s2, count_if(starts_with(cand_id, 'S3-'))::BIGINT AS links_s3, count(DISTINCT cand_id) AS linked, (SELECT count(*) FROM (SELECT 1 FROM truth GROUP BY cand_id HAVING count(DISTINCT s1_id) > 1)) AS several_s1 FROM truth",
     "match_histogram": "SELECT k AS n_matches, count(*) AS n_s1 FROM (SELECT count(t.cand_id) AS k FROM s1 LEFT JOIN truth t USING (s1_id) GROUP BY s1_id) GROUP BY k",
-    "token_changes": f"WITH x AS (SELECT {_WORDS.format('an')} AS a, {_WORDS.format('bn')} AS b FROM texts), c AS (SELECT 'added' AS kind, unnest(list_distinct(list_filter(b, lambda y: NOT list_contains(a, y)))) AS token FROM x UNION ALL SELECT 'removed', unnest(list_distinct(list_filter(a, lambda y: NOT list_contains(b, y)))) FROM x) SELECT kind, token, count(*) AS n FROM c GROUP BY ALL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, token) <= 25",
-    "pair_recall_by_group": "WITH m AS (SELECT t.*, s.country, r.cand_id IS NOT NULL AS f FROM truth t JOIN s1 s USING (s1_id) LEFT JOIN run r USING (s1_id, cand_id)) SELECT grp, value, count(*) AS n_true, count_if(f) AS n_found FROM (SELECT f, 'all' AS grp, 'all' AS value FROM m UNION ALL SELECT f, 'country', country FROM m UNION ALL SELECT f, 'source', substr(cand_id, 1, 2) FROM m) GROUP BY grp, value",
+    "token_changes": f"WITH x AS (SELECT {_WORDS.format('an')} AS a, {_WORDS.format('bn')} AS b FROM texts), c AS (SELECT 'added' AS kind, unnest(list_distinct(list_filter(b, lambda y: NOT list_contains(a, y)))) AS token FROM x UNION ALL SELECT 'removed', unnest(list_distinct(list_filter(a, lambda y: NOT list_contains(b, y)))) FROM x) SELECT kind, token, count(*) AS n FROM c GROUP BY kind, token QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, token) <= 25",
+    "pair_recall_by_group": "WITH m AS (SELECT t.*, s.country, r.cand_id IS NOT NULL AS f FROM truth t JOIN s1 s USING (s1_id) LEFT JOIN run r USING (s1_id, cand_id)) SELECT grp, value, count(*) AS n_true, count_if(f)::BIGINT AS n_found FROM (SELECT f, 'all' AS grp, 'all' AS value FROM m UNION ALL SELECT f, 'country', country FROM m UNION ALL SELECT f, 'source', substr(cand_id, 1, 2) FROM m) GROUP BY grp, value",
     "jaccard_pairs": f"SELECT s1_id, cand_id, round({_JACC.format('a', 'b')}, 9) AS jaccard FROM (SELECT s1_id, cand_id, list_distinct({_WORDS.format('an')}) AS a, list_distinct({_WORDS.format('bn')}) AS b FROM texts)",
-    "jaro_winkler_pairs": "SELECT s1_id, cand_id, round(jaro_winkler_similarity(an, bn), 6) AS jaro_winkler FROM texts WHERE an <> '' OR bn <> ''",
+    "jaro_winkler_pairs": "SELECT s1_id, cand_id, round(jaro_winkler_similarity(x, y), 6) AS jaro_winkler FROM (SELECT s1_id, cand_id, regexp_replace(lower(an), '[^\\x00-\\x7F]', '', 'g') AS x, regexp_replace(lower(bn), '[^\\x00-\\x7F]', '', 'g') AS y FROM texts) WHERE x <> '' OR y <> ''",
     "num_features": f"""WITH x AS (SELECT s1_id, cand_id, {_DIGITS.format(_ADDRESS.format('aa'))} AS a, {_DIGITS.format(_ADDRESS.format('ba'))} AS b, list_distinct({_NODIGITS.format(_ADDRESS.format('aa'))}) AS u, list_distinct({_NODIGITS.format(_ADDRESS.format('ba'))}) AS v FROM texts)
         SELECT s1_id, cand_id, len(list_intersect(a, b))::INT AS num_shared_n, len(list_distinct(list_filter(a, lambda y: NOT list_contains(b, y))))::INT AS num_only_s1_n, len(list_distinct(list_filter(b, lambda y: NOT list_contains(a, y))))::INT AS num_only_cand_n,
         CASE WHEN len(a) = 0 OR len(b) = 0 THEN -1 ELSE (len(list_filter(a, lambda y: len(list_filter(b, lambda z: y <> z AND least(length(y), length(z)) >= 2 AND (starts_with(y, z) OR starts_with(z, y)))) > 0)) > 0)::INT END AS num_prefix, round({_JACC.format('u', 'v')}, 6) AS addr_word_jacc FROM x""",
@@ -125,7 +125,7 @@ BODY = {
     "top_two": "SELECT cand_id, max(prob) FILTER (WHERE r = 1) AS t1, max(prob) FILTER (WHERE r = 2) AS t2 FROM (SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id) AS r FROM run) GROUP BY cand_id",
     "cross_gap": "SELECT s1_id, cand_id, round(coalesce(CASE WHEN prob >= t1 THEN prob - t2 ELSE prob - t1 END, 0), 6) AS gap FROM (SELECT *, max(prob) OVER (PARTITION BY cand_id) AS t1, nth_value(prob, 2) OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS t2 FROM run)",
     "exclusive_winner": "SELECT * FROM won",
-    "hybrid_candidates": "SELECT * FROM hybrid",
+    "hybrid_candidates": "SELECT s1_id, cand_id, coalesce(base_rank, 0) AS base_rank, coalesce(deep_rank, 0) AS deep_rank, origin, hybrid_rank FROM hybrid",
     "merge_deep": f"SELECT s1_id, cand_id, 0 AS is_deep FROM acc UNION ALL (SELECT s1_id, cand_id, 1 FROM hyb ANTI JOIN acc a USING (cand_id) WHERE origin = 1 AND prob >= {DEEP_THRESHOLD} QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id) = 1)",
     "meta_context": f"""SELECT s1_id, cand_id, s1_top1, s1_top2, s1_top3, above_30, above_50, above_70, above_90, prob_sum, s1_base_top1, s1_deep_top1, s1_n_cands, prob_pos_in_s1, round(s1_top1 - s1_top2, 6) AS gap12 FROM (
         SELECT *, coalesce(nth_value(prob, 1) OVER o, 0) AS s1_top1, coalesce(nth_value(prob, 2) OVER o, 0) AS s1_top2, coalesce(nth_value(prob, 3) OVER o, 0) AS s1_top3, {_levels('OVER s')}, round(sum(prob) OVER s, 6) AS prob_sum, coalesce(max(prob) FILTER (WHERE origin = 0) OVER s, 0) AS s1_base_top1, coalesce(max(prob) FILTER (WHERE origin = 1) OVER s, 0) AS s1_deep_top1, count(*) OVER s AS s1_n_cands, (row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, hybrid_rank) - 1)::INT AS prob_pos_in_s1
@@ -136,7 +136,7 @@ BODY = {
     "macro_f05": "SELECT round(avg(f05), 9) AS macro_f05, count(*) AS n_s1 FROM per",
     "threshold_grid": f"SELECT threshold, round(avg({_F05}), 9) AS macro_f05 FROM (SELECT g.threshold, s.s1_id, count(w.cand_id) FILTER (WHERE t.cand_id IS NOT NULL) AS tp, count(w.cand_id) AS n_pred, any_value(coalesce(n.k, 0)) AS n_true FROM s1 s, (SELECT unnest([{', '.join(map(str, GRID))}])::DOUBLE AS threshold) g LEFT JOIN won w ON w.s1_id = s.s1_id AND w.prob >= g.threshold LEFT JOIN truth t ON t.s1_id = w.s1_id AND t.cand_id = w.cand_id LEFT JOIN (SELECT s1_id, count(*) AS k FROM truth GROUP BY s1_id) n ON n.s1_id = s.s1_id GROUP BY ALL) GROUP BY threshold",
     "blocking_metrics": "WITH x AS (SELECT s.s1_id, s.country, (SELECT count(*) FROM run r JOIN truth t USING (s1_id, cand_id) WHERE r.s1_id = s.s1_id) AS tp, (SELECT count(*) FROM run r WHERE r.s1_id = s.s1_id) AS n, (SELECT count(*) FROM truth t WHERE t.s1_id = s.s1_id) AS n_true FROM s1 s) SELECT country, count(*) AS n_s1, round(sum(tp)::DOUBLE / nullif(sum(n_true), 0), 9) AS pair_recall, round(avg(CASE WHEN n_true = 0 THEN CASE WHEN tp = 0 THEN 1.0 ELSE 0.0 END ELSE 1.25 * tp / (tp + 0.25 * n_true) END), 9) AS ceiling, round(avg(n), 9) AS cands_per_s1, round(avg((tp = n_true)::INT), 9) AS all_true_retained FROM x GROUP BY ROLLUP (country)",
-    "overlap_runs": "WITH x AS (SELECT s.country, r.cand_id IS NOT NULL AS b, d.cand_id IS NOT NULL AS d, t.cand_id IS NOT NULL AS t FROM run r FULL JOIN deep d USING (s1_id, cand_id) LEFT JOIN truth t USING (s1_id, cand_id) JOIN s1 s USING (s1_id)) SELECT country, count_if(b AND NOT d) AS base_only, count_if(b AND d) AS both, count_if(NOT b AND d) AS deep_only, count_if(b AND NOT d AND t) AS base_only_true, count_if(b AND d AND t) AS both_true, count_if(NOT b AND d AND t) AS deep_only_true FROM x GROUP BY ROLLUP (country)",
+    "overlap_runs": "WITH x AS (SELECT s.country, r.cand_id IS NOT NULL AS b, d.cand_id IS NOT NULL AS d, t.cand_id IS NOT NULL AS t FROM run r FULL JOIN deep d USING (s1_id, cand_id) LEFT JOIN truth t USING (s1_id, cand_id) JOIN s1 s USING (s1_id)) SELECT country, count_if(b AND NOT d)::BIGINT AS base_only, count_if(b AND d)::BIGINT AS both, count_if(NOT b AND d)::BIGINT AS deep_only, count_if(b AND NOT d AND t)::BIGINT AS base_only_true, count_if(b AND d AND t)::BIGINT AS both_true, count_if(NOT b AND d AND t)::BIGINT AS deep_only_true FROM x GROUP BY ROLLUP (country)",
     "pool_summary": "WITH p AS (SELECT list(k ORDER BY k) AS v, avg(k) AS m FROM (SELECT count(*)::DOUBLE AS k FROM pool GROUP BY s1_id)) SELECT round(m, 6) AS mean, v[1 + least(len(v) - 1, floor(0.5 * len(v)))::INT] AS median, v[1 + least(len(v) - 1, floor(0.95 * len(v)))::INT] AS p95, v[-1] AS max FROM p",
     "error_classes": f"SELECT CASE WHEN said THEN CASE WHEN label = 1 THEN 'TP' ELSE 'FP' END WHEN label = 0 THEN 'TN' WHEN prob::FLOAT >= {THRESHOLD}::FLOAT THEN 'FN3' ELSE 'FN2' END AS error, count(*) AS n FROM (SELECT l.*, l.prob::FLOAT >= {THRESHOLD}::FLOAT AND w.cand_id IS NOT NULL AS said FROM lab l LEFT JOIN won w USING (s1_id, cand_id)) GROUP BY 1",
     "missed_pairs": "SELECT DISTINCT s1_id, cand_id FROM truth ANTI JOIN run USING (s1_id, cand_id)",
@@ -148,7 +148,7 @@ BODY = {
     "true_by_accepted": "SELECT n_true, n_pred, count(*) AS n_s1 FROM per GROUP BY ALL",
     "match_output": "SELECT s1_row, s1_id, coalesce(string_agg(a.cand_id, ',' ORDER BY a.cand_id), '') AS ids FROM s1 LEFT JOIN acc a USING (s1_id) GROUP BY ALL",
     "candidate_output": "SELECT s1_row, s1_id, coalesce(string_agg(r.cand_id, ',' ORDER BY r.rank), '') AS ids FROM s1 LEFT JOIN run r USING (s1_id) GROUP BY ALL",
-    "validator_findings": "WITH l AS (SELECT s1_row, s1_id, CASE WHEN s1_row % 7 = 0 THEN [s1_id, s1_id] ELSE coalesce(list(a.cand_id ORDER BY a.cand_id) FILTER (WHERE a.cand_id IS NOT NULL), []) END AS ids FROM s1 LEFT JOIN acc a USING (s1_id) WHERE s1_row % 10 <> 0 GROUP BY ALL), f AS (SELECT s1_id, unnest(ids) AS id FROM l) SELECT * FROM (SELECT 'repeated id in a list' AS rule, count(*) AS n FROM (SELECT 1 FROM f GROUP BY s1_id, id HAVING count(*) > 1) UNION ALL SELECT 'S1 id in a list', count(*) FROM f WHERE starts_with(id, 'S1-') UNION ALL SELECT 'missing S1', count(*) FROM s1 ANTI JOIN l USING (s1_id)) WHERE n > 0",
+    "validator_findings": "WITH l AS (SELECT s1_row, s1_id, CASE WHEN s1_row % 7 = 0 THEN [s1_id, s1_id] ELSE coalesce(list(a.cand_id ORDER BY a.cand_id) FILTER (WHERE a.cand_id IS NOT NULL), []) END AS ids FROM s1 LEFT JOIN acc a USING (s1_id) WHERE s1_row % 10 <> 0 GROUP BY s1_row, s1_id), f AS (SELECT s1_id, unnest(ids) AS id FROM l) SELECT * FROM (SELECT 'repeated id in a list' AS rule, count(*) AS n FROM (SELECT 1 FROM f GROUP BY s1_id, id HAVING count(*) > 1) UNION ALL SELECT 'S1 id in a list', count(*) FROM f WHERE starts_with(id, 'S1-') UNION ALL SELECT 'missing S1', count(*) FROM s1 ANTI JOIN l USING (s1_id)) WHERE n > 0",
 }
 
 

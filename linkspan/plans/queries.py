@@ -93,6 +93,11 @@ def _words(c: str):
     return F.filter(F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}\p{M}]+", " ")), " "), lambda x: x != "")
 
 
+def _ascii(c: str):
+    """Lower case without characters beyond ASCII: DuckDB's metric compares bytes."""
+    return F.regexp_replace(F.lower(c), r"[^\x00-\x7F]", "")
+
+
 def _rarity(v: View) -> DataFrame:
     rec = v.records.select("entity_id", "country", t.core_words("business_name").alias("core"))
     side = lambda mark, key: rec.select(F.col("entity_id").alias(key), *([F.col("country")] if mark == "a" else []), F.col("core").alias(f"{mark}_core"))
@@ -160,7 +165,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "token_changes": lambda v: stats.token_changes(v.texts.select(_words("a_name").alias("s1_tokens"), _words("b_name").alias("cand_tokens"))),
     "pair_recall_by_group": lambda v: metrics.recall_by_group(v.truth.join(v.s1.select("s1_id", "country"), "s1_id"), v.run(CONFIG.top_k), {"country": F.col("country"), "source": F.substring("cand_id", 1, 2)}),
     "jaccard_pairs": lambda v: v.texts.select("s1_id", "cand_id", F.round(sim.jaccard(F.array_distinct(_words("a_name")), F.array_distinct(_words("b_name"))), 9).alias("jaccard")),
-    "jaro_winkler_pairs": lambda v: v.texts.where("a_name <> '' or b_name <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a_name", "b_name"), 6).alias("jaro_winkler")),
+    "jaro_winkler_pairs": lambda v: v.texts.select("s1_id", "cand_id", _ascii("a_name").alias("a"), _ascii("b_name").alias("b")).where("a <> '' or b <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a", "b"), 6).alias("jaro_winkler")),
     "indel_ratio_pairs": lambda v: v.texts.select("s1_id", "cand_id", sim.ratio_of("a_name", "b_name").alias("ratio"), sim.token_sort_of("a_name", "b_name").alias("tsort"), sim.token_set_of("a_name", "b_name").alias("tset"), sim.partial_of("a_name", "b_name").alias("partial")),
     "num_features": _numbers,
     "name_rarity": _rarity,
@@ -169,7 +174,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "top_two": lambda v: decide.top_two(v.scored(CONFIG.top_k), "prob"),
     "cross_gap": lambda v: decide.other_gap(v.scored(CONFIG.top_k), "prob", "gap").select("s1_id", "cand_id", F.round("gap", 6).alias("gap")),
     "exclusive_winner": lambda v: decide.exclusive(v.scored(CONFIG.top_k)).select("s1_id", "cand_id", "prob"),
-    "hybrid_candidates": lambda v: decide.hybrid_candidates(v.run(CONFIG.top_k), v.run(DEEP_K), CAP),
+    "hybrid_candidates": lambda v: decide.hybrid_candidates(v.run(CONFIG.top_k), v.run(DEEP_K), CAP).na.fill(0, ["base_rank", "deep_rank"]),
     "merge_deep": lambda v: decide.merge_deep(_accepted(v), v.hybrid.where(f"origin = 1 and prob >= {DEEP_THRESHOLD}")),
     "meta_context": lambda v: decide.meta_context(v.hybrid, ("hybrid_rank",)).select("s1_id", "cand_id", "s1_top1", "s1_top2", "s1_top3", *[F.col(f"`s1_n_above_{x}`").alias(f"above_{int(100 * x)}") for x in decide.LEVELS], F.round("s1_prob_sum", 6).alias("prob_sum"), "s1_base_top1", "s1_deep_top1", "s1_n_cands", "prob_pos_in_s1", F.round("gap12", 6).alias("gap12")),
     "meta_decide": lambda v: decide.meta_decide(v.hybrid.withColumnRenamed("prob", "score"), THRESHOLD, DEEP_THRESHOLD).select("s1_id", "cand_id", "origin", "score"),
