@@ -81,9 +81,9 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: list[float], of: list[
     scale = F.least(F.lit(1.0), F.lit(evidence) / F.greatest(F.col("m"), F.lit(1)))
     logs = sums.select("doc_id", "th", "n", F.array(*[F.lit(priors[k]) + scale * F.col(f"s{k}") for k in range(size)]).alias("g"))
     raised = logs.select("doc_id", "th", "n", F.transform("g", lambda x: F.exp(x - F.array_max("g"))).alias("e"))
-    total = F.aggregate("e", F.lit(0.0), lambda a, x: a + x)
+    raised = raised.withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
     domain = lambda d: sum((F.col("e")[k] for k in range(size) if of[k] == d), F.lit(0.0))
-    return raised.select("doc_id", "th", "n", F.array(*[F.round(domain(d) / total, 9) for d in range(max(of) + 1)]).alias("p"))
+    return raised.select("doc_id", "th", "n", F.array(*[F.round(domain(d) / F.col("total"), 9) for d in range(max(of) + 1)]).alias("p"))
 
 
 def solve(a: list[list[float]], b: list[float]) -> list[float]:
@@ -107,15 +107,17 @@ def fit_rates(soft: DataFrame, shares: list[float], keep: list[int], steps: int
     size = len(shares)
     p = [F.col("p")[k] for k in range(size)]
     n = F.col("n").cast("double")
-    first = soft.agg(*[F.sum(n * p[k]) for k in range(size)], *[F.sum(n * p[i] * p[j]) for i in range(size) for j in range(size)]).first()
-    have = [x or 0.0 for x in first[:size]]
+    # A row for each domain, not a sum for each pair of domains: the generated code stays small.
+    each = soft.select(n.alias("n"), "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").groupBy("i").agg(F.sum(F.col("n") * F.col("x")).alias("have"), *[F.sum(F.col("n") * F.col("x") * q).alias(f"g{j}") for j, q in enumerate(p)])
+    rows = {r.i: r for r in each.collect()}
+    have = [rows[k].have or 0.0 if k in rows else 0.0 for k in range(size)]
     rate: Column = F.lit(1.0)
     report = {"available": have, "wanted": have, "reached": have, "steps": 0}
     if not sum(have):
         return rate, report
     total = headroom * max([have[k] / shares[k] for k in keep if shares[k] > 0], default=sum(have))
     want = [total * s for s in shares]
-    gram = [[first[size + i * size + j] + (1e-9 * sum(have) if i == j else 0.0) for j in range(size)] for i in range(size)]
+    gram = [[((rows[i][f"g{j}"] or 0.0) if i in rows else 0.0) + (1e-9 * sum(have) if i == j else 0.0) for j in range(size)] for i in range(size)]
     reached = have
     for step in range(1, steps + 1):
         up = solve(gram, [w - r for w, r in zip(want, reached, strict=True)])

@@ -316,11 +316,10 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataF
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        large = scratch.write(large, f"large-{step}")
         small = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(small, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct()
         after = scratch.write(moved, f"edges-{step}")
-        scratch.drop(f"large-{step}", f"edges-{step - 1}")
+        scratch.drop(f"edges-{step - 1}")
         now = after
         new = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if new == mark:
