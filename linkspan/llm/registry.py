@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, chat, langid, linededup, mixing, ngramjoin, pii, quality, tokenbin
+from . import ann, bpe, chat, langid, linededup, mixing, ngramjoin, oracles, pii, quality, tokenbin
 
 QUERIES = {
     "op4_nearest": ann.op4_nearest,
@@ -17,4 +17,8 @@ QUERIES = {
     "op8_quality_rules": quality.op8_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op2_ngram_jaccard": oracles.OP2,
+    "op8_quality_rules": oracles.OP8,
+    "op10_line_dedup": oracles.OP10,
+}
