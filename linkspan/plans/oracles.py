@@ -151,6 +151,36 @@ BODY = {
     "validator_findings": "WITH l AS (SELECT s1_row, s1_id, CASE WHEN s1_row % 7 = 0 THEN [s1_id, s1_id] ELSE coalesce(list(a.cand_id ORDER BY a.cand_id) FILTER (WHERE a.cand_id IS NOT NULL), []) END AS ids FROM s1 LEFT JOIN acc a USING (s1_id) WHERE s1_row % 10 <> 0 GROUP BY s1_row, s1_id), f AS (SELECT s1_id, unnest(ids) AS id FROM l) SELECT * FROM (SELECT 'repeated id in a list' AS rule, count(*) AS n FROM (SELECT 1 FROM f GROUP BY s1_id, id HAVING count(*) > 1) UNION ALL SELECT 'S1 id in a list', count(*) FROM f WHERE starts_with(id, 'S1-') UNION ALL SELECT 'missing S1', count(*) FROM s1 ANTI JOIN l USING (s1_id)) WHERE n > 0",
 }
 
+_FLAGS = {
+    "same_country": "ac = bc",
+    "name_equal_raw": "an = bn",
+    "name_equal_folded": "af = bf",
+    "name_equal_without_stopwords": "a = b",
+    "share_name_token": "list_has_any(a, b)",
+    "first_name_token_equal": "coalesce(a[1] = b[1], false)",
+    "cand_name_nonlatin": "regexp_matches(regexp_replace(bn, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}')",
+    "cand_name_domain": "regexp_matches(bn, '(?i)\\.(com|in|net|org|co|fr)\\b')",
+    "cand_name_alias": "regexp_matches(bn, '(?i)\\b(dba|d\\.b\\.a\\.?|fka|formerly known as|aka)\\b')",
+    "cand_addr_empty": "len(y) = 0",
+    "cand_addr_nonlatin": "regexp_matches(regexp_replace(ba, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}')",
+    "house_number_equal": "ah <> '' AND ah = bh",
+    "share_2plus_addr_tokens": "len(list_intersect(x, y)) >= 2",
+    "no_name_overlap_but_addr_overlap": "NOT list_has_any(a, b) AND len(list_intersect(x, y)) >= 2",
+}
+_HOUSE = "regexp_extract(translate({}, '#,', '  '), '(?:^|\\s)0*(\\d+)', 1)"
+_NAMED = "list_filter(" + _FOLD + ", lambda x: x NOT IN " + _list(t.NAME_STOPWORDS) + ")"
+_PLACED = "list_distinct(list_filter(" + _FOLD + ", lambda x: x NOT IN " + _list(t.ADDRESS_STOPWORDS) + "))"
+BODY |= {
+    "pair_patterns": f"WITH q AS (SELECT r.cand_id, a.country AS ac, b.country AS bc, a.business_name AS an, b.business_name AS bn, b.business_address AS ba, {_FOLD.format('a.business_name')} AS af, {_FOLD.format('b.business_name')} AS bf, {_NAMED.format('a.business_name')} AS a, {_NAMED.format('b.business_name')} AS b, {_PLACED.format('a.business_address')} AS x, {_PLACED.format('b.business_address')} AS y, {_HOUSE.format('a.business_address')} AS ah, {_HOUSE.format('b.business_address')} AS bh FROM run r JOIN rec a ON a.entity_id = r.s1_id JOIN rec b ON b.entity_id = r.cand_id), "
+    "g AS (SELECT q.*, unnest(['all', ac, substr(cand_id, 1, 2)]) AS grp FROM q) SELECT grp, count(*) AS pairs, " + ", ".join(f"round(100.0::DOUBLE * (count(*) FILTER (WHERE {f})) / count(*), 6) AS {k}" for k, f in _FLAGS.items()) + " FROM g GROUP BY grp",
+    "blocking_losses": "SELECT CASE WHEN k.cand_id IS NOT NULL THEN 'kept' WHEN p.cand_id IS NOT NULL THEN 'pruned' ELSE 'not_blocked' END AS fate, count(*) AS n FROM truth t LEFT JOIN pool p USING (s1_id, cand_id) LEFT JOIN (SELECT s1_id, cand_id FROM ranked WHERE rank <= 1) k USING (s1_id, cand_id) GROUP BY 1",
+    "adaptive_thresholds": "WITH v AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cand_id, origin ORDER BY prob DESC, s1_id) AS r FROM hyb) WHERE r = 1), f AS (SELECT *, row_number() OVER (PARTITION BY s1_id, origin ORDER BY prob DESC, cand_id) AS lead FROM v), ok AS (SELECT * FROM f WHERE prob >= CASE WHEN origin = 1 THEN 0.7 WHEN lead = 1 THEN 0.5 ELSE 0.65 END) SELECT s1_id, cand_id, origin, prob FROM ok WHERE origin = 0 OR cand_id NOT IN (SELECT cand_id FROM ok WHERE origin = 0)",
+    "count_capped": "SELECT s1_id, cand_id, prob FROM (SELECT w.*, s1_row % 5 AS n, row_number() OVER (PARTITION BY s1_id ORDER BY prob DESC, cand_id) AS r FROM won w JOIN s1 USING (s1_id) WHERE prob >= 0.5) WHERE n >= 4 OR r <= n",
+    "competition": f"WITH m AS (SELECT l.*, row_number() OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id) = 1 AS won, count(*) OVER (PARTITION BY cand_id) AS k, prob - nth_value(prob, 2) OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS gap FROM lab l), x AS (SELECT *, unnest(list_filter([CASE WHEN won THEN 'exclusive' END, 'everyone', CASE WHEN won AND (k = 1 OR round(gap, 9) >= 0.05) THEN 'margin 0.05' END, CASE WHEN won AND (k = 1 OR round(gap, 9) >= 0.1) THEN 'margin 0.1' END, CASE WHEN won AND (k = 1 OR round(gap, 9) >= 0.2) THEN 'margin 0.2' END], lambda x: x IS NOT NULL)) AS variant FROM m WHERE prob >= {THRESHOLD}) SELECT variant, count(*) AS accepted, sum(label)::BIGINT AS tp FROM x GROUP BY variant",
+    "ensemble": "WITH e AS (SELECT s1_id, cand_id, prob AS a, rank / 10.0::DOUBLE AS b, 0.4::DOUBLE AS c FROM run), l AS (SELECT *, (ln(greatest(least(a, 1 - 1e-6), 1e-6) / (1 - greatest(least(a, 1 - 1e-6), 1e-6))) + ln(b / (1 - b)) + ln(c / (1 - c))) / 3 AS z FROM e) SELECT s1_id, cand_id, round((a + b + c) / 3, 6) AS ens_mean, round(list_sort([a, b, c])[2], 6) AS ens_median, round(1 / (1 + exp(-z)), 6) AS ens_logit FROM l",
+    "deep_rules": "SELECT s1_id, cand_id, round(coalesce(nth_value(prob, 2) OVER (PARTITION BY s1_id ORDER BY prob DESC, cand_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0), 6) AS second, prob = max(prob) OVER (PARTITION BY s1_id) AS deep_is_best FROM hyb WHERE origin = 1",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     head = "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as t
-from ..operators import blocking, decide, features, learn, metrics, stats
+from ..operators import analysis, blocking, decide, features, learn, metrics, stats
 from ..sources import records as src
 from ..sources import sinks
 from ..session import settle
@@ -197,6 +197,15 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "match_output": lambda v: sinks.match_lines(v.s1, _accepted(v)),
     "candidate_output": lambda v: sinks.candidate_lines(v.s1, v.run(CONFIG.top_k)),
     "validator_findings": _validated,
+    "pair_patterns": lambda v: analysis.pattern_rates(analysis.with_texts(v.run(CONFIG.top_k).select("s1_id", "cand_id"), v.records)),
+    "pair_traits": lambda v: analysis.pair_traits(analysis.with_texts(v.run(CONFIG.top_k).select("s1_id", "cand_id"), v.records)),
+    "blocking_losses": lambda v: analysis.blocking_losses(v.truth, v.pool, v.run(1)).groupBy("fate").agg(F.count(F.lit(1)).alias("n")),
+    "adaptive_thresholds": lambda v: analysis.adaptive(v.hybrid.withColumn("rank", F.coalesce("base_rank", "deep_rank")), "first", (0.5, 0.65, 0.7)).select("s1_id", "cand_id", "origin", "prob"),
+    "count_capped": lambda v: analysis.capped(decide.exclusive(v.scored(CONFIG.top_k)).where("prob >= 0.5"), v.s1.select("s1_id", (F.col("s1_row") % 5).alias("n"))).select("s1_id", "cand_id", "prob"),
+    "count_filled": lambda v: analysis.filled(decide.meta_decide(v.hybrid, THRESHOLD, DEEP_THRESHOLD, "prob"), v.hybrid, v.s1.select("s1_id", (F.col("s1_row") % 5).alias("n"))).select("s1_id", "cand_id", "origin", "prob"),
+    "competition": lambda v: analysis.competition(v.labelled, THRESHOLD),
+    "ensemble": lambda v: decide.ensemble(v.scored(CONFIG.top_k).select("s1_id", "cand_id", "prob", (F.col("rank") / 10).alias("p2"), F.lit(0.4).alias("p3")), ["prob", "p2", "p3"]).select("s1_id", "cand_id", F.round("ens_mean", 6).alias("ens_mean"), F.round("ens_median", 6).alias("ens_median"), F.round("ens_logit", 6).alias("ens_logit")),
+    "deep_rules": lambda v: decide.deep_evidence(v.hybrid.where("origin = 1")).select("s1_id", "cand_id", F.round("deep_second_prob", 6).alias("second"), "deep_is_best"),
     "set_decode": lambda v: learn.set_decode(v.scored(CONFIG.top_k).select("s1_id", "cand_id", "prob")),
     "matcher_oof": _oof,
     "transliterate": lambda v: v.records.select("entity_id", t.latin_text("business_name").alias("latin")),
