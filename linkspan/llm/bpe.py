@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import table
-from .pieces import PieceStore, chunks
+from .pieces import PieceStore, chunks, release
 
 #: Bytes beyond which a piece is merged by a heap.
 LONG = 256
@@ -70,16 +70,21 @@ class PairTable:
         return np.where((left < 0) | (right < 0), NONE, out).reshape(shape)
 
 
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes of each token of a rank file; that is all that decoding needs."""
+    with open(path, "rb") as f:
+        ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
+    return [ranks.get(k, b"") for k in range(max(ranks) + 1)]
+
+
 class ByteBPE:
     def __init__(self, path: str, pattern: str):
         import regex
 
-        with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.bytes_of = token_bytes(path)
+        self.ranks = {token: rank for rank, token in enumerate(self.bytes_of) if token}
         self.cut = regex.compile(pattern).findall
-        self.bytes_of = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.bytes_of[rank] = token
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         get, keys, merged = self.ranks.get, [], []
         for token, rank in self.ranks.items():
@@ -175,9 +180,6 @@ class ByteBPE:
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         return self.store.lay_out(pa.array([p for x in cut for p in x], pa.string()), counts)
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
-
 
 @lru_cache(maxsize=4)
 def load(path: str, pattern: str) -> ByteBPE:
@@ -197,23 +199,25 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", to: str =
                 flat, n = bpe.encode(texts)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, len(texts)) for c in cols], ids], names=[*cols, to])
+        release()
 
     schema = T.StructType([*kept, T.StructField(to, T.ArrayType(T.IntegerType(), False), True)])
     return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:
     """``df`` with a further column ``to``: the bytes of its token ids."""
     kept = [f for f in df.schema.fields if f.name != to]
     cols = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path, pattern)
+        token = token_bytes(path).__getitem__
         for batch in batches:
             lists = batch.column(ids)
             flat, at = lists.values.to_numpy(), lists.offsets.to_numpy().tolist()
-            raw = [bpe.decode(flat[a:b].tolist()) if ok else b"" for a, b, ok in zip(at, at[1:], lists.is_valid().to_pylist(), strict=False)]
+            raw = [b"".join(map(token, flat[a:b].tolist())) if ok else b"" for a, b, ok in zip(at, at[1:], lists.is_valid().to_pylist(), strict=False)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in cols], pa.array(raw, pa.binary())], names=[*cols, to])
+        release()
 
     return df.select(*[F.col(f"`{c}`") for c in cols]).mapInArrow(run, T.StructType([*kept, T.StructField(to, T.BinaryType(), True)]))
 
@@ -228,7 +232,7 @@ def vocabulary() -> tuple[str, str]:
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of the texts of ``docs``."""
     path, pattern = vocabulary()
-    both = decode(encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    both = decode(encode(docs.select("doc_id", "text"), path, pattern), path)
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

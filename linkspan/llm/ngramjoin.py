@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
+from .pieces import release
 
 N, THRESHOLD = 5, (75, 100)
 #: Members of a block, min-hashes of a document, counters of token frequencies.
@@ -95,6 +96,7 @@ def _measure(n: int):
                 sizes.append(len(t))
                 digests.append(xxhash.xxh3_128_digest(t.tobytes()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())], names=["id", "n", "digest"])
+        release()
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used]), pa.nulls(len(used), pa.binary())], names=["id", "n", "digest"])
 
@@ -125,6 +127,7 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
                     rows = []
             if rows:
                 yield _batch(rows)
+        release()
 
     def _batch(rows: list) -> pa.RecordBatch:
         a, b, c, d, e, f = zip(*rows, strict=True)

@@ -6,6 +6,7 @@ bounded; what it holds never changes a result."""
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ CHUNK_BYTES = 1_000_000
 
 
 class PieceStore:
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int = 200_000):
         """``encode``: pieces -> ids of all of them one after the other, and the number of ids of each."""
         self.encode, self.limit = encode, limit
         self._clear()
@@ -57,6 +58,17 @@ class PieceStore:
         return flat, np.diff(bounds[upto])
 
 
+def release() -> None:
+    """Gives memory that a task no longer uses back to the system: the worker may stay idle for long beside others."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of a text column with about ``most`` bytes each; a longer text is a range of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
