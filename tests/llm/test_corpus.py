@@ -339,7 +339,7 @@ def test_bpe_equals_the_library(spark):
     rng = random.Random(9)
     letters = "abcdeéüñ  \n\n\t0123 the ing ΑΣ中文字😀\x1c\x85　!?#$'s"
     texts = [t or "" for t in ODD] + ["".join(rng.choice(letters) for _ in range(rng.randint(0, 400))) for _ in range(300)] + ["ab" * 3000, "中" * 2000, "\r\n" * 500]
-    coded = bpe.decode(bpe.encode(clashing(docs(spark, texts)).drop("ids"), path, pattern), path, pattern)
+    coded = bpe.decode(bpe.encode(clashing(docs(spark, texts)).drop("ids"), path, pattern), path)
     for r in coded.collect():
         assert r.ids == library.encode_ordinary(texts[r.doc_id]) and bytes(r.decoded) == texts[r.doc_id].encode()
     assert bpe.digests(docs(spark, [])).count() == 0
