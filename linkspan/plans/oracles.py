@@ -92,6 +92,11 @@ BODY = {
         WHERE r1 <= {CONFIG.rerank_depth} OR (name_score > 0 AND r2 <= {CONFIG.rerank_depth}) OR (sparse AND r3 <= {5 * max(1, _SPARSE)})),
         more AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS m1, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS m2 FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df > {CONFIG.max_df} AND l.source = 1 AND r.source <> 1 GROUP BY ALL)
         SELECT s1_id, cand_id, combined + coalesce(m1, 0) AS combined, name_score + coalesce(m2, 0) AS name_score, sparse FROM short LEFT JOIN more USING (s1_id, cand_id)""",
+    "trigram_fallback": """WITH g AS (SELECT entity_id, source, country, unnest(list_distinct(CASE WHEN length(j) < 3 THEN [j] ELSE list_transform(range(1, length(j) - 1), lambda i: substr(j, i, 3)) END)) AS token FROM (SELECT *, array_to_string(nt, '') AS j FROM names) WHERE j <> ''),
+        few AS (SELECT s1_id FROM s1 LEFT JOIN pool USING (s1_id) GROUP BY s1_id HAVING count(pool.cand_id) < 3),
+        wt AS (SELECT country, token, round(round(ln((n + 1) / df) * 1000000) * 0.5::DOUBLE)::BIGINT AS w FROM (SELECT country, token, count(*) AS df FROM g GROUP BY ALL) JOIN (SELECT country, count(*)::DOUBLE AS n FROM rec GROUP BY country) USING (country) WHERE df <= 5),
+        more AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(w) AS c FROM wt JOIN g l USING (country, token) JOIN g r USING (country, token) WHERE l.source = 1 AND r.source <> 1 AND l.entity_id IN (SELECT s1_id FROM few) GROUP BY ALL)
+        SELECT s1_id, cand_id, sum(combined)::BIGINT AS combined, sum(name_score)::BIGINT AS name_score FROM (SELECT * FROM pool UNION ALL SELECT s1_id, cand_id, c, c FROM more) GROUP BY ALL""",
     "rarest_key_block": """WITH ch AS (SELECT k.*, d.df, row_number() OVER (PARTITION BY k.entity_id, k.field ORDER BY d.df, k.token) AS pos FROM tok k JOIN df d USING (country, field, token) WHERE k.source = 1),
         nor AS (SELECT * FROM ch WHERE pos <= 2 AND df <= 10), alt AS (SELECT * FROM ch ANTI JOIN nor USING (entity_id) WHERE pos <= 2 AND df <= 30 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY df, field, token) = 1),
         keyed AS (SELECT entity_id, country, field, token FROM nor UNION ALL SELECT entity_id, country, field, token FROM alt),
