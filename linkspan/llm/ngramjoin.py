@@ -136,12 +136,17 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
     return run
 
 
+NONE = np.iinfo(np.int32).max
 HEAD = np.dtype([("id", "<i8"), ("root", "<i8"), ("cut", "<i4"), ("n", "<i4"), ("k", "<i8")])
 
 
-def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray):
-    """Rows (id, n, root, cut, probe, n_index) -> rows (part, query, heads, tokens): for each part of the token range,
-    documents with their tokens there, as bytes. Query tokens of a range go to one of its parts, index tokens to all."""
+def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray, threshold: tuple[int, int]):
+    """Rows (id, n, root, cut, probe, n_index) -> rows (part, query, heads, tokens, limits): for each part of the token
+    range, documents with their tokens there, as bytes. Query tokens of a range go to one of its parts, index tokens to all.
+
+    The limit of a token is the largest set with which it can be the first one shared: at place i of n, at most n - i
+    tokens are shared, and a link with a set of m needs t / (1 + t) (n + m) of them, so m <= (1 + t) / t (n - i) - n."""
+    up, down = threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -157,23 +162,25 @@ def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray):
         place = np.arange(len(every)) - np.repeat(start[:-1] - start[0], n_of)
         ids, n, root, cut, n_index = (batch.column(c).to_numpy() for c in (0, 1, 2, 3, 5))
         range_of = np.searchsorted(bounds, every >> np.uint64(64 - 18), "right") - 1
-        rows: list[tuple[int, int, bytes, bytes]] = []
+        size = n.astype(np.int64)[doc]
+        limits = np.clip((up + down) * (size - place) // up - size, 0, NONE).astype(np.int32)
+        rows: list[tuple[int, int, bytes, bytes, bytes]] = []
         for query in (0, 1):
             use = np.ones(len(every), bool) if query else place < n_index[doc]
-            t, d, r = every[use], doc[use], range_of[use]
+            t, d, r, m = every[use], doc[use], range_of[use], limits[use]
             part = first[r] + (d % salts[r] if query else 0)
             by = np.lexsort((d, part))
-            t, d, part, r = t[by], d[by], part[by], r[by]
+            t, d, part, r, m = t[by], d[by], part[by], r[by], m[by]
             for x, y in zip(cuts := np.flatnonzero(np.diff(part, prepend=-1)), [*cuts[1:], len(part)], strict=True):
                 heads = np.flatnonzero(np.diff(d[x:y], prepend=-1))
                 who = d[x:y][heads]
                 h = np.zeros(len(who), HEAD)
                 h["id"], h["root"], h["cut"], h["n"], h["k"] = ids[who], root[who], cut[who], n[who], np.diff([*heads, y - x])
                 for salt in range(1 if query else int(salts[r[x]])):
-                    rows.append((int(part[x]) + salt, query, h.tobytes(), t[x:y].tobytes()))
+                    rows.append((int(part[x]) + salt, query, h.tobytes(), t[x:y].tobytes(), m[x:y].tobytes()))
         if rows:
-            a, b, c, e = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.binary()), pa.array(e, pa.binary())], names=["part", "query", "heads", "tokens"])
+            a, b, *c = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), *[pa.array(x, pa.binary()) for x in c]], names=["part", "query", "heads", "tokens", "limits"])
 
     return run
 
@@ -186,39 +193,40 @@ def _searched(threshold: tuple[int, int]):
         part, held, matrix = None, [], None
         for batch in batches:
             found = []
-            for key, query, heads, raw in zip(*(batch.column(c) for c in range(4)), strict=True):
+            for key, query, heads, raw, most in zip(*(batch.column(c) for c in range(5)), strict=True):
                 if key.as_py() != part:
                     part, held, matrix = key.as_py(), [], None
-                h, t = np.frombuffer(heads.as_buffer(), HEAD), np.frombuffer(raw.as_buffer(), np.uint64)
+                h, t, limit = np.frombuffer(heads.as_buffer(), HEAD), np.frombuffer(raw.as_buffer(), np.uint64), np.frombuffer(most.as_buffer(), np.int32)
                 if not query.as_py():
-                    held.append((h, t))
+                    held.append((h, t, limit))
                     continue
                 if not held:
                     continue
                 if matrix is None:
                     matrix = union(held)
-                tokens_, root, cut, low, high = matrix
+                tokens_, root, cut, low, high, reach = matrix
                 doc = np.repeat(np.arange(len(h)), h["k"])
                 a, b = np.searchsorted(tokens_, t, "left"), np.searchsorted(tokens_, t, "right")
                 for x in range(0, len(t), step := 20_000):
                     lo, m = a[x : x + step], (b - a)[x : x + step]
                     at = np.repeat(lo - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
                     q = h[np.repeat(doc[x : x + step], m)]
-                    ok = (q["root"] != root[at]) & (low[at] <= q["n"]) & (high[at].astype(np.int64) * down >= q["n"].astype(np.int64) * up)
+                    near = (low[at] <= np.repeat(limit[x : x + step], m)) & (reach[at] >= q["n"])
+                    ok = near & (q["root"] != root[at]) & (low[at] <= q["n"]) & (high[at].astype(np.int64) * down >= q["n"].astype(np.int64) * up)
                     if ok.any():
                         found.append(np.unique(np.stack([q["id"][ok], root[at][ok], cut[at][ok]]), axis=1))
             some = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((3, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in some], names=["id", "root", "cut"])
 
     def union(held: list) -> tuple[np.ndarray, ...]:
-        """The token-group matrix of a part: (token, block) once, with the least and largest set size of the block's members there."""
-        h, t = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+        """The token-group matrix of a part: (token, block) once, with the least and largest set size of the block's members there and their largest limit."""
+        h, t, limit = (np.concatenate([x[k] for x in held]) for k in range(3))
         doc = np.repeat(np.arange(len(h)), h["k"])
         root, cut, n = h["root"][doc], h["cut"][doc], h["n"][doc]
         by = np.lexsort((cut, root, t))
-        t, root, cut, n = t[by], root[by], cut[by], n[by]
+        t, root, cut, n, limit = t[by], root[by], cut[by], n[by], limit[by]
         new = np.flatnonzero(np.concatenate([[True], (np.diff(t) != 0) | (np.diff(root) != 0) | (np.diff(cut) != 0)]))
-        return t[new], root[new], cut[new].astype(np.int64), np.minimum.reduceat(n, new), np.maximum.reduceat(n, new)
+        return t[new], root[new], cut[new].astype(np.int64), np.minimum.reduceat(n, new), np.maximum.reduceat(n, new), np.maximum.reduceat(limit, new)
 
     return run
 
@@ -395,7 +403,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     placed = scratch.write(placed.join(sized, "root", "left").select("id", "root", cut.alias("cut")), "placed")
     bounds, salts, first = _ranges(counts, threshold)
     input_ = prefix.select("id", F.col("n").cast("int").alias("n"), "probe", "n_index").join(placed, "id").select("id", "n", "root", "cut", "probe", "n_index")
-    dealt = input_.mapInArrow(_dealt(bounds, salts, first), "part bigint, query int, heads binary, tokens binary")
+    dealt = input_.mapInArrow(_dealt(bounds, salts, first, threshold), "part bigint, query int, heads binary, tokens binary, limits binary")
     dealt = dealt.repartition("part").sortWithinPartitions("part", "query")
     found = scratch.write(dealt.mapInArrow(_searched(threshold), "id bigint, root bigint, cut bigint").distinct(), "found")
     _free(spark)
