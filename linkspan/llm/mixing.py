@@ -3,7 +3,7 @@
 1. A naive Bayes model over hashed words learns the domains of a labelled table. A domain that mixes languages is
    learned as one class for each ``part``. The model is fitted on a bounded sample: the ``PER_DOMAIN`` labelled
    documents of smallest hash for each class.
-2. Every document gets posteriors p over the domains from all its distinct words. Naive Bayes counts each word as independent
+2. Every document gets posteriors p over the domains from all its words, repeated ones each time. Naive Bayes counts each word as independent
    evidence, so the evidence of a text is scaled to that of ``EVIDENCE`` words at most; memberships stay soft.
 3. Rates r >= 0 of the documents are fitted so that the expected tokens of each domain, sum(r * n * p), match
    ``total * target``: projected-gradient least squares from r = 1. With M = diag(n) p, each step is
@@ -44,9 +44,9 @@ def _bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
 
-def _distinct(text: Column) -> Column:
-    """The distinct lower-case words of a text: a word counts once for a document, however often it stands there."""
-    return F.array_distinct(words(F.lower(text)))
+def _lower(text: Column) -> Column:
+    """The lower-case words of a text, each as often as it stands there."""
+    return words(F.lower(text))
 
 
 def label_domains(labels: DataFrame, docs: DataFrame) -> DataFrame:
@@ -62,7 +62,7 @@ def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], per_domain: in
     order = W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
     marks = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_domain).select("doc_id", "domain")
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(marks, "doc_id")
-    counts = texts.select("domain", F.explode_outer(_distinct(F.col("text"))).alias("word")).where("word is not null").groupBy(_bucket(F.col("word")).alias("bucket"), "domain").agg(F.count(F.lit(1)).alias("n"))
+    counts = texts.select("domain", F.explode_outer(_lower(F.col("text"))).alias("word")).where("word is not null").groupBy(_bucket(F.col("word")).alias("bucket"), "domain").agg(F.count(F.lit(1)).alias("n"))
     wide = counts.groupBy("bucket").agg(*[F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, d in enumerate(domains)])
     every = docs.sparkSession.range(BUCKETS, numPartitions=1).select(F.col("id").cast("int").alias("bucket")).join(wide, "bucket", "left").select("bucket", *[F.coalesce(f"n{k}", F.lit(0)).alias(f"n{k}") for k in range(len(domains))])
     all_of = every.agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(len(domains))]).first()
@@ -74,11 +74,12 @@ def posteriors(docs: DataFrame, model: DataFrame, priors: list[float], of: list[
     ``of``: the number of the domain of each class; a domain's posterior is the sum of its classes'."""
     size = len(priors)
     # What stands beside a generator is worked out for each row it makes: hash and size have a step of their own.
-    texts = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words(F.col("text"))).alias("n"), _distinct(F.col("text")).alias("words"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("th"), _lower(F.col("text")).alias("words")).withColumn("n", F.size("words"))
     rows = texts.select("doc_id", "th", "n", F.explode_outer("words").alias("word"))
     scored = rows.select("doc_id", "th", "n", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(model), "bucket", "left")
     sums = scored.groupBy("doc_id", "th").agg(F.count("bucket").alias("m"), F.first("n").cast("bigint").alias("n"), *[F.coalesce(F.sum(F.col("lp")[k]), F.lit(0.0)).alias(f"s{k}") for k in range(size)])
-    scale = F.least(F.lit(1.0), F.lit(evidence) / F.greatest(F.col("m"), F.lit(1)))
+    # Repeated rows add up in m and in the sums alike: the mean of a word, times the words that count.
+    scale = F.least(F.col("n").cast("double"), F.lit(evidence)) / F.greatest(F.col("m"), F.lit(1))
     logs = sums.select("doc_id", "th", "n", F.array(*[F.lit(priors[k]) + scale * F.col(f"s{k}") for k in range(size)]).alias("g"))
     raised = logs.select("doc_id", "th", "n", F.transform("g", lambda x: F.exp(x - F.array_max("g"))).alias("e"))
     raised = raised.withColumn("total", F.aggregate("e", F.lit(0.0), lambda a, x: a + x))

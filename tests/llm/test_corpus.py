@@ -145,6 +145,23 @@ def test_mixing_learns_held_out_domains(spark):
     assert out.columns == [*df.columns, *CLASHES]
 
 
+def test_mixing_counts_every_word(spark):
+    rng = random.Random(5)
+    odds = {"en": [8, 1, 1], "low": [1, 8, 1]}
+    kinds = ["en", "low"] * 20
+    texts = [" ".join(["Aa", "bb", "cc", *rng.choices(["aa", "bb", "cc"], odds[k], k=rng.randint(5, 40))]) for k in kinds]
+    df = docs(spark, texts)
+    model = mixing.fit(df, spark.createDataFrame(list(enumerate(kinds)), "doc_id bigint, domain string"), ["en", "low"])
+    count = {k: collections.Counter(w for t, x in zip(texts, kinds, strict=True) if x == k for w in t.lower().split()) for k in odds}
+    lp = lambda w, k: np.log((count[k][w] + mixing.SMOOTHING) / (sum(count[k].values()) + mixing.SMOOTHING * mixing.BUCKETS))
+    got = {r.doc_id: r for r in mixing.posteriors(df.unionByName(df.where("doc_id < 9")), model, [np.log(0.5)] * 2, [0, 1], 12.0).collect()}
+    for i, t in enumerate(texts):
+        w = t.lower().split()
+        g = [min(1, 12 / len(w)) * sum(lp(x, k) for x in w) for k in odds]
+        assert got[i].n == len(w) and np.allclose(got[i].p, np.exp(g - np.logaddexp(*g)), atol=1e-6)
+        assert (got[i].p[0] > 0.5) == (w.count("aa") > w.count("bb")) or w.count("aa") == w.count("bb")
+
+
 def test_mixing_edges(spark):
     labels = spark.createDataFrame([], "doc_id bigint, domain string")
     mixed, report = mixing.mix(spark, docs(spark, ODD), labels)
