@@ -152,7 +152,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "block_top_k": lambda v: v.run(CONFIG.top_k),
     "block_quota_top_k": lambda v: blocking.quota_top_k(v.marked, CONFIG.top_k, CONFIG.name_quota, CONFIG.sparse_quota),
     "rerank_exact": lambda v: blocking.rerank(blocking.shortlist(v.marked, CONFIG), v.tokens(), v.weighted.where(F.col("df") > CONFIG.max_df)),
-    "candidate_run": lambda v: matching.candidate_run(v.records, blocking.Config(top_k=5, max_df=20)),
+    "candidate_run": lambda v: matching.candidate_run(v.records, blocking.Config()),
     "trigram_fallback": lambda v: blocking.with_fallback(v.pool, v.s1, v.tokens(("g",)), stats.idf(stats.doc_freq(v.tokens(("g",))), stats.country_counts(v.records)), 3, 5, 0.5),
     "rarest_key_block": lambda v: blocking.rarest_key_block(v.tokens(), stats.doc_freq(v.tokens()), v.idf, {"n": 2, "a": 2}, 10, 30),
     "coverage": lambda v: blocking.coverage(v.pool, v.tokens(), v.idf),

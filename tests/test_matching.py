@@ -1,8 +1,8 @@
 import random
 
-from linkspan.operators import metrics
+from linkspan.operators import metrics, stats
 from linkspan.operators.blocking import Config
-from linkspan.plans import matching
+from linkspan.plans import matching, queries
 
 
 def test_train_and_predict(spark, tmp_path):
@@ -28,3 +28,15 @@ def test_train_and_predict(spark, tmp_path):
         assert matches.join(listed, ["s1_id", "cand_id"], "left_anti").count() == 0
         assert matches.groupBy("cand_id").count().where("count > 1").count() == 0
         assert metrics.macro_f05(s1, matches, truth).first().macro_f05 > 0.85
+
+
+def test_candidate_run_finds_groups_of_many_copies(spark, tmp_path):
+    texts = ["maple harlow quorin tavell brenwick pioneer lumen river and more"] * 60 + [f"north{k} acme{k} oak{k} delta{k} {k} street of stones and more" for k in range(30)]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    view = queries.View(spark, str(tmp_path))
+    held = {}
+    for r in stats.record_tokens(view.records, Config().fields).collect():
+        held.setdefault(r.entity_id, set()).add((r.field, r.token))
+    want = {(a, b) for a in held for b in held if a.startswith("S1") and not b.startswith("S1") and held[a] & held[b]}
+    got = {(r.s1_id, r.cand_id) for r in queries.QUERIES["candidate_run"](view).collect()}
+    assert len({b for _, b in want}) <= Config().top_k and got == want
