@@ -1,7 +1,7 @@
 """Mixing sources to target weights with soft membership. DataFrame functions only.
 
 1. A naive Bayes model over hashed words learns the domains of a labelled table. A domain that mixes languages is
-   learned as one class for each ``part``. The model is fitted on a bounded sample: the ``PER_DOMAIN`` labelled
+   learned as one class for each of its ``PARTS`` most frequent parts, and one that all further parts share. The model is fitted on a bounded sample: the ``PER_DOMAIN`` labelled
    documents of smallest hash for each class.
 2. Every document gets posteriors p over the domains from all its words, repeated ones each time. Naive Bayes counts each word as independent
    evidence, so the evidence of a text is scaled to that of ``EVIDENCE`` words at most; memberships stay soft.
@@ -32,7 +32,7 @@ from .common import Scratch, table, words
 
 #: Hash buckets of the model, labelled documents for each domain, words of evidence, smoothing.
 BUCKETS, PER_DOMAIN, EVIDENCE, SMOOTHING = 16384, 4000, 400.0, 2.0
-#: Most parts of a domain that get a class of their own; labelled rows of further parts aren't fitted.
+#: Most parts of a domain that get a class of their own; further parts share one more class.
 PARTS = 8
 STEPS, TOLERANCE, HEADROOM = 24, 1e-6, 1.1
 #: Target shares of the domains: languages of good documents, and two that are to be nearly absent.
@@ -137,8 +137,9 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict
     marks = labelled.where(F.col("domain").isin(list(targets))).groupBy("doc_id").agg(F.min(F.struct("domain", F.coalesce(part, F.lit("")).alias("part"))).alias("m"))
     marks = scratch.write(marks.select("doc_id", "m.domain", "m.part"), "labelled")
     order = W.partitionBy("domain").orderBy(F.col("n").desc(), "part")
-    parts = marks.groupBy("domain", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("rank", F.row_number().over(order))
-    seen = [r for r in parts.where(F.col("rank") <= PARTS).orderBy("domain", "rank").collect() if targets[r.domain] > 0]  # PARTS rows for each target
+    parts = marks.groupBy("domain", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("rank", F.least(F.row_number().over(order), F.lit(PARTS + 1)))
+    parts = parts.groupBy("domain", "rank").agg(F.sum("n").alias("n"), F.min("part").alias("part"))
+    seen = [r for r in parts.orderBy("domain", "rank").collect() if targets[r.domain] > 0]  # PARTS + 1 rows for each target
     domains = [d for d in targets if any(r.domain == d for r in seen)]
     if not domains:
         soft = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words(F.col("text"))).cast("bigint").alias("n")).distinct()
@@ -146,9 +147,10 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict
     from math import log
 
     known, share = sum(r.n for r in seen), sum(targets[d] for d in domains)
-    name = lambda d, x: F.concat_ws("/", d, x)
-    classes = marks.select("doc_id", name(F.col("domain"), F.col("part")).alias("domain"))
-    model = scratch.write(fit(docs, classes, [f"{r.domain}/{r.part}" for r in seen]), "model")
+    own = F.concat_ws("/", "domain", "part")
+    names = [f"{r.domain}/{r.part}" if r.rank <= PARTS else r.domain for r in seen]  # the shared class has the domain's name
+    classes = marks.select("doc_id", F.when(own.isin(names), own).otherwise(F.col("domain")).alias("domain"))
+    model = scratch.write(fit(docs, classes, names), "model")
     soft = scratch.write(posteriors(docs, model, [log(r.n / known) for r in seen], [domains.index(r.domain) for r in seen]), "soft")
     rate, report = fit_rates(soft, [targets[d] / share for d in domains], [k for k, d in enumerate(domains) if d in keep], **options)
     luck = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "th"), F.lit(1 << 20)) / F.lit(float(1 << 20))

@@ -162,6 +162,18 @@ def test_mixing_counts_every_word(spark):
         assert (got[i].p[0] > 0.5) == (w.count("aa") > w.count("bb")) or w.count("aa") == w.count("bb")
 
 
+def test_mixing_learns_further_parts(spark):
+    rng = random.Random(6)
+    rows = [("en", "en") for _ in range(60)] + [("low", f"l{k:02d}") for k in range(12) for _ in range(16 - k)]
+    vocab = {x: [f"{x}w{k}" for k in range(12)] for _, x in rows}
+    texts = [" ".join(rng.choices(vocab["en"], k=30) + (rng.choices(vocab[x], k=30) if d == "low" else [])) for d, x in rows]
+    marks = spark.createDataFrame([(i, d, x) for i, (d, x) in enumerate(rows) if i % 2], "doc_id bigint, domain string, part string")
+    mixed, report = mixing.mix(spark, docs(spark, texts), marks)
+    low = report["domains"].index("low")
+    got = {r.doc_id: r.p[low] for r in mixed.collect()}
+    assert all((got[i] > 0.5) == (d == "low") for i, (d, _) in enumerate(rows))
+
+
 def test_mixing_edges(spark):
     labels = spark.createDataFrame([], "doc_id bigint, domain string")
     mixed, report = mixing.mix(spark, docs(spark, ODD), labels)
