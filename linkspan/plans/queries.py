@@ -166,6 +166,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "pair_recall_by_group": lambda v: metrics.recall_by_group(v.truth.join(v.s1.select("s1_id", "country"), "s1_id"), v.run(CONFIG.top_k), {"country": F.col("country"), "source": F.substring("cand_id", 1, 2)}),
     "jaccard_pairs": lambda v: v.texts.select("s1_id", "cand_id", F.round(sim.jaccard(F.array_distinct(_words("a_name")), F.array_distinct(_words("b_name"))), 9).alias("jaccard")),
     "jaro_winkler_pairs": lambda v: v.texts.select("s1_id", "cand_id", _ascii("a_name").alias("a"), _ascii("b_name").alias("b")).where("a <> '' or b <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a", "b"), 6).alias("jaro_winkler")),
+    "jaro_winkler_whole": lambda v: v.texts.where("a_name <> '' or b_name <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a_name", "b_name"), 6).alias("jaro_winkler")),
     "indel_ratio_pairs": lambda v: v.texts.select("s1_id", "cand_id", sim.ratio_of("a_name", "b_name").alias("ratio"), sim.token_sort_of("a_name", "b_name").alias("tsort"), sim.token_set_of("a_name", "b_name").alias("tset"), sim.partial_of("a_name", "b_name").alias("partial")),
     "num_features": _numbers,
     "name_rarity": _rarity,

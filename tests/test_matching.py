@@ -40,3 +40,31 @@ def test_candidate_run_finds_groups_of_many_copies(spark, tmp_path):
     want = {(a, b) for a in held for b in held if a.startswith("S1") and not b.startswith("S1") and held[a] & held[b]}
     got = {(r.s1_id, r.cand_id) for r in queries.QUERIES["candidate_run"](view).collect()}
     assert len({b for _, b in want}) <= Config().top_k and got == want
+
+
+def jaro_winkler(a, b):
+    reach, used, left = max(max(len(a), len(b)) // 2 - 1, 0), set(), []
+    for i, x in enumerate(a):
+        j = next((j for j in range(max(0, i - reach), min(len(b), i + reach + 1)) if j not in used and b[j] == x), None)
+        if j is not None:
+            used.add(j)
+            left.append(x)
+    if not left:
+        return 0.0
+    m, moved = len(left), sum(x != b[j] for x, j in zip(left, sorted(used), strict=True)) // 2
+    j = (m / len(a) + m / len(b) + (m - moved) / m) / 3
+    same = next((k for k in range(min(4, len(a), len(b))) if a[k] != b[k]), min(4, len(a), len(b)))
+    return j + 0.1 * same * (1 - j) if j > 0.7 else j
+
+
+def test_jaro_winkler_of_whole_names(spark, tmp_path):
+    names = ["été à la forêt où dort le hérisson blanc", "ete a la foret ou dort le herisson blanc", "над рекой стоит старый дом и новая школа", "над рекою стоит старый том и новая школа", "straße und grüße aus münchen im frühling", "strasse und grusse aus munchen im fruhli"]
+    texts = [names[(i // 3 * 2 + i % 3 % 2) % 6].ljust(40)[:40] + "1 north road shared by all" for i in range(9)]
+    spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    view = queries.View(spark, str(tmp_path))
+    name = {r.entity_id: r.business_name for r in view.records.collect()}
+    got = queries.QUERIES["jaro_winkler_whole"](view).collect()
+    assert len(got) == view.run(queries.CONFIG.top_k).count() > 0
+    assert any(r.jaro_winkler < 1 and not name[r.s1_id].isascii() for r in got)
+    for r in got:
+        assert abs(r.jaro_winkler - jaro_winkler(name[r.s1_id], name[r.cand_id])) < 2e-6
