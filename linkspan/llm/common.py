@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 #: ASCII white space: space and U+0009 to U+000D. Everything else belongs to a word.
 WS_CLASS = r"[\x20\x09-\x0D]"
@@ -15,9 +16,12 @@ WS_RUN = WS_CLASS + "+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """Folder that driver and executors share: ``spark.checkpoint.dir``; one of our own only where that is unset and
+    the master is local."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="linkspan-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -33,7 +37,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 
 class Scratch:
-    """Tables written to the shared folder. They cut lineage, survive lost executors, and go when dropped or at exit."""
+    """Tables written to the shared folder. They cut lineage and survive lost executors. Owners drop tables
+    that they have done with (``drop``, ``keep``); the rest, on which results still rest, goes at exit."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
@@ -50,6 +55,15 @@ class Scratch:
         for name in names:
             delete_path(self.spark, f"{self.root}/{name}")
 
+    def keep(self, *names: str) -> None:
+        """Drops all tables but those named."""
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root):
+            if status.getPath().getName() not in names:
+                fs.delete(status.getPath(), True)
+
     def _at_exit(self) -> None:
         try:
             delete_path(self.spark, self.root)
@@ -64,3 +78,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Words of a text: the maximal runs of anything but ASCII white space; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS_RUN), "")
+
+
+def smallest(rows: DataFrame, group: str, by: str, most: int) -> DataFrame:
+    """Of each ``group`` the ``most`` rows of smallest hash of ``by``, whose values differ within a group.
+
+    No group is gathered in one task: counts by the leading bits of the hash tell the bits where the group's last row
+    lies, and only rows with just these bits are ranked."""
+    hashed = rows.withColumn("__hash", F.xxhash64(by)).withColumn("__top", F.shiftrightunsigned(F.col("__hash"), 50))
+    counts = hashed.groupBy(F.col(group).alias("__group"), F.col("__top").alias("__at")).agg(F.count(F.lit(1)).alias("__m"))
+    before = W.partitionBy("__group").orderBy("__at").rowsBetween(W.unboundedPreceding, -1)  # 2 ** 14 rows of a group at most
+    counts = counts.withColumn("__before", F.coalesce(F.sum("__m").over(before), F.lit(0)))
+    last = counts.where(F.col("__before") < most).groupBy("__group").agg(F.max(F.struct("__at", "__before")).alias("__last"))
+    near = hashed.join(last, F.col(group) == F.col("__group")).where(F.col("__top") <= F.col("__last.__at"))
+    inside = near.where(F.col("__top") < F.col("__last.__at")).select(*rows.columns)
+    order = W.partitionBy("__group").orderBy("__hash", by)
+    edge = near.where(F.col("__top") == F.col("__last.__at")).withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= most - F.col("__last.__before"))
+    return inside.unionByName(edge.select(*rows.columns))

@@ -7,10 +7,11 @@
    evidence, so the evidence of a text is scaled to that of ``EVIDENCE`` words at most; memberships stay soft.
 3. Rates r >= 0 of the documents are fitted so that the expected tokens of each domain, sum(r * n * p), match
    ``total * target``: projected-gradient least squares from r = 1. With M = diag(n) p, each step is
-   r <- max(0, r + p . G^-1 (b - M'r)) with G = p' diag(n) p, a gradient step of length 1 / L in the metric of the
-   token counts, where the matrix is a projection and L = 1. A step is one aggregation of few sums over a narrow
-   table; the driver holds vectors of the length of the domains. Steps end when the residual is below ``TOLERANCE``
-   of the total, or after ``STEPS``.
+   r <- max(0, r + p . G^-1 (b - M'r)), a gradient step, scaled by G = p' diag(n) p, and a projection. G is taken over
+   the rows whose rate is positive; where that doesn't lower the squares, over all rows, when the matrix is a
+   projection and a step of 1 / L = 1 always lowers them. A step is one aggregation of few sums over a narrow
+   table; the driver holds vectors of the length of the domains. Steps go on until the residual is below ``TOLERANCE``
+   of the total; if the targets can't be met, until ``IDLE`` steps bring next to nothing, and a warning tells the miss.
 4. A document is copied floor(r) times, and once more if its hash falls below the rest.
 
 ``total`` is chosen so that no domain of ``keep`` has to shrink: the largest available / target among them, times
@@ -24,17 +25,23 @@ get the same rate and copies. Extra columns stay, whatever their names.
 
 from __future__ import annotations
 
+import warnings
+from math import log
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import Scratch, table, words
+from .common import Scratch, smallest, table, words
 
 #: Hash buckets of the model, labelled documents for each domain, words of evidence, smoothing.
 BUCKETS, PER_DOMAIN, EVIDENCE, SMOOTHING = 16384, 4000, 400.0, 2.0
 #: Most parts of a domain that get a class of their own; further parts share one more class.
 PARTS = 8
-STEPS, TOLERANCE, HEADROOM = 24, 1e-6, 1.1
+TOLERANCE, HEADROOM = 1e-6, 1.1
+#: Steps that a plan folds before the rates are written; the least gain of a step as a share of what is left, and the
+#: number of steps below it after which no better rates are looked for.
+FOLDS, STALL, IDLE = 16, 1e-3, 5
 #: Target shares of the domains: languages of good documents, and two that are to be nearly absent.
 TARGETS = {"en": 0.5, "fr": 0.17, "de": 0.17, "es": 0.14, "low": 0.01, "toxic": 0.01}
 KEEP = ("en", "fr", "de", "es")
@@ -59,8 +66,7 @@ def label_domains(labels: DataFrame, docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labelled: DataFrame, domains: list[str], per_domain: int = PER_DOMAIN) -> DataFrame:
     """(bucket, lp): a row for each bucket, lp the log likelihoods of the values of ``domain``. ``BUCKETS`` rows: its size is fixed."""
-    order = W.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    marks = labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_domain).select("doc_id", "domain")
+    marks = smallest(labelled.where(F.col("domain").isin(domains)).groupBy("doc_id").agg(F.min("domain").alias("domain")), "domain", "doc_id", per_domain)
     texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(marks, "doc_id")
     counts = texts.select("domain", F.explode_outer(_lower(F.col("text"))).alias("word")).where("word is not null").groupBy(_bucket(F.col("word")).alias("bucket"), "domain").agg(F.count(F.lit(1)).alias("n"))
     wide = counts.groupBy("bucket").agg(*[F.coalesce(F.sum(F.when(F.col("domain") == d, F.col("n"))), F.lit(0)).alias(f"n{k}") for k, d in enumerate(domains)])
@@ -103,31 +109,62 @@ def solve(a: list[list[float]], b: list[float]) -> list[float]:
     return x
 
 
-def fit_rates(soft: DataFrame, shares: list[float], keep: list[int], steps: int = STEPS, tolerance: float = TOLERANCE, headroom: float = HEADROOM) -> tuple[Column, dict]:
-    """The rate as an expression over ``p``, and a report: available, wanted and reached tokens of the domains, steps."""
+class _Fold:
+    """The rate of a row after some steps: from its start (``rate``, or 1), r <- max(0, r + u . p) for each vector u.
+    The vectors are one literal array, so the plan and its generated code are the same whatever they hold."""
+
+    def __init__(self, size: int, start: Column | None = None):
+        self.size, self.start, self.ups = size, F.lit(1.0) if start is None else start, []
+
+    def rate(self, last: list[float]) -> Column:
+        ups = F.lit([[0.0] * self.size, *self.ups, last])
+        return F.aggregate(ups, self.start, lambda r, u: F.greatest(F.lit(0.0), r + F.aggregate(F.zip_with(u, "p", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)))
+
+
+def fit_rates(spark: SparkSession, soft: DataFrame, shares: list[float], keep: list[int], tolerance: float = TOLERANCE, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
+    """``soft`` (with n and p) with a column rate, and a report: available, wanted and reached tokens of the domains,
+    steps, and miss, the largest difference as a share of all wanted tokens (over ``tolerance`` only where no rates
+    reach the targets; then the rates are the closest in least squares, and a warning says so)."""
     size = len(shares)
-    p = [F.col("p")[k] for k in range(size)]
-    n = F.col("n").cast("double")
-    # A row for each domain, not a sum for each pair of domains: the generated code stays small.
-    each = soft.select(n.alias("n"), "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").groupBy("i").agg(F.sum(F.col("n") * F.col("x")).alias("have"), *[F.sum(F.col("n") * F.col("x") * q).alias(f"g{j}") for j, q in enumerate(p)])
-    rows = {r.i: r for r in each.collect()}
-    have = [rows[k].have or 0.0 if k in rows else 0.0 for k in range(size)]
-    rate: Column = F.lit(1.0)
-    report = {"available": have, "wanted": have, "reached": have, "steps": 0}
+    scratch = Scratch(spark, "rates")
+
+    def sums(rows: DataFrame, rate: Column) -> tuple[list[float], list[list[float]]]:
+        """Expected tokens of the domains, and the Gram matrix of the rows whose rate is positive."""
+        r = rows.select("n", "p", rate.alias("r")).where("r > 0").select("r", F.col("n").cast("double").alias("n"), "p")
+        each = r.select("n", "r", "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").groupBy("i").agg(F.sum(F.col("n") * F.col("x") * F.col("r")).alias("have"), *[F.sum(F.col("n") * F.col("x") * F.col("p")[j]).alias(f"g{j}") for j in range(size)])
+        got = {x.i: x for x in each.collect()}  # a row for each domain
+        return [(got[i].have or 0.0) if i in got else 0.0 for i in range(size)], [[(got[i][f"g{j}"] or 0.0) if i in got else 0.0 for j in range(size)] for i in range(size)]
+
+    fold = _Fold(size)
+    have, whole = sums(soft, F.lit(1.0))
     if not sum(have):
-        return rate, report
+        return soft.withColumn("rate", F.lit(1.0)), {"available": have, "wanted": have, "reached": have, "steps": 0, "miss": 0.0}
     total = headroom * max([have[k] / shares[k] for k in keep if shares[k] > 0], default=sum(have))
     want = [total * s for s in shares]
-    gram = [[((rows[i][f"g{j}"] or 0.0) if i in rows else 0.0) + (1e-9 * sum(have) if i == j else 0.0) for j in range(size)] for i in range(size)]
-    reached = have
-    for step in range(1, steps + 1):
-        up = solve(gram, [w - r for w, r in zip(want, reached, strict=True)])
-        rate = F.greatest(F.lit(0.0), rate + sum((F.lit(u) * q for u, q in zip(up, p, strict=True)), F.lit(0.0)))
-        reached = [x or 0.0 for x in soft.agg(*[F.sum(rate * n * q) for q in p]).first()]
-        report |= {"wanted": want, "reached": reached, "steps": step}
-        if max(abs(w - r) for w, r in zip(want, reached, strict=True)) <= tolerance * total:
-            break
-    return rate, report
+    ridge = lambda g: [[x + (1e-9 * sum(have) if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(g)]
+    left = lambda reached: [w - x for w, x in zip(want, reached, strict=True)]
+    far = lambda d: sum(x * y for x, y in zip(d, solve(ridge(whole), d), strict=True))  # noqa: E731  the squares that are to be least
+    rows, reached, gram, steps, free, idle = soft, have, whole, 0, True, 0
+    while max(map(abs, left(reached))) > tolerance * total and idle < IDLE:
+        # The metric of the rows that can still shrink takes long steps; where it overshoots, that of all rows (L = 1) never does.
+        up = solve(ridge(gram if free else whole), left(reached))
+        now, next_gram = sums(rows, fold.rate(up))
+        steps += 1
+        if free and far(left(now)) > 0.9 * far(left(reached)):
+            free = False
+            continue
+        idle = idle + 1 if far(left(now)) > (1 - STALL) * far(left(reached)) else 0
+        fold.ups.append(up)
+        reached, gram, free = now, next_gram, True
+        if len(fold.ups) == FOLDS:
+            rows = scratch.write(rows.withColumn("rate", fold.rate([0.0] * size)), f"rates-{steps}")
+            fold = _Fold(size, F.col("rate"))
+    out = scratch.write(rows.withColumn("rate", F.round(fold.rate([0.0] * size), 6)), "rates")
+    scratch.keep("rates")
+    miss = max(map(abs, left(reached))) / total
+    if miss > tolerance:
+        warnings.warn(f"no rates reach the targets: the closest miss {miss:.2g} of all tokens in a domain, after {steps} steps", stacklevel=2)
+    return out, {"available": have, "wanted": want, "reached": reached, "steps": steps, "miss": miss}
 
 
 def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = KEEP, **options) -> tuple[DataFrame, dict]:
@@ -144,17 +181,15 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict
     if not domains:
         soft = docs.select("doc_id", F.xxhash64("text").alias("th"), F.size(words(F.col("text"))).cast("bigint").alias("n")).distinct()
         return soft.select("*", F.array().cast("array<double>").alias("p"), F.lit(1.0).alias("rate"), F.lit(1).cast("bigint").alias("copies")), {"domains": []}
-    from math import log
-
     known, share = sum(r.n for r in seen), sum(targets[d] for d in domains)
     own = F.concat_ws("/", "domain", "part")
     names = [f"{r.domain}/{r.part}" if r.rank <= PARTS else r.domain for r in seen]  # the shared class has the domain's name
     classes = marks.select("doc_id", F.when(own.isin(names), own).otherwise(F.col("domain")).alias("domain"))
     model = scratch.write(fit(docs, classes, names), "model")
     soft = scratch.write(posteriors(docs, model, [log(r.n / known) for r in seen], [domains.index(r.domain) for r in seen]), "soft")
-    rate, report = fit_rates(soft, [targets[d] / share for d in domains], [k for k, d in enumerate(domains) if d in keep], **options)
+    out, report = fit_rates(spark, soft, [targets[d] / share for d in domains], [k for k, d in enumerate(domains) if d in keep], **options)
+    scratch.keep()
     luck = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "th"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    out = soft.withColumn("rate", F.round(rate, 6))
     return out.withColumn("copies", (F.floor("rate") + (luck < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint")), report | {"domains": domains}
 
 
@@ -171,4 +206,4 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mixed, report = mix(spark, docs, label_domains(table(spark, sf_dir, "labels"), docs))
     named = [F.coalesce(F.get("p", F.lit(report["domains"].index(d))), F.lit(0.0)).alias(f"p_{d}") if d in report["domains"] else F.lit(0.0).alias(f"p_{d}") for d in TARGETS]
-    return mixed.select("doc_id", F.col("n").alias("n_tokens"), *named, "rate", "copies")
+    return mixed.select("doc_id", F.col("n").alias("n_tokens"), *named, "rate", "copies", F.lit(float(report.get("miss", 0.0))).alias("miss"))
