@@ -81,7 +81,7 @@ def words(text: Column) -> Column:
 
 
 def smallest(rows: DataFrame, group: str, by: str, most: int) -> DataFrame:
-    """Of each ``group`` the ``most`` rows of smallest hash of ``by``, whose values differ within a group.
+    """Of each ``group`` the ``most`` rows of smallest unsigned hash of ``by``, whose values differ within a group.
 
     No group is gathered in one task: counts by the leading bits of the hash tell the bits where the group's last row
     lies, and only rows with just these bits are ranked."""

@@ -6,12 +6,13 @@
 2. Every document gets posteriors p over the domains from all its words, repeated ones each time. Naive Bayes counts each word as independent
    evidence, so the evidence of a text is scaled to that of ``EVIDENCE`` words at most; memberships stay soft.
 3. Rates r >= 0 of the documents are fitted so that the expected tokens of each domain, sum(r * n * p), match
-   ``total * target``: projected-gradient least squares from r = 1. With M = diag(n) p, each step is
-   r <- max(0, r + p . G^-1 (b - M'r)), a gradient step, scaled by G = p' diag(n) p, and a projection. G is taken over
-   the rows whose rate is positive; where that doesn't lower the squares, over all rows, when the matrix is a
-   projection and a step of 1 / L = 1 always lowers them. A step is one aggregation of few sums over a narrow
-   table; the driver holds vectors of the length of the domains. Steps go on until the residual is below ``TOLERANCE``
-   of the total; if the targets can't be met, until ``IDLE`` steps bring next to nothing, and a warning tells the miss.
+   ``total * target``: projected-gradient least squares with lazy projection. Gradients add up in a vector v of the
+   length of the domains, and the rates are the projection max(0, 1 + v . p) on what is allowed. With M = diag(n) p, the
+   gradient of a step is b - M'r, scaled by the Gram matrix p' diag(n) p of the rows whose rate is positive, and
+   halved until it lowers the sum of squares. ``RIDGE`` keeps v finite where no rates reach the targets; the rates are
+   then the closest, and a warning tells the miss. Steps go on until the residual is below ``TOLERANCE`` of the total
+   or the gradient vanishes; after ``MOST_STEPS`` there is an error. A step is one aggregation of few sums over a narrow
+   table; the driver holds v alone.
 4. A document is copied floor(r) times, and once more if its hash falls below the rest.
 
 ``total`` is chosen so that no domain of ``keep`` has to shrink: the largest available / target among them, times
@@ -39,9 +40,8 @@ BUCKETS, PER_DOMAIN, EVIDENCE, SMOOTHING = 16384, 4000, 400.0, 2.0
 #: Most parts of a domain that get a class of their own; further parts share one more class.
 PARTS = 8
 TOLERANCE, HEADROOM = 1e-6, 1.1
-#: Steps that a plan folds before the rates are written; the least gain of a step as a share of what is left, and the
-#: number of steps below it after which no better rates are looked for.
-FOLDS, STALL, IDLE = 16, 1e-3, 5
+#: Weight of the squares that hold rates near 1 where targets leave a choice; steps after which the fit gives up with an error.
+RIDGE, MOST_STEPS = 1e-8, 500
 #: Target shares of the domains: languages of good documents, and two that are to be nearly absent.
 TARGETS = {"en": 0.5, "fr": 0.17, "de": 0.17, "es": 0.14, "low": 0.01, "toxic": 0.01}
 KEEP = ("en", "fr", "de", "es")
@@ -109,62 +109,56 @@ def solve(a: list[list[float]], b: list[float]) -> list[float]:
     return x
 
 
-class _Fold:
-    """The rate of a row after some steps: from its start (``rate``, or 1), r <- max(0, r + u . p) for each vector u.
-    The vectors are one literal array, so the plan and its generated code are the same whatever they hold."""
+def rate(v: list[float]) -> Column:
+    """max(0, 1 + v . p). The vector is one literal array, so the plan and its generated code are the same for all."""
+    return F.greatest(F.lit(0.0), F.aggregate(F.zip_with(F.lit(v), "p", lambda x, y: x * y), F.lit(1.0), lambda a, x: a + x))
 
-    def __init__(self, size: int, start: Column | None = None):
-        self.size, self.start, self.ups = size, F.lit(1.0) if start is None else start, []
 
-    def rate(self, last: list[float]) -> Column:
-        ups = F.lit([[0.0] * self.size, *self.ups, last])
-        return F.aggregate(ups, self.start, lambda r, u: F.greatest(F.lit(0.0), r + F.aggregate(F.zip_with(u, "p", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)))
-
-
-def fit_rates(spark: SparkSession, soft: DataFrame, shares: list[float], keep: list[int], tolerance: float = TOLERANCE, headroom: float = HEADROOM) -> tuple[DataFrame, dict]:
-    """``soft`` (with n and p) with a column rate, and a report: available, wanted and reached tokens of the domains,
-    steps, and miss, the largest difference as a share of all wanted tokens (over ``tolerance`` only where no rates
-    reach the targets; then the rates are the closest in least squares, and a warning says so)."""
+def fit_rates(soft: DataFrame, shares: list[float], keep: list[int], tolerance: float = TOLERANCE, headroom: float = HEADROOM) -> tuple[Column, dict]:
+    """The rate as an expression over ``p``, and a report: available, wanted and reached tokens of the domains, steps,
+    and miss, the largest difference as a share of all wanted tokens (over ``tolerance`` only where no rates reach the
+    targets; then the rates are the closest in least squares, and a warning says so)."""
     size = len(shares)
-    scratch = Scratch(spark, "rates")
-
-    def sums(rows: DataFrame, rate: Column) -> tuple[list[float], list[list[float]]]:
-        """Expected tokens of the domains, and the Gram matrix of the rows whose rate is positive."""
-        r = rows.select("n", "p", rate.alias("r")).where("r > 0").select("r", F.col("n").cast("double").alias("n"), "p")
-        each = r.select("n", "r", "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").groupBy("i").agg(F.sum(F.col("n") * F.col("x") * F.col("r")).alias("have"), *[F.sum(F.col("n") * F.col("x") * F.col("p")[j]).alias(f"g{j}") for j in range(size)])
+    dot = lambda x, y: sum(a * b for a, b in zip(x, y, strict=True))
+    times = lambda g, x: [dot(row, x) for row in g]
+
+    def sums(v: list[float]) -> tuple[list[float], float, list[list[float]]]:
+        """Of the rows of positive rate: expected tokens of the domains, tokens times squared rate, Gram matrix."""
+        rows = soft.select(F.col("n").cast("double").alias("n"), "p", rate(v).alias("r")).where("r > 0")
+        each = rows.select("n", "r", "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").withColumn("m", F.col("n") * F.col("x"))
+        each = each.groupBy("i").agg(F.sum(F.col("m") * F.col("r")).alias("have"), F.sum(F.col("m") * F.col("r") * F.col("r")).alias("square"), *[F.sum(F.col("m") * F.col("p")[j]).alias(f"g{j}") for j in range(size)])
         got = {x.i: x for x in each.collect()}  # a row for each domain
-        return [(got[i].have or 0.0) if i in got else 0.0 for i in range(size)], [[(got[i][f"g{j}"] or 0.0) if i in got else 0.0 for j in range(size)] for i in range(size)]
+        of = lambda name, i: float(got[i][name] or 0.0) if i in got else 0.0
+        return [of("have", i) for i in range(size)], sum(of("square", i) for i in range(size)), [[of(f"g{j}", i) for j in range(size)] for i in range(size)]
 
-    fold = _Fold(size)
-    have, whole = sums(soft, F.lit(1.0))
+    v = [0.0] * size
+    have, square, whole = sums(v)
     if not sum(have):
-        return soft.withColumn("rate", F.lit(1.0)), {"available": have, "wanted": have, "reached": have, "steps": 0, "miss": 0.0}
+        return F.lit(1.0), {"available": have, "wanted": have, "reached": have, "steps": 0, "miss": 0.0}
     total = headroom * max([have[k] / shares[k] for k in keep if shares[k] > 0], default=sum(have))
     want = [total * s for s in shares]
-    ridge = lambda g: [[x + (1e-9 * sum(have) if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(g)]
-    left = lambda reached: [w - x for w, x in zip(want, reached, strict=True)]
-    far = lambda d: sum(x * y for x, y in zip(d, solve(ridge(whole), d), strict=True))  # noqa: E731  the squares that are to be least
-    rows, reached, gram, steps, free, idle = soft, have, whole, 0, True, 0
-    while max(map(abs, left(reached))) > tolerance * total and idle < IDLE:
-        # The metric of the rows that can still shrink takes long steps; where it overshoots, that of all rows (L = 1) never does.
-        up = solve(ridge(gram if free else whole), left(reached))
-        now, next_gram = sums(rows, fold.rate(up))
-        steps += 1
-        if free and far(left(now)) > 0.9 * far(left(reached)):
-            free = False
-            continue
-        idle = idle + 1 if far(left(now)) > (1 - STALL) * far(left(reached)) else 0
-        fold.ups.append(up)
-        reached, gram, free = now, next_gram, True
-        if len(fold.ups) == FOLDS:
-            rows = scratch.write(rows.withColumn("rate", fold.rate([0.0] * size)), f"rates-{steps}")
-            fold = _Fold(size, F.col("rate"))
-    out = scratch.write(rows.withColumn("rate", F.round(fold.rate([0.0] * size), 6)), "rates")
-    scratch.keep("rates")
-    miss = max(map(abs, left(reached))) / total
-    if miss > tolerance:
-        warnings.warn(f"no rates reach the targets: the closest miss {miss:.2g} of all tokens in a domain, after {steps} steps", stacklevel=2)
-    return out, {"available": have, "wanted": want, "reached": reached, "steps": steps, "miss": miss}
+    miss = lambda reached: max(abs(w - x) for w, x in zip(want, reached, strict=True)) / total
+    ridge = [[RIDGE * x + (1e-12 * sum(have) if i == j else 0.0) for j, x in enumerate(row)] for i, row in enumerate(whole)]
+    value = lambda v, square: square / 2 - dot(want, v) + dot(v, times(ridge, v)) / 2
+    reached, gram, now, steps = have, whole, value(v, square), 0
+    while miss(reached) > tolerance:
+        slope = [w - x - y for w, x, y in zip(want, reached, times(ridge, v), strict=True)]
+        if max(map(abs, slope)) <= tolerance * total / 10:
+            break
+        up = solve([[x + y for x, y in zip(a, b, strict=True)] for a, b in zip(gram, ridge, strict=True)], slope)
+        length, gain = 1.0, dot(slope, up)
+        while True:
+            if (steps := steps + 1) > MOST_STEPS:
+                raise RuntimeError(f"the rates still miss {miss(reached):.2g} of all tokens after {MOST_STEPS} steps")
+            after = [x + length * y for x, y in zip(v, up, strict=True)]
+            got, square, next_gram = sums(after)
+            if (then := value(after, square)) <= now - 1e-4 * length * gain + 1e-13 * abs(now):
+                break
+            length /= 2
+        v, now, reached, gram = after, then, got, next_gram
+    if (least := miss(reached)) > tolerance:
+        warnings.warn(f"no rates reach the targets: the closest miss {least:.2g} of all tokens in a domain", stacklevel=2)
+    return rate(v), {"available": have, "wanted": want, "reached": reached, "steps": steps, "miss": least}
 
 
 def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict[str, float] = TARGETS, keep: tuple[str, ...] = KEEP, **options) -> tuple[DataFrame, dict]:
@@ -187,8 +181,9 @@ def mix(spark: SparkSession, docs: DataFrame, labelled: DataFrame, targets: dict
     classes = marks.select("doc_id", F.when(own.isin(names), own).otherwise(F.col("domain")).alias("domain"))
     model = scratch.write(fit(docs, classes, names), "model")
     soft = scratch.write(posteriors(docs, model, [log(r.n / known) for r in seen], [domains.index(r.domain) for r in seen]), "soft")
-    out, report = fit_rates(spark, soft, [targets[d] / share for d in domains], [k for k, d in enumerate(domains) if d in keep], **options)
-    scratch.keep()
+    each, report = fit_rates(soft, [targets[d] / share for d in domains], [k for k, d in enumerate(domains) if d in keep], **options)
+    scratch.keep("soft")
+    out = soft.withColumn("rate", F.round(each, 6))
     luck = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "th"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     return out.withColumn("copies", (F.floor("rate") + (luck < F.col("rate") - F.floor("rate")).cast("int")).cast("bigint")), report | {"domains": domains}
 
