@@ -1,19 +1,26 @@
 """Line dedup by winnowing over line hashes. DataFrame functions only.
 
-A run is a sequence of lines (lines without a word don't count) of ``min_words`` words or more in all. For each line
-there are two windows: the shortest run that starts there, and the shortest that ends there. A window's fingerprint is
-the least line hash in it. Two texts that share a run share all windows in it, so they select the same fingerprints:
-no shared run is missed. Positions with equal fingerprint and window hash are joined with the first of them (smallest
-doc_id, text hash, line), and the lines of every later one are deleted. The match is thereby extended both ways to the
-whole run: a line of it with ``min_words`` words from it to the run's end starts a forward window in the run, and any
-other lies in the backward window that ends the run. Deleting can't lose a line: each deleted line equals one at an
-earlier position, and the first of all is later than none.
-
-Work is linear: a fingerprint with a million positions is joined with one first position, never pairwise. Counts and
-minima are combined before the shuffle; Spark splits the hot keys of the join.
+A run is a sequence of lines (lines without a word don't count) of ``min_words`` words or more in all. The window of a
+line is the shortest run that starts there.
+
+* Fingerprints: each window selects its line of least hash, the first of ties. Selected positions never go back as the
+  window moves on, so a position is kept once, by the first window that selects it. Texts that share a run share all
+  windows in it and select the same fingerprints: no shared run is missed.
+* Join: positions join by fingerprint. Those whose fingerprint is selected at one place only go.
+* Extension: for a joined position, the lines before and after it are compared within each window that selected it, by
+  the hash of the window's lines; the first position (smallest doc_id, text hash, line) with the same stays, later ones
+  are repeated. Joined windows of a run overlap and cover it from its first line on, but for lines at its end that have
+  too few words behind them to start a window in the run. Those are reached from the shared windows: such a line's
+  shortest run to the left starts with a shared window that ends before it, and is compared in the same way.
+
+Lines of later positions are deleted. Deleting can't lose a line: each deleted line equals one at an earlier position,
+and the first of all is later than none. Work is linear: a fingerprint with a million positions is grouped by what
+surrounds it and compared with one first position, never pairwise. Counts and minima are combined before the shuffle;
+Spark splits the hot keys of the joins.
 
 Edge cases: null and empty texts have no lines and stay as they are. Rows of equal doc_id and text count as one
-document and lose the same lines. Lines are compared as they are, by 64-bit hash. Extra columns stay, whatever their names.
+document and lose the same lines; a null doc_id is the smallest one. Lines are compared as they are, by 64-bit hash.
+Extra columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,36 +29,58 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import WS_RUN, table
+from .common import WS_RUN, Scratch, table
 
 #: Words that a run has at least.
 MIN_WORDS = 50
+DOC = ["doc_id", "th"]
 
 
 def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, th, and for each window, forward or backward, its first and last line, fingerprint fp and hash key.
+    """A row for each line with words: doc_id, th, pos, and of the window that starts there ``last`` (its last line), fp
+    (fingerprint), key (hash of its lines), chosen (its fingerprint's position is a new one), all null without a window;
+    and of the shortest run that ends there ``first`` and back (hash of its lines), null without one.
 
     With s the words before a line and c those up to its end, the shortest run from line i holds the lines with s in
     [s_i, s_i + min_words - 1], and the shortest run to it those with c in [c_i - min_words + 1, c_i]: RANGE frames."""
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("th"), F.split("text", "\n").alias("lines"))
-    rows = rows.select("doc_id", "th", F.posexplode_outer("lines").alias("pos", "line"))
-    rows = rows.select("doc_id", "th", "pos", F.xxhash64("line").alias("h"), F.size(F.array_remove(F.split("line", WS_RUN), "")).cast("bigint").alias("w")).where("w > 0")
-    own = W.partitionBy("doc_id", "th")
-    rows = rows.dropDuplicates(["doc_id", "th", "pos"]).withColumn("c", F.sum("w").over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))).withColumn("s", F.col("c") - F.col("w"))
+    rows = rows.select(*DOC, F.posexplode_outer("lines").alias("pos", "line"))
+    rows = rows.select(*DOC, "pos", F.xxhash64("line").alias("h"), F.size(F.array_remove(F.split("line", WS_RUN), "")).cast("bigint").alias("w")).where("w > 0")
+    own = W.partitionBy(*DOC)
+    rows = rows.repartition(*DOC).dropDuplicates([*DOC, "pos"]).withColumn("c", F.sum("w").over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))).withColumn("s", F.col("c") - F.col("w"))
     forth, back = own.orderBy("s").rangeBetween(0, min_words - 1), own.orderBy("c").rangeBetween(1 - min_words, 0)
-    run = lambda frame, first, last, low, high: F.struct(first.alias("first"), last.alias("last"), F.min("h").over(frame).alias("fp"), F.xxhash64(F.collect_list("h").over(frame)).alias("key"), (high - low >= min_words).alias("full"))
-    rows = rows.withColumn("f", run(forth, F.col("pos"), F.max("pos").over(forth), F.col("s"), F.max("c").over(forth)))
-    rows = rows.withColumn("b", run(back, F.min("pos").over(back), F.col("pos"), F.min("s").over(back), F.col("c")))
-    return rows.select("doc_id", "th", F.explode_outer(F.array_distinct(F.array("f", "b"))).alias("r")).where("r.full").select("doc_id", "th", "r.first", "r.last", "r.fp", "r.key")
+    rows = rows.withColumn("full", F.max("c").over(forth) - F.col("s") >= min_words).withColumn("least", F.min(F.struct("h", "pos")).over(forth))
+    rows = rows.withColumn("last", F.max("pos").over(forth)).withColumn("key", F.xxhash64(F.collect_list("h").over(forth)))
+    rows = rows.withColumn("before", F.lag("least.pos").over(own.orderBy("s")))
+    rows = rows.withColumn("first", F.min("pos").over(back)).withColumn("back", F.xxhash64(F.collect_list("h").over(back))).withColumn("back_full", F.col("c") - F.min("s").over(back) >= min_words)
+    mine = lambda c: F.when(F.col("full"), c)
+    his = lambda c: F.when(F.col("back_full"), F.col(c)).alias(c)
+    chosen = F.col("before").isNull() | (F.col("before") != F.col("least.pos"))
+    return rows.select(*DOC, "pos", mine(F.col("last")).alias("last"), mine(F.col("least.h")).alias("fp"), mine(F.col("key")).alias("key"), mine(chosen).alias("chosen"), his("first"), his("back"))
+
+
+def _shared(runs: DataFrame, by: list[str]) -> DataFrame:
+    """The ``runs`` (doc_id, th, first, last and ``by``) whose ``by`` others have, and whether they are later than the first of these."""
+    firsts = runs.groupBy(*by).agg(F.min(F.struct(*DOC, "first")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select(*by, "f")
+    return runs.join(firsts, by).select(*DOC, "first", "last", (F.struct(*DOC, "first") != F.col("f")).alias("later"))
 
 
 def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, th (xxhash64 of the text) and gone: the ascending positions of the lines that a document loses."""
-    win = windows(docs, min_words)
-    firsts = win.groupBy("fp", "key").agg(F.min(F.struct("doc_id", "th", "first")).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("fp", "key", "f")
-    same = win.join(firsts, ["fp", "key"]).where(F.struct("doc_id", "th", "first") != F.col("f"))
-    lost = same.select("doc_id", "th", F.explode_outer(F.sequence("first", "last")).alias("pos"))
-    return lost.groupBy("doc_id", "th").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    scratch = Scratch(docs.sparkSession, "lines")
+    lines = scratch.write(windows(docs, min_words), "windows")
+    # Positions chosen: one row for each, not one for each window.
+    joined = lines.where("chosen").groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    runs = lines.where("key is not null").select(*DOC, F.col("pos").alias("first"), "last", "fp", "key").join(joined, "fp", "left_semi")
+    shared = scratch.write(_shared(runs, ["fp", "key"]), "shared")
+    starts = shared.select(F.col("doc_id").alias("doc2"), F.col("th").alias("th2"), F.col("first").alias("first2"), F.col("last").alias("last2"))
+    tails = lines.where("back is not null").select(*DOC, "first", F.col("pos").alias("last"), "back")
+    tails = tails.join(starts, F.col("doc_id").eqNullSafe(F.col("doc2")) & (F.col("th") == F.col("th2")) & (F.col("first") == F.col("first2")) & (F.col("last") > F.col("last2")), "left_semi")
+    later = shared.unionByName(_shared(tails, ["back"])).where("later")
+    lost = later.select(*DOC, F.explode_outer(F.sequence("first", "last")).alias("pos"))
+    gone = scratch.write(lost.groupBy(*DOC).agg(F.sort_array(F.collect_set("pos")).alias("gone")), "gone")
+    scratch.keep("gone")
+    return gone
 
 
 def dedup(docs: DataFrame, min_words: int = MIN_WORDS, gone: str = "gone") -> DataFrame:

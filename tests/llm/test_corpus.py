@@ -112,6 +112,17 @@ def test_line_dedup_edges(spark):
     kept = {r.doc_id: r.text for r in linededup.dedup(docs(spark, [f"x\n{passage}", f"{passage}\ny"])).collect()}
     assert kept == {0: f"x\n{passage}", 1: "y"}
     assert linededup.dedup(docs(spark, [])).count() == 0
+    rows = [(None, passage), (None, passage), (3, f"{passage}\nz"), (3, f"{passage}\nz"), (3, "z")]
+    left = linededup.dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, passage), (0, passage), (3, "z"), (3, "z"), (3, "z")]
+
+
+def test_line_dedup_extends_past_the_last_window(spark):
+    long, tail = " ".join(f"l{k}" for k in range(60)), "a few words more"
+    got = linededup.dedup(docs(spark, [f"{long}\nx", f"{long}\n{tail}\ny", f"{long}\n{tail}\nz", f"q\n{tail}"])).collect()
+    assert {r.doc_id: r.text for r in got} == {0: f"{long}\nx", 1: f"{tail}\ny", 2: "z", 3: f"q\n{tail}"}
+    win = linededup.windows(docs(spark, [" ".join("abcdefghij") + "\n" + "\n".join(f"{k} one two three four five six" for k in range(100))]))
+    assert win.where("chosen").count() < 0.5 * win.count()
 
 
 # ---- 1
