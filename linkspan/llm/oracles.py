@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .linededup import MIN_WORDS as RUN_WORDS
 from .ngramjoin import N, THRESHOLD
-from .quality import ALPHA, DELTA, GRID, MIN_WORDS
+from .quality import ALPHA, DELTA, GRID, MIN_WORDS, TUNING
 
 _WS = r"[\x20\x09-\x0D]+"
 _WORDS = f"list_filter(regexp_split_to_array(coalesce({{}}, ''), '{_WS}'), lambda x: x <> '')"
@@ -22,7 +22,9 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(m, doc_id))
 _RULES = {"symbol_rate": ("n_symbols", "n_words"), "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words"), "upper_rate": ("n_upper", "n_chars_all")}
 _FAILED = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)"
 _POINTS = ", ".join(f"('{rule}', {step}, {cut})" for rule, cuts in GRID.items() for step, cut in enumerate(cuts))
-_RATE = "CASE rule " + " ".join(f"WHEN '{r}' THEN {a}::DOUBLE / greatest({b}, 1)" for r, (a, b) in _RULES.items()) + " END"
+_RATES = {r: f"({a}::DOUBLE / greatest({b}, 1))" for r, (a, b) in _RULES.items()}
+_RATE = "CASE rule " + " ".join(f"WHEN '{r}' THEN r_{r}" for r in _RULES) + " END"
+_CUT = {r: f"([{', '.join(f'{x}::DOUBLE' for x in GRID[r])}])[least(step, s_{r}) + 1]" for r in GRID}
 
 OP8 = f"""
 WITH t AS (SELECT doc_id, lang, coalesce(text, '') AS t, {_WORDS.format('text')} AS w FROM documents),
@@ -32,14 +34,18 @@ d AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, h) AS
 c AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM d) GROUP BY doc_id),
 m AS (SELECT u.doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(c.n, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines, len(regexp_extract_all(t, '[A-Z]')) AS n_upper, length(t) AS n_chars_all FROM u LEFT JOIN c USING (doc_id)),
 k AS (SELECT doc_id, max((quality = 1)::INT) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
-x AS (SELECT lang, good, rule, step, cutoff::DOUBLE AS cutoff, (({_RATE}) >= cutoff::DOUBLE)::INT AS hit FROM m JOIN k USING (doc_id), (VALUES {_POINTS}) p(rule, step, cutoff) WHERE NOT {_FAILED}),
-s AS (SELECT lang, rule, step, cutoff, sum(good)::BIGINT AS n, sum(good * hit)::BIGINT AS r, sum((1 - good) * hit)::BIGINT AS bad FROM x GROUP BY ALL),
-p AS (SELECT *, {DELTA} / ({len(GRID)} * (SELECT count(DISTINCT coalesce('=' || lang, 'null')) FROM s)) AS level,
-  CASE WHEN r >= n * {ALPHA}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(range(0, r + 1), lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({ALPHA}) + (n - j) * ln({1 - ALPHA})))) END AS p FROM s),
-q AS (SELECT *, max((p > level)::INT) OVER (PARTITION BY lang, rule ORDER BY step) AS broken FROM p),
-b AS (SELECT lang, rule, cutoff FROM q WHERE broken = 0 AND bad > r QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY bad - r DESC, step) = 1),
-v AS (SELECT m.doc_id, bool_or({_RATE} >= cutoff) AS out FROM m JOIN b ON m.lang IS NOT DISTINCT FROM b.lang GROUP BY m.doc_id)
-SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_FAILED} AS base_failed, NOT {_FAILED} AND NOT coalesce(out, false) AS kept FROM m LEFT JOIN v USING (doc_id)
+x AS (SELECT doc_id, good, substr(md5(doc_id::VARCHAR), 1, 1) < '{"0123456789abcdef"[TUNING]}' AS tuning, min(lang) AS lang, {", ".join(f"max({x}) AS r_{r}" for r, x in _RATES.items())} FROM m JOIN k USING (doc_id) WHERE NOT {_FAILED} GROUP BY doc_id, good),
+g AS (SELECT lang, rule, step, sum(({_RATE} >= cutoff::DOUBLE)::INT * (1 - 2 * good)) AS gain FROM x, (VALUES {_POINTS}) p(rule, step, cutoff) WHERE tuning GROUP BY ALL),
+b AS (SELECT lang, rule, step FROM g WHERE gain > 0 QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY gain DESC, step) = 1),
+s AS (SELECT lang, {", ".join(f"max(step) FILTER (WHERE rule = '{r}') AS s_{r}" for r in GRID)} FROM b GROUP BY lang),
+u2 AS (SELECT s.*, step, good, ({" OR ".join(f"coalesce(r_{r} >= {_CUT[r]}, false)" for r in GRID)})::INT AS hit FROM x JOIN s ON x.lang IS NOT DISTINCT FROM s.lang, range({max(map(len, GRID.values()))}) t(step) WHERE NOT tuning),
+c2 AS (SELECT lang, step, {", ".join(f"s_{r}" for r in GRID)}, sum(good)::BIGINT AS n, sum(good * hit)::BIGINT AS r FROM u2 GROUP BY ALL),
+p AS (SELECT *, {DELTA} / count(*) OVER (PARTITION BY step) AS level,
+  CASE WHEN r >= n * {ALPHA}::DOUBLE THEN 1.0 ELSE list_sum(list_transform(range(0, r + 1), lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({ALPHA}) + (n - j) * ln({1 - ALPHA})))) END AS p FROM c2),
+q AS (SELECT *, max((p > level)::INT) OVER (PARTITION BY lang ORDER BY step) AS broken FROM p),
+e AS (SELECT lang, {", ".join(f"{_CUT[r]} AS c_{r}" for r in GRID)} FROM q WHERE broken = 0 QUALIFY row_number() OVER (PARTITION BY lang ORDER BY step DESC) = 1),
+v AS (SELECT m.*, {" OR ".join(f"coalesce({_RATES[r]} >= c_{r}, false)" for r in GRID)} AS out FROM m LEFT JOIN e ON m.lang IS NOT DISTINCT FROM e.lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_FAILED} AS base_failed, NOT {_FAILED} AND NOT out AS kept FROM v
 """
 
 OP10 = f"""

@@ -63,17 +63,36 @@ def test_binomial_tail_is_exact(spark):
 
 def test_quality_certifies_only_with_enough_labels(spark):
     clean, junk = " ".join(f"word{k}" for k in range(60)), " ".join(f"w{k}$$$" for k in range(60))
-    many = docs(spark, [f"{clean} {k}" for k in range(1600)] + [f"{junk} {k}" for k in range(40)])
-    labels = many.select("doc_id", (F.col("doc_id") < 1600).cast("int").alias("quality"), F.lit(0).alias("toxic"))
-    got = {r.doc_id: r.kept for r in quality.assess(spark, many, labels).collect()}
-    assert all(got[i] for i in range(1600)) and not any(got[i] for i in range(1600, 1640))
-    few = {r.doc_id: r.kept for r in quality.assess(spark, many, labels.where("doc_id % 100 = 0")).collect()}
+    many = docs(spark, [f"{clean} {k}" for k in range(400)] + [f"{junk} {k}" for k in range(40)])
+    labels = many.select("doc_id", (F.col("doc_id") < 400).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    got = {r.doc_id: r.kept for r in quality.assess(spark, clashing(many).drop("stratum", "p", "words"), labels).collect()}
+    assert all(got[i] for i in range(400)) and not any(got[i] for i in range(400, 440))
+    few = {r.doc_id: r.kept for r in quality.assess(spark, many, labels.where("doc_id % 10 = 0")).collect()}
     assert all(few.values())
     kept = quality.keep(spark, clashing(docs(spark, [*ODD, clean])), labels)
     assert kept.columns == [*docs(spark, []).columns, *CLASHES] and [r.doc_id for r in kept.collect()] == [len(ODD)]
     assert quality.keep(spark, docs(spark, []), labels).count() == 0
 
 
+def test_quality_bounds_the_union_of_rules_and_counts_a_document_once(spark):
+    """Each rule alone rejects few good documents, all together too many: the walk ends before that."""
+    rng = random.Random(11)
+    row = lambda i, good, sym, dup: (i, "en", 100, 500, sym, dup, 0, 100, 0, 600, good)
+    rows = [row(i, 1, 20 if i % 25 == 0 else 0, 40 if i % 25 == 1 else 0) for i in range(1000)] + [row(i, 0, rng.choice([20, 0]), rng.choice([40, 0])) for i in range(1000, 1600)]
+    names = "doc_id bigint, stratum string, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_upper bigint, n_chars_all bigint, quality int"
+    df = spark.createDataFrame(rows, names)
+    labels = df.select("doc_id", "quality")
+    for times in (1, 5):
+        more = df.drop("quality")
+        for _ in range(times - 1):
+            more = more.unionByName(df.drop("quality"))
+        for alpha, most in ((0.05, 0.05), (0.2, 0.2)):
+            chosen = {r.rule: r for r in quality.cutoffs(more, labels, alpha=alpha).collect()}
+            out = [x for x in rows if x[-1] and (("symbol_rate" in chosen and x[4] / 100 >= chosen["symbol_rate"].cutoff) or ("dup_line_rate" in chosen and x[5] / 100 >= chosen["dup_line_rate"].cutoff))]
+            assert len(out) <= most * 1000 and (alpha < 0.1 or len(out) == 80)
+            assert all(r.n_good < 1000 for r in chosen.values())
+
+
 # ---- 10
 
 
@@ -414,6 +433,13 @@ def test_bpe_equals_the_library(spark):
 # ---- registry and pipeline
 
 
+def test_quality_cutoffs_are_certified_on_the_checked_tables(spark):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
+    measured = quality.measure(read("documents"), [F.col("doc_id"), F.col("lang").alias("stratum")])
+    chosen = quality.cutoffs(measured, read("labels")).collect()
+    assert ("en", "symbol_rate") in {(r.stratum, r.rule) for r in chosen} and all(r.good_rejected <= quality.ALPHA * r.n_good for r in chosen)
+
+
 def test_every_query_runs_on_the_smallest_tables(spark):
     for name in ("op1_mixing", "op3_pii", "op5_language_id", "op8_quality_rules"):
         assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
