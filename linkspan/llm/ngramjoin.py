@@ -13,7 +13,8 @@ Documents with equal sets count as one (its smallest doc_id). The join then goes
   the rest: sets differ by as many tokens as their parities by bits, at least. Opened blocks are compared with the query exactly, member by
   member, until one links (a block is connected already, so one link is all that counts).
 
-Both rounds stream through ``_opened``: rows sorted by block, members first, so a task holds one block at a time.
+Both rounds stream through ``_opened``: rows sorted by block, members first, so a task holds one block at a time. A
+block that many documents query is copied, and its queries are dealt among the copies.
 The order of tokens comes from counts of all tokens of all documents in a table of fixed size (``BUCKETS``); it
 decides about cost only, never about results. Very frequent passages thus stay out of the prefixes.
 
@@ -40,6 +41,8 @@ from .pieces import release
 N, THRESHOLD = 5, (75, 100)
 #: Members of a block, min-hashes of a document, counters of token frequencies.
 BLOCK, KEYS, BUCKETS = 256, 3, 1 << 18
+#: Queries that one copy of a block serves; matches of tokens that the search looks at together; steps of components.
+QUERIES, MATCHES, MOST_STEPS = 4096, 2_000_000, 200
 #: Prefix tokens that a part of the search holds, about.
 PART = 1_000_000
 PRIME, MIX = np.uint64(0x9E3779B185EBCA87), np.array([0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -142,7 +145,8 @@ HEAD = np.dtype([("id", "<i8"), ("root", "<i8"), ("cut", "<i4"), ("n", "<i4"), (
 
 def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray, threshold: tuple[int, int]):
     """Rows (id, n, root, cut, probe, n_index) -> rows (part, query, heads, tokens, limits): for each part of the token
-    range, documents with their tokens there, as bytes. Query tokens of a range go to one of its parts, index tokens to all.
+    range, documents with their tokens there, as bytes. A range of s salts has s x s parts: query tokens go to one row
+    of them, by document, index tokens to one column, by block.
 
     The limit of a token is the largest set with which it can be the first one shared: at place i of n, at most n - i
     tokens are shared, and a link with a set of m needs t / (1 + t) (n + m) of them, so m <= (1 + t) / t (n - i) - n."""
@@ -161,6 +165,7 @@ def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray, threshold:
         doc = np.repeat(np.arange(batch.num_rows), n_of)
         place = np.arange(len(every)) - np.repeat(start[:-1] - start[0], n_of)
         ids, n, root, cut, n_index = (batch.column(c).to_numpy() for c in (0, 1, 2, 3, 5))
+        of_block = ((root.astype(np.uint64) * PRIME + cut.astype(np.uint64) * MIX[0]) >> np.uint64(33)).astype(np.int64)
         range_of = np.searchsorted(bounds, every >> np.uint64(64 - 18), "right") - 1
         size = n.astype(np.int64)[doc]
         limits = np.clip((up + down) * (size - place) // up - size, 0, NONE).astype(np.int32)
@@ -168,16 +173,17 @@ def _dealt(bounds: np.ndarray, salts: np.ndarray, first: np.ndarray, threshold:
         for query in (0, 1):
             use = np.ones(len(every), bool) if query else place < n_index[doc]
             t, d, r, m = every[use], doc[use], range_of[use], limits[use]
-            part = first[r] + (d % salts[r] if query else 0)
-            by = np.lexsort((d, part))
-            t, d, part, r, m = t[by], d[by], part[by], r[by], m[by]
-            for x, y in zip(cuts := np.flatnonzero(np.diff(part, prepend=-1)), [*cuts[1:], len(part)], strict=True):
+            salt = (d if query else of_block[d]) % salts[r]
+            by = np.lexsort((d, salt, r))
+            t, d, r, m, salt = t[by], d[by], r[by], m[by], salt[by]
+            for x, y in zip(cuts := np.flatnonzero(np.diff(first[r] + salt, prepend=-1)), [*cuts[1:], len(r)], strict=True):
                 heads = np.flatnonzero(np.diff(d[x:y], prepend=-1))
                 who = d[x:y][heads]
                 h = np.zeros(len(who), HEAD)
                 h["id"], h["root"], h["cut"], h["n"], h["k"] = ids[who], root[who], cut[who], n[who], np.diff([*heads, y - x])
-                for salt in range(1 if query else int(salts[r[x]])):
-                    rows.append((int(part[x]) + salt, query, h.tobytes(), t[x:y].tobytes(), m[x:y].tobytes()))
+                s, at = int(salts[r[x]]), int(salt[x])
+                for other in range(s):
+                    rows.append((int(first[r[x]]) + (at * s + other if query else other * s + at), query, h.tobytes(), t[x:y].tobytes(), m[x:y].tobytes()))
         if rows:
             a, b, *c = zip(*rows, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int32()), *[pa.array(x, pa.binary()) for x in c]], names=["part", "query", "heads", "tokens", "limits"])
@@ -207,11 +213,13 @@ def _searched(threshold: tuple[int, int]):
                 tokens_, root, cut, low, high, reach = matrix
                 doc = np.repeat(np.arange(len(h)), h["k"])
                 a, b = np.searchsorted(tokens_, t, "left"), np.searchsorted(tokens_, t, "right")
-                for x in range(0, len(t), step := 20_000):
-                    lo, m = a[x : x + step], (b - a)[x : x + step]
-                    at = np.repeat(lo - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))
-                    q = h[np.repeat(doc[x : x + step], m)]
-                    near = (low[at] <= np.repeat(limit[x : x + step], m)) & (reach[at] >= q["n"])
+                ends = np.cumsum(b - a)
+                for x in range(0, int(ends[-1]) if len(ends) else 0, MATCHES):  # by matches: a token may be in any number of blocks
+                    which = np.arange(x, min(x + MATCHES, int(ends[-1])))
+                    token = np.searchsorted(ends, which, "right")
+                    at = which - ends[token] + b[token]
+                    q = h[doc[token]]
+                    near = (low[at] <= limit[token]) & (reach[at] >= q["n"])
                     ok = near & (q["root"] != root[at]) & (low[at] <= q["n"]) & (high[at].astype(np.int64) * down >= q["n"].astype(np.int64) * up)
                     if ok.any():
                         found.append(np.unique(np.stack([q["id"][ok], root[at][ok], cut[at][ok]]), axis=1))
@@ -308,14 +316,14 @@ def _opened(threshold: tuple[int, int]):
 
 def _ranges(counts: np.ndarray, threshold: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ranges of the leading bits of tokens with about PART prefix tokens each: their first counters, the number of
-    parts of each (over 1 where a single counter has more), and the number of the first part."""
+    salts of each (over 1 where a single counter has more), and the number of the first part."""
     share = 1 - threshold[0] / threshold[1]
     load = np.maximum(counts * share, 1)
     most = min(PART, max(1.0, load.sum() / 24))
     bounds = np.flatnonzero(np.diff((np.cumsum(load) - load) // most, prepend=-1))
     of = np.add.reduceat(load, bounds)
     salts = np.maximum(1, of // (2 * most)).astype(np.int64)
-    return bounds, salts, np.cumsum(salts) - salts
+    return bounds, salts, np.cumsum(salts**2) - salts**2
 
 
 def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -323,7 +331,7 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataF
     steps alternate until the edges no longer change; each step is an aggregation and a join."""
     now = scratch.write(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges-0")
     mark = None
-    for step in range(1, 100):
+    for step in range(1, MOST_STEPS + 1):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
@@ -336,6 +344,8 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataF
         if new == mark:
             break
         mark = new
+    else:
+        raise RuntimeError(f"components still change after {MOST_STEPS} steps")
     return now.select(F.col("a").alias("id"), F.col("b").alias("root"))
 
 
@@ -369,7 +379,13 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
 
     def opened(asked: DataFrame, members: DataFrame, name: str) -> DataFrame:
         """Edges from queries and members, both (id, block). Blocks are opened for the queries whose bound, from set
-        sizes and parities, allows a link. Texts travel once, sets once for each open block."""
+        sizes and parities, allows a link. Texts travel once, sets once for each open block. A block that more than
+        QUERIES documents ask for is copied; each copy is a block of its own with a part of the queries."""
+        hot = asked.groupBy(F.col("block").alias("hot")).agg(F.ceil(F.count(F.lit(1)) / QUERIES).alias("copies")).where("copies > 1")
+        copies = lambda df: df.join(hot, F.col("block") == F.col("hot"), "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+        copy = lambda salt: F.when(F.col("copies") > 1, F.xxhash64("block", salt)).otherwise(F.col("block")).alias("block")
+        asked = copies(asked).select("id", copy(F.pmod(F.xxhash64("id"), F.col("copies"))))
+        members = copies(members).select("id", "block", "copies", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1)).alias("salt")).select("id", copy(F.col("salt")))
         ask, hold = asked.select("block", F.lit(1).alias("query"), "id"), members.select("block", F.lit(0).alias("query"), "id")
         known = ask.unionByName(hold).join(facts, "id").select("block", "query", "id", "n", "bits")
         known = known.repartition("block").sortWithinPartitions("block", "query")
@@ -414,6 +430,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     far = opened(found, members, "far")
 
     roots = scratch.write(components(spark, near.unionByName(far).unionByName(same), scratch), "roots")
+    scratch.keep("measured", "roots")
     out = measured.select("id", "n").join(roots, "id", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
 
