@@ -4,8 +4,13 @@ A text is cut by the tokenizer's pattern; each piece is encoded separately. A pi
 token. The others wait in buckets of similar length, as the rows of a matrix of token ids padded with -1. In each
 round every row merges its leftmost pair of minimum rank: pair ranks come from an open-addressing hash table over
 (left id, right id), the row closes up over the merged pair, rows without a mergeable pair leave, and columns that no
-row uses are cut. Only the two pairs beside a merge are looked up anew. Pieces over ``LONG`` bytes, which a matrix
-would merge in quadratic time, use a heap of pairs over a linked list, with the same order of merges.
+row uses are cut. Only the two pairs beside a merge are looked up anew.
+
+Pieces are first cut, exactly, where no token has the two bytes beside each other: no merge can cross there. Rows of the
+widest bucket (over ``WIDTHS[-1]`` bytes, any length) merge all pairs of minimum rank in a round, from left to right,
+which is what single merges come to where every token of the file is made, from its own bytes, by merges of rising
+rank: then no merge brings a pair of lower rank than its own. The file is checked for that before the first such row;
+where it fails, these rows too merge one pair a round.
 
 Edge cases: a null or empty text has no ids and decodes to empty bytes; null ids decode to empty bytes. Repeated rows
 are encoded alike. Other columns pass through as they are, whatever their names, but for the output column.
@@ -14,7 +19,6 @@ are encoded alike. Other columns pass through as they are, whatever their names,
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,11 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import free_name, table
 from .pieces import PieceStore, chunks, release
 
-#: Bytes beyond which a piece is merged by a heap.
-LONG = 256
 WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256)
 NONE = np.iinfo(np.int32).max
 CELLS = 2_000_000
@@ -93,10 +95,27 @@ class ByteBPE:
                     keys.append((a << 32) | b)
                     merged.append(rank)
         self.pairs = PairTable(np.array(keys, np.int64), np.array(merged, np.int32))
+        self.ordered: bool | None = None
+        self.beside = np.zeros(1 << 16, bool)  # two bytes that some token has beside each other
+        for token in self.ranks:
+            for a, b in zip(token, token[1:], strict=False):
+                self.beside[a << 8 | b] = True
         self.store = PieceStore(self.encode_pieces)
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [p.encode() for p in pieces]
+        whole = np.fromiter((self.ranks.get(p, -1) for p in raw), np.int32, len(raw))
+        cut = [[p] if w >= 0 else self._sections(p) for p, w in zip(raw, whole.tolist(), strict=True)]
+        parts, of = [x for y in cut for x in y], np.fromiter(map(len, cut), np.int64, len(cut))
+        flat, lens = self._encode_sections(parts)
+        return flat, np.diff(np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(of)])])
+
+    def _sections(self, piece: bytes) -> list[bytes]:
+        b = np.frombuffer(piece, np.uint8).astype(np.int64)
+        ends = (np.flatnonzero(~self.beside[b[:-1] << 8 | b[1:]]) + 1).tolist()
+        return [piece[x:y] for x, y in zip([0, *ends], [*ends, len(piece)], strict=True)] if ends else [piece]
+
+    def _encode_sections(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         lens = np.ones(len(raw), np.int64)
         whole = np.fromiter((self.ranks.get(p, -1) for p in raw), np.int32, len(raw))
         rest = np.flatnonzero(whole < 0)
@@ -112,7 +131,7 @@ class ByteBPE:
                 lens[some] = n
                 parts.update(zip(some.tolist(), (ids[r, :m] for r, m in enumerate(n.tolist())), strict=True))
         for i in rest[sizes > WIDTHS[-1]].tolist():
-            parts[i] = self._heap(raw[i])
+            parts[i] = self._row(raw[i])
             lens[i] = len(parts[i])
         if not len(rest):
             return whole, lens
@@ -124,15 +143,26 @@ class ByteBPE:
             flat[starts[i] : ends[i]] = ids
         return flat, lens
 
-    def _matrix(self, raw: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    def _rises(self) -> bool:
+        """Whether the merges that make a token from its bytes rise in rank, for every token."""
+        made = [t for t in self.ranks if len(t) > 1]
+        by_width = {w: [t for t in made if v < len(t) <= w] for v, w in zip((0, *WIDTHS), WIDTHS, strict=False)}
+        return all(len(t) <= WIDTHS[-1] for t in made) and all(self._matrix(some, w, rising=True)[2] for w, some in by_width.items() if some)
+
+    def _matrix(self, raw: list[bytes], width: int, rising: bool = False) -> tuple:
         n = np.fromiter(map(len, raw), np.int64, len(raw))
         ids = np.full((len(raw), width), -1, np.int32)
         ids[np.arange(width) < n[:, None]] = self.of_byte[np.frombuffer(b"".join(raw), np.uint8)]
         out, out_n, rows = ids.copy(), n.copy(), np.arange(len(raw))
         rank = self.pairs.get(ids[:, :-1], ids[:, 1:])
+        last = np.full(len(raw), -1, np.int32)
         while len(rows):
             at = rank.argmin(axis=1)
             best = rank[np.arange(len(rows)), at]
+            if rising:
+                if (best < last[rows]).any():
+                    return out, out_n, False
+                last[rows] = best
             if (over := best == NONE).any():
                 gone = rows[over]
                 out[gone, : ids.shape[1]], out_n[gone] = ids[over], n[over]
@@ -152,27 +182,39 @@ class ByteBPE:
                 ok = (k >= 0) & (k < n - 1)
                 rank[r[ok], k[ok]] = self.pairs.get(new[r[ok], k[ok]], new[r[ok], k[ok] + 1])
             ids = new
-        return out, out_n
-
-    def _heap(self, piece: bytes) -> np.ndarray:
-        ids = self.of_byte[np.frombuffer(piece, np.uint8)].tolist()
-        n, get, text = len(ids), self.ranks.get, self.bytes_of
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        join = lambda a, b: get(text[ids[a]] + text[ids[b]])
-        heap = [(rank, k, ids[k], ids[k + 1]) for k in range(n - 1) if (rank := join(k, k + 1)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, k, left, right = heapq.heappop(heap)
-            b = after[k]
-            if ids[k] != left or b < 0 or ids[b] != right:
-                continue
-            ids[k], ids[b], after[k] = rank, -1, after[b]
-            if after[b] >= 0:
-                before[after[b]] = k
-            for x, y in ((before[k], k), (k, after[k])):
-                if x >= 0 and y >= 0 and (again := join(x, y)) is not None:
-                    heapq.heappush(heap, (again, x, ids[x], ids[y]))
-        return np.array([x for x in ids if x >= 0], np.int32)
+        return (out, out_n, bool((out_n == 1).all())) if rising else (out, out_n)
+
+    def _row(self, piece: bytes) -> np.ndarray:
+        """A matrix of one row, of any width. A merged token stays in its left cell and the right one is passed over
+        until half of the row is; then the row closes up."""
+        if self.ordered is None:
+            self.ordered = self._rises()
+        ids = self.of_byte[np.frombuffer(piece, np.uint8)]
+        while True:
+            n = len(ids)
+            after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+            rank = np.full(n, NONE, np.int32)
+            rank[:-1] = self.pairs.get(ids[:-1], ids[1:])
+            dead = 0
+            while (best := rank.min()) != NONE and 2 * dead <= n:
+                at = np.flatnonzero(rank == best)
+                # Of pairs in a row every second one is merged, from the left: a run is a chain of pairs that share a cell.
+                chained = np.concatenate([[False], after[at[:-1]] == at[1:]])
+                k = np.arange(len(at))
+                at = at[(k - np.maximum.accumulate(np.where(chained, 0, k))) % 2 == 0] if self.ordered else at[:1]
+                gone = after[at]
+                ids[at] = best
+                rank[gone], rank[at] = NONE, NONE
+                after[at] = after[gone]
+                inside = after[at] < n
+                before[after[at[inside]]] = at[inside]
+                dead += len(at)
+                ids[gone] = -1
+                for left in (at[inside], before[at][before[at] >= 0]):
+                    rank[left] = self.pairs.get(ids[left], ids[after[left]])
+            ids = ids[ids >= 0]
+            if best == NONE:
+                return ids
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in order, and the number of ids of each."""
@@ -191,18 +233,19 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", to: str =
     """``df`` with its column ``text`` replaced by ``to``, an array of token ids."""
     kept = [f for f in df.schema.fields if f.name not in (text, to)]
     cols = [f.name for f in kept]
+    last = len(cols)  # the text's place: names of other columns can't clash
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
         for batch in batches:
-            for a, texts in chunks(batch.column("__text")):
+            for a, texts in chunks(batch.column(last)):
                 flat, n = bpe.encode(texts)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, len(texts)) for c in cols], ids], names=[*cols, to])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(a, len(texts)) for c in range(last)], ids], names=[*cols, to])
         release()
 
     schema = T.StructType([*kept, T.StructField(to, T.ArrayType(T.IntegerType(), False), True)])
-    return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias(free_name(cols))).mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", to: str = "decoded") -> DataFrame:

@@ -75,6 +75,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(taken: list[str], name: str = "__text") -> str:
+    """A column name that isn't taken; case doesn't count."""
+    lower = {c.lower() for c in taken}
+    while name in lower:
+        name += "_"
+    return name
+
+
 def words(text: Column) -> Column:
     """Words of a text: the maximal runs of anything but ASCII white space; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WS_RUN), "")

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table
+from .common import free_name, table
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "iban", "secret")
@@ -151,15 +151,15 @@ def find_spans(df: DataFrame, text: str = "text", to: str = "pii", redacted: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
+            texts = [t or "" for t in batch.column(len(cols)).to_pylist()]
             found = [find(t) for t in texts]
-            arrays = [*[batch.column(c) for c in cols], pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in found], kind)]
+            arrays = [*[batch.column(c) for c in range(len(cols))], pa.array([[{"kind": k, "start": a, "end": b} for k, a, b in x] for x in found], kind)]
             if redacted:
                 arrays.append(pa.array([redact(t, x) if x else t for t, x in zip(texts, found, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*cols, to, *[redacted] * bool(redacted)])
 
     schema = T.StructType([*kept, T.StructField(to, T.ArrayType(SPAN)), *[T.StructField(redacted or "", T.StringType())] * bool(redacted)])
-    return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias("__text")).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in cols], F.col(f"`{text}`").alias(free_name(cols))).mapInArrow(run, schema)
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -265,8 +265,11 @@ def brute_components(texts):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_ngram_join_against_all_pairs(spark, seed):
+@pytest.mark.parametrize(("seed", "small"), [(1, False), (2, False), (3, True)])
+def test_ngram_join_against_all_pairs(spark, seed, small, monkeypatch):
+    if small:  # every block copied, every range salted, few matches at a time
+        for name, size in (("QUERIES", 3), ("MATCHES", 7), ("PART", 150), ("BLOCK", 4)):
+            monkeypatch.setattr(ngramjoin, name, size)
     rng = random.Random(seed)
     shared = [f"s{k}" for k in range(40)]
     bases = [[f"b{b}w{rng.randint(0, 400)}" for _ in range(rng.choice([3, 8, 40, 120]))] for b in range(14)]
@@ -428,6 +431,13 @@ def test_bpe_equals_the_library(spark):
     for r in coded.collect():
         assert r.ids == library.encode_ordinary(texts[r.doc_id]) and bytes(r.decoded) == texts[r.doc_id].encode()
     assert bpe.digests(docs(spark, [])).count() == 0
+    assert own._rises()
+    own.store = type(own.store)(own.encode_pieces)
+    long = ["a" * 5001, "".join(rng.choice("abcdefghij") for _ in range(30_000)), "".join(rng.choice("etaoin") for _ in range(3000)), "😀" * 999 + "é" * 777]
+    assert [library.encode_ordinary(t) for t in long] == [own.encode([t])[0].tolist() for t in long]
+    named = docs(spark, ["a b"]).withColumns({"__text": F.lit("x"), "batch": F.lit("y")})
+    assert bpe.encode(named, path, pattern).first().ids == library.encode_ordinary("a b")
+    assert pii.find_spans(named).select("__text", "pii").first() == ("x", [])
 
 
 # ---- registry and pipeline
@@ -435,7 +445,7 @@ def test_bpe_equals_the_library(spark):
 
 def test_quality_cutoffs_are_certified_on_the_checked_tables(spark):
     read = lambda t: spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet")
-    measured = quality.measure(read("documents"), [F.col("doc_id"), F.col("lang").alias("stratum")])
+    measured = common.Scratch(spark, "test").write(quality.measure(read("documents"), [F.col("doc_id"), F.col("lang").alias("stratum")]), "measured")
     chosen = quality.cutoffs(measured, read("labels")).collect()
     assert ("en", "symbol_rate") in {(r.stratum, r.rule) for r in chosen} and all(r.good_rejected <= quality.ALPHA * r.n_good for r in chosen)
 
