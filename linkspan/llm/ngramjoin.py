@@ -2,7 +2,8 @@
 
 Documents with equal sets count as one (its smallest doc_id). The join then goes in two rounds.
 
-* Grouping. Documents are linked with the smallest one that has the same min-hash, for a few min-hashes: pairs in number
+* Grouping. Documents are compared with three of those that have the same min-hash, for a few min-hashes, half of them
+  of the whole set and half of its rarer half, where a common passage can't decide, and a similar size: pairs in number
   linear in the documents, whatever the size of a group. Those that pass the exact test are edges; connected
   documents form a group, cut into blocks of ``BLOCK`` members.
 * Search. The token-group matrix holds, for each block, the union of its members' index tokens. A query opens a block
@@ -40,7 +41,7 @@ from .pieces import release
 
 N, THRESHOLD = 5, (75, 100)
 #: Members of a block, min-hashes of a document, counters of token frequencies.
-BLOCK, KEYS, BUCKETS = 256, 3, 1 << 18
+BLOCK, KEYS, BUCKETS = 256, 4, 1 << 18
 #: Queries that one copy of a block serves; matches of tokens that the search looks at together; steps of components.
 QUERIES, MATCHES, MOST_STEPS = 4096, 2_000_000, 200
 #: Prefix tokens that a part of the search holds, about.
@@ -106,6 +107,12 @@ def _measure(n: int):
     return run
 
 
+def _least(t: np.ndarray, mix: np.ndarray) -> np.ndarray:
+    """A min-hash of the tokens for each factor of ``mix``."""
+    x = t[:, None] * mix[None, :]
+    return (x ^ (x >> np.uint64(32))).min(axis=0)
+
+
 def _prefixes(n: int, threshold: tuple[int, int], order):
     """id, n, min-hash keys, tokens of the prefix from rare to frequent, how many of them are index tokens, and parities."""
     up, down = threshold
@@ -121,9 +128,11 @@ def _prefixes(n: int, threshold: tuple[int, int], order):
                     continue
                 probe = size - -(-up * size // down) + 1
                 index = size - -(-2 * up * size // (up + down)) + 1
-                first = t[np.lexsort((t, counts[(t >> np.uint64(64 - 18)).astype(np.int64)]))[:probe]]
-                x = t[:, None] * MIX[None, :KEYS]
-                keys = (x ^ (x >> np.uint64(32))).min(axis=0)
+                by_count = t[np.lexsort((t, counts[(t >> np.uint64(64 - 18)).astype(np.int64)]))]
+                first = by_count[:probe]
+                # With each a class of sizes, so that the smallest document of a key is no far longer one; limits of classes alternate.
+                classes = (np.log(size) / np.log(1.3) + np.arange(KEYS) % 2 / 2).astype(np.uint64)
+                keys = (np.concatenate([_least(t, MIX[: KEYS // 2]), _least(by_count[: -(-size // 2)], MIX[KEYS // 2 : KEYS])]) + classes) * PRIME
                 rows.append((ids[k], size, keys.view(np.int64), first.view(np.int64), min(index, probe), parities(t)))
                 if len(rows) == 500:
                     yield _batch(rows)
@@ -402,10 +411,11 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
         _free(spark)
         return edges
 
-    # Round 1: stars around the smallest document of each min-hash.
+    # Round 1: stars around three documents of each min-hash, the smallest, the largest and one by hash: who isn't
+    # similar enough to one of them, but to most of the group, is to another.
     keyed = narrow.select("id", F.posexplode_outer("keys").alias("which", "key"))
-    pivots = keyed.groupBy("which", "key").agg(F.min("id").alias("block"), F.count(F.lit(1)).alias("m")).where("m > 1").select("which", "key", "block")
-    stars = keyed.join(pivots, ["which", "key"]).where("id <> block").select("id", "block").distinct()
+    pivots = keyed.groupBy("which", "key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.min(F.struct(F.xxhash64("id"), "id"))["id"].alias("z"), F.count(F.lit(1)).alias("m")).where("m > 1").select("which", "key", F.array("x", "y", "z").alias("hubs"))
+    stars = keyed.join(pivots, ["which", "key"]).select("id", F.explode(F.array_distinct("hubs")).alias("block")).where("id <> block").distinct()
     stars = scratch.write(stars, "stars")
     hubs = stars.select(F.col("block").alias("id"), "block").distinct()
     near = opened(stars, hubs, "near")
