@@ -340,7 +340,7 @@ def test_forest_recall_and_edges(spark):
     rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(2000, None), (2001, [0.0] * 16), (2002, [float("nan")] * 16), (2003, [1.0, None] * 8), (2004, [1.0]), (2020, [float("inf")] * 16)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumn("rank", F.lit(1))
     got = collections.defaultdict(list)
-    for r in ann.nearest(spark, df, F.col("vec_id") % 20 == 0, k=10, least=500).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(spark, df, F.col("vec_id") % 20 == 0, k=10).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     hits = 0
     for q in range(0, 1200, 20):
@@ -354,6 +354,40 @@ def test_forest_recall_and_edges(spark):
     assert ann.nearest(spark, df.where("vec_id < 3"), F.lit(True)).count() == 6
 
 
+@pytest.mark.parametrize("n", [500, 2000, 3 * ann.BLOCK])
+def test_forest_recall_on_nearly_orthogonal_vectors(n):
+    """The hardest case: no clusters. Candidates are a part of the block where it has more than CANDIDATES vectors."""
+    rng = np.random.default_rng(n)
+    v = rng.standard_normal((n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    asked = v[:: n // 40][:40]
+    best = [np.argsort(-(v @ q))[:21] for q in asked]
+    got: list[list] = [[] for _ in asked]
+    for a in range(0, n, ann.BLOCK):
+        forest = ann.Forest(v[a : a + ann.BLOCK])
+        start, stop = forest.ranges(asked)
+        share = np.mean([len(forest.candidates(start[:, i], stop[:, i])) for i in range(len(asked))]) / len(forest.vectors)
+        assert share < (0.35 if n > 4000 else 0.7 if n > 1000 else 1.1)
+        for i, (rows, scores) in enumerate(forest.search(asked, 21)):
+            got[i] += [(-s, a + r) for r, s in zip(rows.tolist(), scores.tolist(), strict=True)]
+    recall = np.mean([len({r for _, r in sorted(g)[:21]} & set(b.tolist())) / 21 for g, b in zip(got, best, strict=True)])
+    assert recall >= 0.9, recall
+
+
+def test_forest_ties_copies_and_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    monkeypatch.setattr(ann, "QUERIES", 7)
+    rng = np.random.default_rng(8)
+    v = rng.integers(-2, 3, (150, 3)).astype(float)  # many ties and copies
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    df = spark.createDataFrame([*rows, (7, rows[7][1]), (None, [1.0, 1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in ann.nearest(spark, df, F.col("vec_id") % 5 == 0, k=6).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    live = [i for i in range(150) if v[i].any()]
+    assert dict(got) == {q: sorted((i for i in live if i != q), key=lambda i: (-(v[i] @ v[q]), i))[:6] for q in live if q % 5 == 0}
+
+
 # ---- 5
 
 
