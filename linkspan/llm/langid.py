@@ -5,14 +5,15 @@ address suffix + log prior of the host.
 
 * Text: hashed byte trigrams of the visible text under models of the labelled ``documents``, fitted on a bounded sample
   (``PER_LANGUAGE`` documents of smallest hash for each language); evidence is scaled to ``EVIDENCE`` trigrams at most.
-* Declared: ``lang`` of the html element agrees with the truth with probability ``TRUST_DECLARED``.
+* Declared: ``lang`` of the first html element agrees with the truth with probability ``TRUST_DECLARED``.
 * Suffix: country domain or language segment of the path, with ``TRUST_SUFFIX``.
 * Host: a page's own evidence without the host is soft-counted by host, registered domain and all pages, by grouped
-  aggregation; the prior of a host is smoothed with ``PULL`` pages of its domain's, a domain's with as many of the
+  aggregation, combined before the shuffle; pages without a host have the prior of all pages, and the others meet their
+  host's row in a join whose hot keys Spark splits. The prior of a host is smoothed with ``PULL`` pages of its domain's, a domain's with as many of the
   whole. The page's own count is taken out of its prior.
 
-Edge cases: null or empty html has no text and nothing declared; a null or strange url has the empty host. Unknown
-languages are no evidence. Without labelled documents, or pages, there are no rows. Repeated rows are judged alike.
+Pages are read by one forward scan, linear in their length. Edge cases: null or empty html has no text and nothing
+declared; a null or strange url has the empty host. Unknown languages are no evidence. Without labelled documents, or pages, there are no rows. Repeated rows are judged alike.
 Extra columns are ignored.
 """
 
@@ -26,23 +27,55 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import Scratch, table
+from .common import Scratch, smallest, table
 
 PER_LANGUAGE, CELLS, EVIDENCE = 500, 1 << 14, 120.0
 TRUST_DECLARED, TRUST_SUFFIX, PULL = 0.9, 0.85, 10.0
 #: Languages of country domains.
 SUFFIXES = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en", "ie": "en", "nz": "en"}
 
-_dropped = re.compile(r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>|<!--.*?-->")
-_tag = re.compile(r"(?s)<[^>]*>")
-_declared = re.compile(r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})").search
-_url = re.compile(r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)[^/?#]*([^?#]*)", re.I).match
-
-
-def visible(page: str) -> str:
-    return entities.unescape(_tag.sub(" ", _dropped.sub(" ", page)))
+#: Second-level labels under country domains beneath which names are registered.
+SECOND_LEVEL = {"ac", "co", "com", "edu", "gob", "gov", "gouv", "ltd", "me", "mil", "net", "nom", "or", "org", "sch"}
+
+_name = re.compile(r"[A-Za-z][A-Za-z0-9:-]*").match
+_attribute = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?").finditer
+_ends = {t: re.compile(rf"</{t}(?![A-Za-z0-9-])", re.I).search for t in ("script", "style", "noscript", "template")}
+_url = re.compile(r"^[a-z][a-z0-9+.-]*://([^/?#]*)([^?#]*)", re.I).match
+
+
+def scan(page: str) -> tuple[str, str]:
+    """The visible text of a page, with blanks for tags, and the language that its first html element declares ('' for
+    none). One pass forward: what is opened and never closed (a comment, a tag, a script) reaches to the end of the page."""
+    out, declared, seen, at = [], "", False, 0
+    while (start := page.find("<", at)) >= 0:
+        out += [page[at:start], " "]
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else len(page)
+            continue
+        m = _name(page, start + 1)
+        end = page.find(">", start)
+        if end < 0:
+            # Nothing closes: a tag to the end, or a plain sign before text.
+            if not m and not page.startswith(("</", "<!"), start):
+                out.append(page[start + 1 :])
+            at = len(page)
+            break
+        name = m.group().lower() if m else ""
+        if name == "html" and not seen:
+            seen = True
+            for a in _attribute(page, m.end(), end):
+                if a.group(1).lower() == "lang":
+                    declared = (a.group(2) or a.group(3) or a.group(4) or "").strip().lower()
+                    break
+        at = end + 1
+        if name in _ends:
+            close = _ends[name](page, at)
+            last = page.find(">", close.end()) if close else -1
+            at = last + 1 if last >= 0 else len(page)
+    out.append(page[at:])
+    return entities.unescape("".join(out)), declared[:2] if re.match(r"[a-z]{2,3}(?![a-z])", declared) else ""
 
 
 def cells(text: str) -> np.ndarray:
@@ -55,20 +88,31 @@ def cells(text: str) -> np.ndarray:
 
 
 def place(url: str) -> tuple[str, str, str]:
-    """Host, registered domain (last two labels) and the language of the suffix or path, '' where there is none."""
+    """Host, registered domain and the language of the suffix or path, '' where there is none. An address in numbers is
+    its own domain; of a name the last two labels are, or three where the last but one is a registry's."""
     m = _url(url or "")
     if not m:
         return "", "", ""
-    host = m.group(1).lower().removeprefix("www.")
-    labels = host.split(".")
+    place_ = m.group(1).rpartition("@")[2].lower()
     first = next((p for p in m.group(2).lower().split("/") if p), "")
-    return host, ".".join(labels[-2:]), SUFFIXES.get(labels[-1], "") or (first if len(first) == 2 else "")
+    spoken = first if len(first) == 2 else ""
+    if place_.startswith("["):
+        host = place_.partition("]")[0] + "]"
+        return host, host, spoken
+    host = place_.partition(":")[0].rstrip(".").removeprefix("www.")
+    labels = host.split(".")
+    if all(x.isdigit() for x in labels):
+        return host, host, spoken
+    own = 3 if len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in SECOND_LEVEL else 2
+    return host, ".".join(labels[-own:]), SUFFIXES.get(labels[-1], "") or spoken
 
 
 def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and log likelihoods of the cells by language. Counts leave the executors as one row for each task and language."""
-    order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= PER_LANGUAGE).select("lang", "text")
+    known = docs.where("doc_id is not null and lang is not null and text is not null")
+    chosen = smallest(known.groupBy("doc_id").agg(F.min("lang").alias("lang")), "lang", "doc_id", PER_LANGUAGE)
+    # Ids are chosen first; only the texts chosen travel. Of rows with one id the smallest text counts.
+    sample = known.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.min("lang").alias("lang"), F.min("text").alias("text")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -100,10 +144,10 @@ def identify(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFram
             rows = []
             for page_id, url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 page = page or ""
-                m = _declared(page)
-                x = cells(visible(page))
+                said, declared = scan(page)
+                x = cells(said)
                 text = lp[x].sum(axis=0, dtype=np.float64) * min(1.0, EVIDENCE / max(len(x), 1))
-                rows.append((page_id, *place(url), m.group(1).lower()[:2] if m else "", (text - text.max()).round(6)))
+                rows.append((page_id, *place(url), declared, (text - text.max()).round(6)))
             cols = list(zip(*rows, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.string()) for c in cols[1:5]], pa.array(cols[5], pa.list_(pa.float64()))], names=["page_id", "host", "domain", "suffix", "declared", "text"])
 
@@ -126,7 +170,9 @@ def identify(spark: SparkSession, pages: DataFrame, docs: DataFrame) -> DataFram
     world = [float(x or 0.0) for x in hosts.agg(*[F.sum(f"h{i}") for i in range(k)]).first()]
     base = [(x + 1.0) / (sum(world) + k) for x in world]
     both = hosts.join(domains, F.col("domain") == F.col("domain2")).select(F.col("host").alias("host2"), *[f"h{i}" for i in range(k)], *[f"d{i}" for i in range(k)])
-    all_ = seen.join(both, F.col("host") == F.col("host2"))
+    counts = [*[f"h{i}" for i in range(k)], *[f"d{i}" for i in range(k)]]
+    all_ = seen.where("host <> ''").join(both, F.col("host") == F.col("host2"), "left").select(*seen.columns, *[F.coalesce(c, F.lit(0.0)).alias(c) for c in counts])
+    all_ = all_.unionByName(seen.where("host = ''").select(*seen.columns, *[F.lit(0.0).alias(c) for c in counts]))
     less = lambda mark, i: F.greatest(F.col(f"{mark}{i}") - F.col("p")[i], F.lit(0.0))
     total = lambda mark: sum((less(mark, i) for i in range(k)), F.lit(0.0))
     all_ = all_.withColumn("dp", F.array(*[(less("d", i) + PULL * base[i]) / (total("d") + PULL) for i in range(k)]))

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import time
 import warnings
 import zlib
 
@@ -403,6 +404,55 @@ def test_language_evidence(spark):
     assert langid.identify(spark, spark.createDataFrame([], "page_id bigint, url string, html string"), known).count() == 0
 
 
+def test_page_scan(spark):
+    assert langid.scan('<html data-lang="fr" class=x lang="en-GB"><p>a &amp; b</p><script>if (a<b) "</p>"</script>c<!-- > d --> e') [1] == "en"
+    assert langid.scan("<p>a &amp; b</p><SCRIPT x>q</p></Script >c<!-- > d --> e")[0].split() == ["a", "&", "b", "c", "e"]
+    assert langid.scan("x <!-- y") == ("x  ", "") and langid.scan("1 < 2")[0].split() == ["1", "2"] and langid.scan("<html lang='deutsch'>")[1] == ""
+    assert [langid.place(u)[:2] for u in ("https://www.a.b.co.uk:80/x", "http://[::1]:8/fr/", "http://u:p@10.0.0.1/", "ftp://x.example.org.", "nothing", None)] == [("a.b.co.uk", "b.co.uk"), ("[::1]", "[::1]"), ("10.0.0.1", "10.0.0.1"), ("x.example.org", "example.org"), ("", ""), ("", "")]
+    for hostile in ("<!--", "<html ", "<script>", "<a b='", "&", "<", "</script ", "<html lang = "):
+        began = time.time()
+        langid.scan(hostile * (1_000_000 // len(hostile)))
+        assert time.time() - began < 3
+
+
+def test_language_posteriors_against_brute_force(spark):
+    """The fused posteriors, page by page in plain Python, from the model and the evidence."""
+    rng = random.Random(16)
+    words = {"en": ["the", "thing", "which"], "de": ["schung", "ein", "und"], "fr": ["oiseau", "le", "que"]}
+    say = lambda x, n: " ".join(rng.choice(words[x]) for _ in range(n))
+    known = spark.createDataFrame([(i, say(x, 30), x) for i, x in enumerate(["en", "de", "fr"] * 10)], "doc_id bigint, text string, lang string")
+    hosts = ["https://a.example.de/x", "https://b.example.de/fr/", "http://c.co.uk/", None, "https://c.org/en/1", "bad", "http://d.c.org/"]
+    pages = [(i, rng.choice(hosts), f"<html lang={rng.choice(['en', 'de-AT', 'xx', ''])}>{say(rng.choice('en de fr'.split()), rng.randint(0, 3))}") for i in range(120)] + [(3, hosts[0], "<p>the"), (500, None, None)]
+    out = langid.identify(spark, spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("host", F.lit("x")), known).collect()
+    langs, model = langid.fit(known)
+    model = model.astype(np.float32)
+    rows = []
+    for page_id, url, page in pages:
+        host, domain, suffix = langid.place(url)
+        text, declared = langid.scan(page or "")
+        x = langid.cells(text)
+        like = model[x].sum(axis=0, dtype=np.float64) * min(1.0, langid.EVIDENCE / max(len(x), 1))
+        like = (like - like.max()).round(6)
+        for told, trust in ((declared, langid.TRUST_DECLARED), (suffix, langid.TRUST_SUFFIX)):
+            if told in langs:
+                like = like + np.array([np.log(trust if y == told else (1 - trust) / 2) for y in langs])
+        p = np.exp(like - like.max())
+        rows.append((page_id, host, domain, like, p / p.sum()))
+    world = sum(r[4] for r in rows)
+    base = (world + 1) / (world.sum() + 3)
+    want = []
+    for page_id, host, domain, like, p in rows:
+        h = sum((r[4] for r in rows if r[1] == host), np.zeros(3)) if host else np.zeros(3)
+        d = sum((r[4] for r in rows if r[2] == domain), np.zeros(3)) if host else np.zeros(3)
+        less = [np.maximum(c - p, 0) for c in (h, d)]
+        dp = (less[1] + langid.PULL * base) / (less[1].sum() + langid.PULL)
+        hp = (less[0] + langid.PULL * dp) / (less[0].sum() + langid.PULL)
+        s = like + np.log(hp)
+        post = np.exp(s - s.max()) / np.exp(s - s.max()).sum()
+        want.append((page_id, host, langs[int(post.argmax())], round(float(post.max()), 4)))
+    assert sorted((r.page_id, r.host, r.lang, round(r.confidence, 4)) for r in out) == sorted(want)
+
+
 # ---- 6
 
 
