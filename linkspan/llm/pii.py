@@ -6,8 +6,11 @@ behind the last match of their kind, so work is linear in the text.
 
 Kinds, in the order of output: the four base kinds ``email``, ``ip``, ``card`` and ``phone`` give exactly the leftmost
 non-overlapping matches of their patterns that pass (parts up to 255; 16 to 19 digits and Luhn; 8 to 15 digits); the
-method adds ``url`` (scheme, then a host), ``iban`` (country, check digits, mod 97) and ``secret`` (a cue such as
-password or api_key, a sign, a value of 8 characters or more). Spans of different kinds may overlap. Positions are
+method adds ``url`` (scheme, then a host), ``iban`` (country, check digits, mod 97), ``secret`` (a cue such as
+password or api_key, a sign, a value of 8 characters or more) and ``account`` (a cue such as account number, passport
+or ssn, a sign or blank, a value of 6 to 24 letters, digits and joiners that starts and ends with a letter or digit,
+has 5 digits or more and stops at a word boundary). Cues count in any case and only where no letter or digit stands
+right before them. Spans of different kinds may overlap. Positions are
 code points, end exclusive.
 
 Edge cases: a null or empty text has no spans. Repeated rows give the same spans. Other columns pass through, whatever
@@ -28,9 +31,10 @@ from pyspark.sql import types as T
 from .common import free_name, table
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "url", "iban", "secret")
+KINDS = (*BASE, "url", "iban", "secret", "account")
 SCHEMES = ("http", "https", "ftp", "ftps", "ssh", "sftp", "ws", "wss", "git", "jdbc", "s3", "mongodb", "postgres", "mysql", "redis")
 CUES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "api-key", "access_key", "auth_key", "private_key", "client_secret")
+ACCOUNT_CUES = ("account", "acct", "konto", "compte", "cuenta", "iban", "passport", "ssn", "social security", "national id", "tax id", "customer id", "member id", "license number", "licence number")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 UPPER = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
 
@@ -42,6 +46,7 @@ _digits = re.compile(r"[0-9]+").match
 _host = re.compile(r"://[^\s\"'<>\\^`{|}/?#]+(?:[/?#][^\s\"'<>\\^`{|}]*)?").match
 _iban = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])").match
 _secret = re.compile(r"\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9_./+=~-]{8,})").match
+_account = re.compile(r"(?:[ ]?(?:number|num|no|nr|id))?[ .]{0,2}(?:[=:#]|is\b)?[ #]{0,4}([A-Za-z0-9](?:[./ -]?[A-Za-z0-9]){4,23})(?![A-Za-z0-9])", re.I).match
 
 
 @lru_cache(maxsize=1)
@@ -49,12 +54,31 @@ def automaton():
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    for word, kind in [("@", "@"), ("+", "+"), ("://", "u"), *[(d, "d") for d in "0123456789"], *[(form, "s") for c in CUES for form in (c, c.upper(), c.capitalize())]]:
-        found.add_word(word, kind)
+    for word, kind in [("@", "@"), ("+", "+"), ("://", "u"), *[(d, "d") for d in "0123456789"], *[(c, "s") for c in CUES], *[(c, "a") for c in ACCOUNT_CUES]]:
+        found.add_word(word, (kind, len(word)))
     found.make_automaton()
     return found
 
 
+#: A-Z to a-z: cues count in any case, and positions stay.
+_lower = {c: c + 32 for c in range(65, 91)}
+
+
+def _account_span(text: str, at: int) -> tuple[int, int] | None:
+    """The identifier after a cue that ends at ``at``, cut back to whole words until its last word holds a digit."""
+    m = _account(text, at)
+    if not m:
+        return None
+    start, end = m.span(1)
+    while end > start:
+        word = max(text.rfind(" ", start, end), start - 1) + 1
+        if any(c.isdigit() for c in text[word:end]):
+            break
+        end = word - 1
+    value = text[start:max(end, start)]
+    return (start, end) if len(value) >= 6 and sum(c.isdigit() for c in value) >= 5 else None
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, d in enumerate(reversed(digits)):
@@ -77,7 +101,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
     """Spans of a text, by kind as listed and then start."""
     spans: dict[str, list[tuple[str, int, int]]] = {k: [] for k in KINDS}
     free = dict.fromkeys(KINDS, 0)  # where the next match of a kind may start
-    for end, anchor in automaton().iter(text):
+    for end, (anchor, size) in automaton().iter(text.translate(_lower)):
         if anchor == "d":
             if end >= free["ip"]:
                 if m := _ip(text, end):
@@ -124,6 +148,12 @@ def find(text: str) -> list[tuple[str, int, int]]:
                     if stop > at + 3:
                         free["url"] = stop
                         spans["url"].append(("url", start, stop))
+        elif end >= size and text[end - size].isalnum():
+            continue  # the cue is the end of a longer word
+        elif anchor == "a":
+            if end >= free["account"] and (span := _account_span(text, end + 1)):
+                free["account"] = span[1]
+                spans["account"].append(("account", *span))
         elif end >= free["secret"] and (m := _secret(text, end + 1)):
             free["secret"] = m.end(1)
             spans["secret"].append(("secret", m.start(1), m.end(1)))
