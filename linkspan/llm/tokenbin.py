@@ -2,7 +2,7 @@
 
 Layout, little-endian. A data set is a folder of ``*.tok`` files and one dictionary ``<sha256>.zdict``, trained on
 the serialized id arrays of a bounded sample of short documents. A file holds documents of one range of doc_id in
-ascending order:
+ascending order, and ends at ``FILE_DOCS`` documents or ``FILE_BYTES``, so its index stays small:
 
 * header, 64 bytes: magic ``LSPTOK01``, u32 version, u32 bytes an id, 32 bytes dictionary sha256, 16 zero bytes;
 * one zstandard frame for each document, compressed by itself with the dictionary: its ids as u32;
@@ -14,8 +14,8 @@ So one document is one read of the index and one of a frame. The manifest that `
 file with ``base``, the ids of all files before it. Files are written under names of their own and count only once
 they are in the manifest, so a task that is lost or runs twice leaves nothing that is read.
 
-Edge cases: a null or empty text has the end id alone. Documents of equal doc_id stand in the order of their text.
-Null ids come first. An empty table has no files. Other columns are ignored.
+Edge cases: a null or empty text has the end id alone. Documents of equal doc_id stand in the order of the xxhash64
+of their text, then of the text. Null ids come first. An empty table has no files. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,6 +44,10 @@ ENTRY = np.dtype([("doc_id", "<i8"), ("offset", "<u8"), ("size", "<u4"), ("start
 END_ID = 1
 #: Words of plain letters; distinct words that a Python worker remembers.
 PLAIN, WORDS = re.compile("[a-z\u00e0-\u00f6\u00f8-\u00ff]+").fullmatch, 800_000
+#: A file ends when it has so many documents or bytes.
+FILE_DOCS, FILE_BYTES = 1 << 18, 1 << 28
+#: Bytes of frames that are read together.
+AHEAD = 8_000_000
 #: Documents of the dictionary's sample, and the most ids that one of them may have.
 SAMPLE_DOCS, SAMPLE_IDS, DICT_BYTES, LEVEL = 1000, 4096, 65536, 3
 
@@ -162,30 +166,38 @@ def write(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        part, fs, out, name = TaskContext.get().partitionId(), None, None, ""
+        part, fs, out = TaskContext.get().partitionId(), None, None
         press = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(raw))
-        index, offset, start = [], 64, 0
+        number, name, index, offset, start = 0, "", [], 64, 0
+
+        def closed() -> pa.RecordBatch:
+            table = np.array(index, ENTRY).tobytes()
+            out.write(table)
+            out.write(struct.pack("<QQQI4s", offset, len(index), start, zlib.crc32(table), TAIL))
+            out.close()
+            return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "number": pa.array([number], pa.int32()), "name": [name], "docs": pa.array([len(index)], pa.int64()), "ids": pa.array([start], pa.int64())})
+
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            if ids and out is None:
-                fs, top = _open(folder)
-                name = f"{part:06d}-{uuid.uuid4().hex}.tok"
-                out = fs.open_output_stream(f"{top}/{name}")
-                out.write(struct.pack("<8sII32s16x", MAGIC, VERSION, 4, bytes.fromhex(key)))
-            for doc_id, data in zip(ids, _serialized(texts, tokenizer, end_id), strict=True):
+            for doc_id, data in zip(batch.column(0).to_pylist(), _serialized(batch.column(1), tokenizer, end_id), strict=True):
+                if out is not None and (len(index) >= FILE_DOCS or offset >= FILE_BYTES):
+                    yield closed()
+                    out, number = None, number + 1
+                if out is None:
+                    fs, top = _open(folder)
+                    name = f"{part:06d}-{number:04d}-{uuid.uuid4().hex}.tok"
+                    out, index, offset, start = fs.open_output_stream(f"{top}/{name}"), [], 64, 0
+                    out.write(struct.pack("<8sII32s16x", MAGIC, VERSION, 4, bytes.fromhex(key)))
                 frame = press.compress(data)
                 out.write(frame)
                 index.append((NO_ID if doc_id is None else doc_id, offset, len(frame), start, len(data) // 4))
                 offset, start = offset + len(frame), start + len(data) // 4
         if out is not None:
-            table = np.array(index, ENTRY).tobytes()
-            out.write(table)
-            out.write(struct.pack("<QQQI4s", offset, len(index), start, zlib.crc32(table), TAIL))
-            out.close()
-            yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "docs": pa.array([len(index)], pa.int64()), "ids": pa.array([start], pa.int64())})
+            yield closed()
 
-    ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = sorted(ordered.mapInArrow(run, "part int, name string, docs bigint, ids bigint").collect())
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("row"))
+    # Rows of one id, or without any, are dealt by text; equal rows by where they stand.
+    ordered = rows.repartitionByRange("doc_id", "h", "row").sortWithinPartitions("doc_id", "h", "text", "row").select("doc_id", "text")
+    files = sorted(ordered.mapInArrow(run, "part int, number int, name string, docs bigint, ids bigint").collect())
     base, manifest = 0, []
     for f in files:
         manifest.append({"name": f.name, "docs": f.docs, "ids": f.ids, "base": base})
@@ -219,6 +231,27 @@ class TokenFile:
     def __len__(self) -> int:
         return len(self.index)
 
+    def stream(self) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+        """Index entries and ids (u32 little-endian bytes) of all documents in order. Frames lie side by side, so they are
+        read many at once; no more than about AHEAD bytes of frames and of ids, or one document, are held."""
+        ends = (self.index["offset"] + self.index["size"]).astype(np.int64)
+        first = 0
+        while first < len(self):
+            at = int(self.index["offset"][first])
+            last = max(first + 1, int(np.searchsorted(ends, at + AHEAD, "right")))
+            frames = self.file.read_at(int(ends[last - 1]) - at, at)
+            rows: list[bytes] = []
+            size, begin = 0, first
+            for k in range(first, last):
+                e = self.index[k]
+                low = int(e["offset"]) - at
+                rows.append(self.inflate.decompress(frames[low : low + int(e["size"])], max_output_size=4 * int(e["n"])))
+                size += len(rows[-1])
+                if size >= AHEAD or k == last - 1:
+                    yield self.index[begin : k + 1], rows
+                    rows, size, begin = [], 0, k + 1
+            first = last
+
     def ids(self, k: int) -> np.ndarray:
         """Ids of the k-th document."""
         e = self.index[k]
@@ -236,18 +269,9 @@ def read(spark: SparkSession, folder: str, manifest: list[dict]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                file = TokenFile(folder, name)
-                rows: list[bytes] = []
-                size = first = 0
-                for k in range(len(file) + 1):
-                    if rows and (k == len(file) or size > 8_000_000):
-                        e = file.index[first:k]
-                        ids = pa.array(e["doc_id"], pa.int64(), mask=e["doc_id"] == NO_ID)
-                        yield pa.RecordBatch.from_arrays([ids, pa.array(e["start"].astype(np.int64) + base), pa.array(e["n"].astype(np.int64)), pa.array(rows, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
-                        rows, size, first = [], 0, k
-                    if k < len(file):
-                        rows.append(file.ids(k).tobytes())
-                        size += len(rows[-1])
+                for e, rows in TokenFile(folder, name).stream():
+                    ids = pa.array(e["doc_id"], pa.int64(), mask=e["doc_id"] == NO_ID)
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(e["start"].astype(np.int64) + base), pa.array(e["n"].astype(np.int64)), pa.array(rows, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
 
     schema = "doc_id bigint, start bigint, n_tokens bigint, ids binary"
     if not manifest:

@@ -326,6 +326,9 @@ def test_pii_method_spans_and_edges(spark):
     text = "see https://a.example.org/x?y=1, password=abcdef123456 and DE89 3704 0044 0532 0130 00."
     found = {k: text[a:b] for k, a, b in pii.find(text)}
     assert found["url"] == "https://a.example.org/x?y=1" and found["secret"] == "abcdef123456" and found["iban"] == "DE89 3704 0044 0532 0130 00"
+    for said, value in (("Account no. 12-3456 789 and", "12-3456 789"), ("aCCt: 00112233x.", "00112233x"), ("Passport number is AB1234567, ok", "AB1234567"), ("SSN 123-45-6789", "123-45-6789"), ("the account was 5", None), ("discount 1234567", None), ("account 1234567890123456789012345678", None)):
+        assert [said[a:b] for k, a, b in pii.find(said) if k == "account"] == [value] * (value is not None)
+    assert [k for k, *_ in pii.find("PassWord = Abcdefgh1 mypwd=abcdefghi")] == ["secret"]
     assert pii.redact("mail a@b.co now", pii.find("mail a@b.co now")) == "mail <EMAIL> now"
     out = pii.find_spans(clashing(docs(spark, ODD)), redacted="redacted")
     assert out.count() == len(ODD) and set(CLASHES) <= set(out.columns)
@@ -477,6 +480,25 @@ def test_chat_round_trip(spark):
 # ---- 7
 
 
+def test_token_files_roll(spark, tmp_path, monkeypatch):
+    """Several files a task, null ids, repeated ids and rows: everything is read back, in order."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(None if i % 3 == 0 else i % 7, f"text {i % 11}" * (i % 5)) for i in range(90)] + [(5, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for name, size in (("FILE_DOCS", 4), ("AHEAD", 50)):
+        monkeypatch.setattr(tokenbin, name, size)
+    manifest = tokenbin.write(spark, df, str(tmp_path / "r"), path)
+    assert sum(f["docs"] for f in manifest) == 91
+    got = tokenbin.read(spark, str(tmp_path / "r"), manifest).orderBy("start").collect()
+    assert [r.doc_id if r.doc_id is not None else -1 for r in got] == sorted(-1 if i is None else i for i, _ in rows)
+    files = [tokenbin.TokenFile(str(tmp_path / "r"), f["name"]) for f in manifest]
+    assert [x for f in files for _, some in f.stream() for x in some] == [r.ids for r in got]
+    word = tokenbin.load(path)
+    want = collections.Counter((i, (*word.tokenizer.encode(t or "", add_special_tokens=False).ids, 1)) for i, t in rows)
+    assert collections.Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in got) == want
+    assert [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got]])[:-1].tolist()
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
