@@ -1,4 +1,5 @@
-"""Normalisation and tokens. Native column expressions where Spark can say it; Arrow UDFs for Unicode folding and scripts.
+"""Normalisation and tokens. Native column expressions where Spark can say it; Arrow UDFs for Unicode folding and scripts,
+over the texts that need them.
 
 There are several tokenisers on purpose: blocking (``fold``) keeps Indic vowel signs, matching (``norm``) strips every
 combining mark and leading zeros, alignment works on ASCII runs, the stand-in blocker has prefixed fields."""
@@ -9,11 +10,12 @@ import re
 import unicodedata
 
 import pandas as pd
+import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .translit import phonetic_key, to_latin
+from .translit import OCR_DIGITS, SOUNDS_AS, to_latin
 
 # Word lists that results depend on.
 LEGAL_WORDS = "inc incorporated llc ltd limited pvt private corp corporation co company lp llp plc pllc pc".split()
@@ -35,89 +37,120 @@ NONLATIN_NAME, EMPTY_ADDRESS = 1, 2
 NAME_FIELDS, ADDRESS_FIELDS, FALLBACK_FIELDS = ("n", "p", "pb"), ("a", "ab"), ("g",)
 
 
-def fold(text: str | None) -> list[str]:
-    """Lower-case words; accents go from Latin letters, marks of other scripts stay."""
-    decomposed = unicodedata.normalize("NFKD", text or "")
-    kept = [c for k, c in enumerate(decomposed) if not (unicodedata.combining(c) and _after_latin(decomposed, k))]
-    return "".join(c if c.isalnum() or unicodedata.category(c).startswith("M") else " " for c in "".join(kept).lower()).split()
+#: What carries a canonical combining class: accents, and the marks of other scripts that stack on their letter.
+_marks = regex.compile(r"\P{ccc=0}+")
+_latin_marks = regex.compile(r"(?<=[\u0000-\u024F])\P{ccc=0}+")
+_gaps = regex.compile(r"[^\p{L}\p{N}\p{M}]+")
+_word = re.compile(r"\w+")
+_padding = regex.compile(r"^0+(?=[\p{Nd}\p{Numeric_Type=Digit}]+$)")
 
 
-def _after_latin(text: str, k: int) -> bool:
-    """Whether the marks up to position k follow a character below U+0250."""
-    while k > 0:
-        k -= 1
-        if not unicodedata.combining(text[k]) or ord(text[k]) >= 0x250 and not _after_latin(text, k):
-            return ord(text[k]) < 0x250
-    return False
+def fold(text: str) -> list[str]:
+    """Lower-case words; accents go from Latin letters, marks of other scripts stay. Each mark is passed once."""
+    return _gaps.sub(" ", _latin_marks.sub("", unicodedata.normalize("NFKD", text)).lower()).split()
 
 
-def norm(text: str | None) -> list[str]:
-    """Words of the matcher: no marks at all, numbers without leading zeros."""
-    if text is None:
-        return []
-    plain = "".join(c for c in unicodedata.normalize("NFKD", str(text).lower()) if not unicodedata.combining(c))
-    return [(w.lstrip("0") or "0") if w.isdigit() else w for w in re.findall(r"\w+", plain)]
-
-
-def core(text: str | None) -> list[str]:
-    """Sorted distinct words of a name without legal forms and titles."""
-    return sorted(set(norm(text)) - set(CORE_STOPWORDS))
+def bare(text: str) -> str:
+    """Lower case, without any mark."""
+    return _marks.sub("", unicodedata.normalize("NFKD", text.lower()))
 
 
-def nonlatin(text: str | None) -> bool:
-    return any(c.isalpha() and ord(c) > 0x24F for c in text or "")
-
-
-def latin(text: str | None) -> str:
-    return to_latin(text or "") if nonlatin(text) else text or ""
+def norm(text: str) -> list[str]:
+    """Words of the matcher: no marks at all, numbers without leading zeros."""
+    return [_padding.sub("", w) for w in _word.findall(bare(text))]
 
 
-def script(text: str | None) -> str | None:
+def script(text: str) -> str | None:
     """First word of the Unicode name of the first letter beyond Latin."""
-    letter = next((c for c in text or "" if c.isalpha() and ord(c) > 0x24F), None)
+    letter = next((c for c in text if c.isalpha() and ord(c) > 0x24F), None)
     return None if letter is None else unicodedata.name(letter, "OTHER").split()[0]
 
 
-def _keys(text: str | None) -> list[str]:
-    keys = [phonetic_key(t) for t in fold(latin(text)) if t not in _stop]
-    return [k for k in keys if len(k) >= 2 and k not in _phonetic_stop]
-
-
-_stop = frozenset(NAME_STOPWORDS)
-_phonetic_stop = frozenset(phonetic_key(w) for w in NAME_STOPWORDS if w.isascii()) | frozenset(PHONETIC_EXTRA_STOPWORDS)
-
-
 WORDS = T.ArrayType(T.StringType())
 
 
 def _udf(f, kind: T.DataType):
     @F.pandas_udf(kind)
     def mapped(values: pd.Series) -> pd.Series:
-        known = {v: f(v) for v in values.unique()}  # each distinct value once
+        known = {v: None if v is None else f(v) for v in values.unique()}  # each distinct value once
         return values.map(known) if len(known) else values
 
     return mapped
 
 
-def _grams(name: str | None) -> list[str]:
-    joined = "".join(w for w in fold(latin(name)) if w not in _stop)
-    return sorted({joined[k : k + 3] for k in range(max(len(joined) - 2, 1))} - {""})
+_fold, _norm, _latin, _script = _udf(fold, WORDS), _udf(norm, WORDS), _udf(to_latin, T.StringType()), _udf(script, T.StringType())
+
 
+def _column(text) -> Column:
+    return F.col(text) if isinstance(text, str) else text
 
-fold_words = _udf(fold, WORDS)
-norm_words = _udf(norm, WORDS)
-core_words = _udf(core, WORDS)
-phonetic_keys = _udf(_keys, WORDS)
-latin_text = _udf(latin, T.StringType())
-name_grams = _udf(_grams, WORDS)
-script_of = _udf(script, T.StringType())
-phonetic = _udf(lambda v: phonetic_key(v or ""), T.StringType())
+
+def _ascii(text: Column) -> Column:
+    return text.rlike(r"^[\x00-\x7F]*$")
+
+
+def _split(text: Column, gaps: str) -> Column:
+    return F.filter(F.split(F.lower(text), gaps), lambda w: w != "")
 
 
 def has_nonlatin(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).rlike(r"[\p{L}&&[^\u0000-ɏ]]")
 
 
+def fold_words(text) -> Column:
+    """``fold`` of a column; null has no words. ASCII texts are split by Spark, Python sees none of them."""
+    x = F.coalesce(_column(text), F.lit(""))
+    return F.when(_ascii(x), _split(x, "[^a-z0-9]+")).otherwise(_fold(F.when(~_ascii(x), x)))
+
+
+def norm_words(text) -> Column:
+    """``norm`` of a column; null has no words. ASCII texts are split by Spark, Python sees none of them."""
+    x = F.coalesce(_column(text), F.lit(""))
+    plain = F.transform(_split(x, "[^a-z0-9_]+"), lambda w: F.regexp_replace(w, "^0+(?=[0-9]+$)", ""))
+    return F.when(_ascii(x), plain).otherwise(_norm(F.when(~_ascii(x), x)))
+
+
+def core_words(text) -> Column:
+    """Sorted distinct words of a name without legal forms and titles."""
+    return F.array_sort(F.array_except(norm_words(text), F.lit(CORE_STOPWORDS)))
+
+
+def latin_text(text) -> Column:
+    """The text in Latin letters; only texts with others go through Python."""
+    x = F.coalesce(_column(text), F.lit(""))
+    return F.when(has_nonlatin(x), _latin(F.when(has_nonlatin(x), x))).otherwise(x)
+
+
+def script_of(text) -> Column:
+    x = _column(text)
+    return F.when(has_nonlatin(x), _script(F.when(has_nonlatin(x), x)))
+
+
+def phonetic(token) -> Column:
+    """Consonants of a lower-case ASCII word as they sound, '' for numbers and other scripts. Digits inside a word are
+    read as the letters that they look like; a leading vowel is an a."""
+    t = F.coalesce(_column(token), F.lit(""))
+    word = F.translate(t, "".join(OCR_DIGITS), "".join(OCR_DIGITS.values()))
+    sound = F.replace(F.replace(word, F.lit("ph"), F.lit("f")), F.lit("x"), F.lit("ks"))
+    sound = F.regexp_replace(sound, "(?<=[^aeiouy])h", "")
+    sound = F.concat(F.when(sound.rlike("^[aeiouy]"), F.lit("a")).otherwise(F.lit("")), F.regexp_replace(sound, "[aeiouy]", ""))
+    sound = F.regexp_replace(F.translate(sound, "".join(SOUNDS_AS), "".join(SOUNDS_AS.values())), r"(.)\1+", "$1")
+    return F.when(t.rlike(r"^\p{Nd}+$") | ~word.rlike("^[A-Za-z]+$"), F.lit("")).otherwise(sound)
+
+
+def phonetic_keys(name) -> Column:
+    """Keys of the words of a name, in order; stop words, keys of stop words and keys of one letter are left out."""
+    words = without(fold_words(latin_text(name)), NAME_STOPWORDS)
+    silent = F.concat(F.transform(F.lit([w for w in NAME_STOPWORDS if w.isascii()]), phonetic), F.lit(PHONETIC_EXTRA_STOPWORDS))
+    return F.filter(F.transform(words, phonetic), lambda k: (F.length(k) >= 2) & ~F.array_contains(silent, k))
+
+
+def name_grams(name) -> Column:
+    """Sorted distinct trigrams of a name's joined words."""
+    joined = F.array(F.array_join(without(fold_words(latin_text(name)), NAME_STOPWORDS), ""))
+    return F.array_sort(F.flatten(F.transform(joined, trigrams)))  # a lambda's body can't hold what comes from Python
+
+
 def without(tokens: Column, stop: list[str]) -> Column:
     """Tokens in order, stop words left out."""
     return F.filter(tokens, lambda t: ~t.isin(stop))

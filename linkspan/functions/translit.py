@@ -1,11 +1,10 @@
-"""Brahmic scripts to Latin, and phonetic keys.
+"""Brahmic scripts to Latin, and the letters of phonetic keys.
 
 The Brahmic blocks are laid out alike, so one table by offset serves all. A text is read as a sequence of signs; a
 consonant's inherent vowel is written when the next sign of the same word asks for it, and dropped at a word's end."""
 
 from __future__ import annotations
 
-import re
 import unicodedata
 
 # Latin forms by offset in a block.
@@ -73,17 +72,3 @@ def to_latin(text: str) -> str:
         out += [form] * bool(form)
         open_ = kind == "consonant"
     return "".join(out)
-
-
-def phonetic_key(token: str) -> str:
-    """Consonants of a lower-case ASCII word as they sound; numbers and other scripts have none."""
-    if not token or token.isdigit():
-        return ""
-    word = "".join(OCR_DIGITS.get(c, c) for c in token)
-    if not re.fullmatch("[A-Za-z]+", word):
-        return ""
-    word = word.replace("ph", "f").replace("x", "ks")
-    word = re.sub("(?<=[^aeiouy])h", "", word)
-    word = re.sub("^[aeiouy]", "A", word)
-    word = re.sub("[aeiouy]", "", word).replace("A", "a") if word[:1] == "A" else re.sub("[aeiouy]", "", word)
-    return re.sub(r"(.)\1+", r"\1", "".join(SOUNDS_AS.get(c, c) for c in word))

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import duckdb
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkspan.functions import similarity as sim
 from linkspan.functions import text as t
-from linkspan.functions.translit import phonetic_key, to_latin
+from linkspan.functions.translit import to_latin
 
 
 def test_fold_and_tokens(spark):
@@ -23,11 +24,43 @@ def test_house_number(spark, address, number):
     assert spark.createDataFrame([(address,)], "a string").select(t.house_number(F.col("a")).alias("h")).first().h == number
 
 
-def test_transliteration_and_keys():
+def test_stacked_marks_take_linear_time():
+    assert t.fold("a" + "\u0301" * 200_000 + "b") == ["ab"] and t.norm("x\u0301y" * 100_000) == ["xy" * 100_000]
+    assert t.fold("क" + "\u094d" * 1000) == ["क" + "\u094d" * 1000]
+
+
+def test_native_and_python_words_agree(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aAbB -.,'&120_é\u0301कि٠½①" if k % 2 else "aAbB -.,'&120_\n\x1c") for _ in range(rng.randint(0, 12))) for k in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, s string")
+    for r in rows.select("i", t.fold_words("s").alias("f"), t.norm_words("s").alias("n"), t.core_words("s").alias("c")).collect():
+        assert r.f == t.fold(texts[r.i]) and r.n == t.norm(texts[r.i]) and r.c == sorted(set(r.n) - set(t.CORE_STOPWORDS))
+
+
+def test_edits_against_all_edits_of_a_text():
+    """Each text one edit away, with the place of the edit."""
+    letters = "abc"
+    for a in ("abc", "aab", "cc", "abca"):
+        near: dict[str, set] = {}
+        for k in range(len(a) + 1):
+            for c in letters:
+                near.setdefault(a[:k] + c + a[k:], set()).add("end" if k == len(a) else "interior")
+                near.setdefault(a[:k] + c + a[k + 1 :], set()).add("end" if k == len(a) - 1 else "interior")
+            near.setdefault(a[:k] + a[k + 1 :], set()).add("end" if k == len(a) - 1 else "interior")
+            if k + 1 < len(a):
+                near.setdefault(a[:k] + a[k + 1] + a[k] + a[k + 2 :], set()).add("interior")
+        for n in range(7):
+            for b in map("".join, itertools.product(letters, repeat=n)):
+                place = sim.edit_place(a, b)
+                assert (place is None) == (b == a or b not in near) and (place is None or place in near[b])
+
+
+def test_transliteration_and_keys(spark):
     assert to_latin("पायोनियर बेकर्स") == "paayoniyar bekars"
     assert to_latin("പ്രൈവറ്റ് ലിമിറ്റഡ്") == "praivatt limittad"
-    assert phonetic_key("technologies")[:4] == "tknl"
-    assert phonetic_key("12345") == "" and phonetic_key("aditya") == "adt" and phonetic_key("consultants") == "knsltnts"
+    words = ["technologies", "12345", "aditya", "consultants", "phoenix", "0ld", "é", "", None]
+    keys = [r.k for r in spark.createDataFrame(list(enumerate(words)), "i int, w string").orderBy("i").select(t.phonetic("w").alias("k")).collect()]
+    assert keys[0][:4] == "tknl" and keys[1:] == ["", "adt", "knsltnts", "fnks", "ald", "", "", ""]
 
 
 def test_record_features(spark):
