@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -132,24 +133,40 @@ def paired_delta(a: DataFrame, b: DataFrame, s1: DataFrame) -> DataFrame:
     return rows.rollup("country").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("d"), 9).alias("delta"), F.round(F.stddev_samp("d") / F.sqrt(F.count("d")), 9).alias("se"))
 
 
+def poisson(m: Column, u: Column) -> Column:
+    """A Poisson(m) draw from u in (0, 1): the inverse of its distribution, summed up from 0, for m up to 100; beyond
+    that the rounded normal, whose error is below the noise of any resampling."""
+    term = lambda a, j: a["p"] * m / j
+    first = F.struct(F.exp(-m).alias("p"), F.exp(-m).alias("c"), F.lit(0).alias("k"))
+    step = lambda a, j: F.struct(term(a, j).alias("p"), (a["c"] + term(a, j)).alias("c"), (a["k"] + (a["c"] < u).cast("int")).alias("k"))
+    terms = F.sequence(F.lit(1), (m + 12 * F.sqrt(m) + 20).cast("int"))
+    v = F.pmod(u * F.lit(1e6), F.lit(1.0))  # the digits of u beyond the sixth are a second uniform, for Box and Muller
+    normal = F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v)
+    return F.when(m <= 100, F.aggregate(terms, first, step)["k"].cast("double")).otherwise(F.greatest(F.round(m + F.sqrt(m) * normal), F.lit(0.0)))
+
+
 def bootstrap(rows: DataFrame, column: str = "d", n: int = 2000, seed: int = 0) -> DataFrame:
     """(low, high): 2.5 and 97.5 percentiles of the mean under Poisson resampling. Rows are grouped by value first, and the
     weight of m equal rows is Poisson(m), so the work is by distinct values."""
-    counts = rows.groupBy(F.col(column).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("m"))
+    counts = rows.groupBy(F.col(column).cast("double").alias("x")).agg(F.count(F.lit(1)).cast("double").alias("m"))
     draws = counts.select("x", "m", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("b"))
-    u = F.greatest((F.xxhash64(F.lit(seed), "x", "b").bitwiseAND((1 << 53) - 1) + 0.5) / F.lit(float(1 << 53)), F.lit(1e-16))
-    v = (F.xxhash64(F.lit(seed + 1), "x", "b").bitwiseAND((1 << 53) - 1) + 0.5) / F.lit(float(1 << 53))
-    normal = F.sqrt(-2 * F.log(u)) * F.cos(2 * F.pi() * v)
-    weight = F.greatest(F.col("m") + F.sqrt("m") * normal, F.lit(0.0))  # Poisson(m) by its normal limit
-    means = draws.withColumn("w", weight).groupBy("b").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("mean"))
+    u = (F.xxhash64(F.lit(seed), "x", "b").bitwiseAND((1 << 53) - 1) + 0.5) / F.lit(float(1 << 53))
+    means = draws.withColumn("u", u).withColumn("w", poisson(F.col("m"), F.col("u"))).groupBy("b").agg((F.sum(F.col("w") * F.col("x")) / F.nullif(F.sum("w"), F.lit(0.0))).alias("mean"))
     return means.agg(F.percentile("mean", 0.025).alias("low"), F.percentile("mean", 0.975).alias("high"))
 
 
-def auc(rows: DataFrame) -> DataFrame:
-    """Area under the ROC curve of score for label, ties at half: by distinct scores, not by rows."""
-    by = rows.groupBy("score").agg(F.sum("label").cast("double").alias("pos"), F.sum(1 - F.col("label")).cast("double").alias("neg"))
-    below = W.orderBy("score").rowsBetween(W.unboundedPreceding, -1)
-    run = by.withColumn("under", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
+def auc(rows: DataFrame, parts: int = 256) -> DataFrame:
+    """Area under the ROC curve of score for label, ties at half: by distinct scores, not by rows. Scores are cut into
+    ``parts`` ranges at approximate quantiles, which decide only who sorts what: the ranges' sums are added up in order, and
+    scores are put in order within a range."""
+    by = rows.groupBy(F.col("score").cast("double").alias("score")).agg(F.sum("label").cast("double").alias("pos"), F.sum(1 - F.col("label")).cast("double").alias("neg"))
+    cuts = by.agg(F.percentile_approx("score", [k / parts for k in range(1, parts)], 10 * parts).alias("cuts")).first().cuts or []
+    ranges = Bucketizer(splits=[-float("inf"), *sorted(set(cuts)), float("inf")], inputCol="score", outputCol="range", handleInvalid="keep")
+    by = ranges.transform(by) if cuts else by.withColumn("range", F.lit(0.0))
+    before = W.orderBy("range").rowsBetween(W.unboundedPreceding, -1)  # ``parts`` rows
+    sums = by.groupBy("range").agg(F.sum("neg").alias("all")).select("range", F.coalesce(F.sum("all").over(before), F.lit(0.0)).alias("under"))
+    below = W.partitionBy("range").orderBy("score").rowsBetween(W.unboundedPreceding, -1)
+    run = by.join(F.broadcast(sums), "range").withColumn("under", F.col("under") + F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
     return run.agg(F.round(F.sum(F.col("pos") * (F.col("under") + F.col("neg") / 2)) / (F.sum("pos") * F.sum("neg")), 9).alias("auc"))
 
 

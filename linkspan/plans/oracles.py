@@ -186,6 +186,55 @@ BODY |= {
     "deep_rules": "SELECT s1_id, cand_id, round(coalesce(nth_value(prob, 2) OVER (PARTITION BY s1_id ORDER BY prob DESC, cand_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 0), 6) AS second, prob = max(prob) OVER (PARTITION BY s1_id) AS deep_is_best FROM hyb WHERE origin = 1",
 }
 
+_NATIVE = "regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}')"
+_NO = _HOUSE.format("business_address")
+_FINAL = BODY["merge_deep"]
+
+
+def _per(pairs: str) -> str:
+    """tp, n_pred, n_true and f05 of every S1 for accepted pairs."""
+    counts = f"SELECT s.s1_id, s.country, s.s1_row, coalesce(p.n, 0) AS n_pred, coalesce(p.tp, 0) AS tp, coalesce(q.n, 0) AS n_true FROM s1 s LEFT JOIN (SELECT a.s1_id, count(*) AS n, count(t.cand_id) AS tp FROM ({pairs}) a LEFT JOIN truth t USING (s1_id, cand_id) GROUP BY a.s1_id) p USING (s1_id) LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY s1_id) q USING (s1_id)"
+    return f"SELECT *, {_F05} AS f05 FROM ({counts})"
+
+
+def _compared(name: str, run: str) -> str:
+    won = f"SELECT s1_id, cand_id FROM (SELECT *, row_number() OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id) AS r FROM {run}) WHERE r = 1 AND prob::FLOAT >= {THRESHOLD}::FLOAT"
+    label = f"SELECT r.*, t.s1_id IS NOT NULL AS label FROM {run} r LEFT JOIN truth t USING (s1_id, cand_id)"
+    held = f"SELECT s.s1_id, coalesce(n, 0) AS n, coalesce(tp, 0) AS tp, coalesce(k, 0) AS n_true FROM s1 s LEFT JOIN (SELECT s1_id, count(*) AS n, count_if(label) AS tp FROM ({label}) GROUP BY s1_id) USING (s1_id) LEFT JOIN (SELECT s1_id, count(*) AS k FROM truth GROUP BY s1_id) USING (s1_id)"
+    auc = f"SELECT round(sum(CASE WHEN p.prob > n.prob THEN 1.0 WHEN p.prob = n.prob THEN 0.5 ELSE 0.0 END)::DOUBLE / count(*), 9) FROM ({label}) p, ({label}) n WHERE p.label AND NOT n.label"
+    return f"SELECT '{name}' AS run, (SELECT round(sum(tp)::DOUBLE / sum(n_true), 9) FROM ({held})) AS pair_recall, (SELECT round(avg(CASE WHEN n_true = 0 THEN 1.0 ELSE 1.25 * tp / (tp + 0.25 * n_true) END), 9) FROM ({held})) AS ceiling, (SELECT round(avg(n), 9) FROM ({held})) AS cands_per_s1, (SELECT round(avg(f05), 9) FROM ({_per(won)})) AS macro_f05, (SELECT sum(n_pred - tp)::BIGINT FROM ({_per(won)})) AS false_positives, ({auc}) AS auc"
+
+
+_SINGLE = "round(avg(CASE WHEN n_true = 0 THEN (n_pred = 0)::INT::DOUBLE END), 9) AS singletons_empty"
+_RANKS = {"rank_1": "rank <= 1", "rank_2-3": "rank BETWEEN 2 AND 3", "rank_4-5": "rank BETWEEN 4 AND 5", "rank_6-10": "rank BETWEEN 6 AND 10"}
+_KINDS = _RANKS | {
+    "singleton_s1": "NOT matched", "matched_s1": "matched", "s1_address_missing": "aa = ''", "cand_address_missing": "ba = ''", "both_addresses": "aa <> '' AND ba <> ''", "first_num_missing": "ano = '' OR bno = ''",
+    "first_num_equal": "ano <> '' AND ano = bno", "first_num_unequal": "ano <> '' AND bno <> '' AND ano <> bno", "claimed_by_other_s1": "coalesce(owner <> s1_id, false)", "multi_s1_candidate": "k > 1", "nonlatin_candidate": "native", "S2": "cand_id LIKE 'S2-%'", "S3": "cand_id LIKE 'S3-%'",
+}
+_ACCEPTED = "SELECT l.*, a.cand_id IS NOT NULL AS accepted FROM lab l LEFT JOIN acc a USING (s1_id, cand_id)"
+_OWNER = "(SELECT cand_id, min(s1_id) AS owner FROM truth GROUP BY cand_id)"
+BODY |= {
+    "candidate_owner": f"SELECT r.s1_id, r.cand_id, owner, CASE WHEN owner IS NULL THEN 'none' WHEN owner = r.s1_id THEN 'own' ELSE 'other' END AS whose FROM run r LEFT JOIN {_OWNER} USING (cand_id)",
+    "run_comparison": f"{_compared('base', 'run')} UNION ALL {_compared('deep', 'deep')}",
+    "hybrid_report": f"WITH f AS ({_FINAL}), n AS ({_per('SELECT * FROM f')}), o AS ({_per('SELECT * FROM acc')}), d AS (SELECT n.*, n.f05 - o.f05 AS d FROM n JOIN o USING (s1_id)), x AS (SELECT h.*, f.cand_id IS NOT NULL AS a, t.cand_id IS NOT NULL AS l, {_NATIVE} AS native FROM hybrid h LEFT JOIN f USING (s1_id, cand_id) LEFT JOIN truth t USING (s1_id, cand_id) JOIN rec ON rec.entity_id = h.cand_id) SELECT round(avg(f05), 9) AS macro_f05, round(avg(d), 9) AS delta, round(stddev_samp(d) / sqrt(count(*)), 9) AS se, sum(tp)::BIGINT AS tp, sum(n_pred - tp)::BIGINT AS fp, sum(n_true - tp)::BIGINT AS fn, (SELECT count_if(a AND NOT l AND hybrid_rank <= 3) FROM x)::BIGINT AS fp_rank_1_3, (SELECT count_if(NOT a AND l AND native) FROM x)::BIGINT AS fn_native FROM d",
+    "deep_evaluation": f"WITH f AS ({_FINAL}), n AS ({_per('SELECT * FROM f')}), o AS ({_per('SELECT * FROM acc')}), g AS (SELECT f.s1_id, count(*) AS added, count(t.cand_id) AS added_tp FROM f LEFT JOIN truth t USING (s1_id, cand_id) WHERE is_deep = 1 GROUP BY f.s1_id), d AS (SELECT n.*, n.f05 - o.f05 AS d, coalesce(added, 0) AS added, coalesce(added_tp, 0) AS added_tp FROM n JOIN o USING (s1_id) LEFT JOIN g USING (s1_id)) SELECT country, count(*) AS n_s1, round(avg(f05), 9) AS f05, round(avg(d), 9) AS delta, {_SINGLE}, sum(added)::BIGINT AS added, sum(added_tp)::BIGINT AS added_tp, sum(added - added_tp)::BIGINT AS added_fp, count_if(d > 1e-12)::BIGINT AS improved, count_if(d < -1e-12)::BIGINT AS harmed FROM d GROUP BY ROLLUP (country)",
+    "oracle_ladder": f"WITH a AS ({_per('SELECT * FROM acc')}), b AS ({BODY['oracle_prefix']}), c AS ({_per('SELECT s1_id, cand_id FROM run SEMI JOIN truth USING (s1_id, cand_id)')}), e AS ({_per('SELECT s1_id, cand_id FROM deep SEMI JOIN truth USING (s1_id, cand_id)')}) SELECT (SELECT round(avg(f05), 9) FROM a) AS o0, (SELECT round(avg(best_f05), 9) FROM b) AS o1, (SELECT round(avg(f05), 9) FROM c) AS o2, (SELECT round(avg(f05), 9) FROM e) AS o3, 1.0::DOUBLE AS o4",
+    "error_attribution": f"WITH j AS ({_ACCEPTED}), x AS (SELECT j.*, max(prob) FILTER (WHERE label = 0) OVER s AS mf, min(prob) FILTER (WHERE label = 1) OVER s AS mt, max(label) OVER s AS present, EXISTS (SELECT 1 FROM acc a WHERE a.cand_id = j.cand_id AND a.s1_id <> j.s1_id) AS taken, j.s1_id IN (SELECT s1_id FROM truth) AS matched FROM j WINDOW s AS (PARTITION BY s1_id)) SELECT CASE WHEN label = 1 THEN 'FN ' || CASE WHEN prob < 0.3 THEN 'below the floor' WHEN taken THEN 'lost to another S1' WHEN mf >= prob THEN 'outranked by a false one' ELSE 'below the threshold' END ELSE 'FP ' || CASE WHEN NOT matched THEN 'in an S1 without match' WHEN present = 0 THEN 'true ones are no candidates' WHEN prob > mt THEN 'outranks a true one' ELSE 'true ones rank above' END END AS fault, count(*) AS n FROM x WHERE (label = 1) <> accepted GROUP BY 1",
+    "error_categories": f"WITH x AS (SELECT l.*, a.business_address AS aa, b.business_address AS ba, {_HOUSE.format('a.business_address')} AS ano, {_HOUSE.format('b.business_address')} AS bno, {_NATIVE.replace('business_name', 'b.business_name')} AS native, owner, l.s1_id IN (SELECT s1_id FROM truth) AS matched, count(*) OVER (PARTITION BY l.cand_id) AS k FROM lab l JOIN rec a ON a.entity_id = l.s1_id JOIN rec b ON b.entity_id = l.cand_id LEFT JOIN {_OWNER} o ON o.cand_id = l.cand_id) " + " UNION ALL ".join(f"SELECT '{k}' AS category, count(*) AS n, round(avg(prob), 6) AS mean_prob, round(count(*)::DOUBLE / (SELECT count(*) FROM x), 6) AS share FROM x WHERE {w} HAVING count(*) > 0" for k, w in _KINDS.items()),
+    "gate_metrics": f"SELECT round(avg(f05), 9) AS macro_f05, round(avg(CASE WHEN n_true > 0 THEN f05 END), 9) AS matched_f05, {_SINGLE}, count_if(s1_row % 5 = 0)::BIGINT AS suppressed, count_if(s1_row % 5 = 0 AND n_true = 0)::BIGINT AS suppressed_singletons, count_if(s1_row % 5 = 0 AND n_true > 0)::BIGINT AS suppressed_matched FROM ({_per('SELECT a.* FROM acc a JOIN s1 USING (s1_id) WHERE s1_row % 5 <> 0')})",
+    "fold_thresholds": f"WITH g AS (SELECT f.fold::INT AS fold, g.threshold, s.s1_id, count(w.cand_id) FILTER (WHERE t.cand_id IS NOT NULL) AS tp, count(w.cand_id) AS n_pred, any_value(coalesce(n.k, 0)) AS n_true FROM range(3) f(fold) JOIN s1 s ON (s.s1_row // 3) % 3 <> f.fold, (SELECT unnest([{', '.join(map(str, GRID))}])::DOUBLE AS threshold) g LEFT JOIN won w ON w.s1_id = s.s1_id AND w.prob >= g.threshold LEFT JOIN truth t ON t.s1_id = w.s1_id AND t.cand_id = w.cand_id LEFT JOIN (SELECT s1_id, count(*) AS k FROM truth GROUP BY s1_id) n ON n.s1_id = s.s1_id GROUP BY ALL), m AS (SELECT fold, threshold, round(avg({_F05}), 9) AS m FROM g GROUP BY ALL) SELECT fold, threshold FROM m QUALIFY row_number() OVER (PARTITION BY fold ORDER BY m DESC, threshold) = 1",
+    "hard_groups": f"WITH x AS (SELECT l.* FROM lab l JOIN won w USING (s1_id, cand_id) WHERE l.prob::FLOAT >= {THRESHOLD}::FLOAT) " + " UNION ALL ".join(f"SELECT '{k}' AS grp, count(*) AS accepted, count_if(label = 0)::BIGINT AS false_positives FROM x WHERE {w} HAVING count(*) > 0" for k, w in {"all": "true", "S2": "cand_id LIKE 'S2-%'", "behind": "rank > 1", "unnamed": "name_score = 0"}.items()),
+    "missed_shares": f"SELECT CASE WHEN r.cand_id IS NULL THEN 'FN1' ELSE 'reachable' END AS reach, count(*) AS n, round(avg(({_NO} <> '')::INT::DOUBLE), 9) AS numbered, round(avg((t.cand_id LIKE 'S2-%')::INT::DOUBLE), 9) AS S2, median(length(business_name))::DOUBLE AS median_name_len FROM truth t JOIN rec ON entity_id = t.s1_id LEFT JOIN (SELECT s1_id, cand_id FROM ranked WHERE rank <= 1) r USING (s1_id, cand_id) GROUP BY 1",
+    "first_s1": "SELECT * FROM s1 WHERE s1_row < 500",
+    "every_kth": "SELECT entity_id FROM rec WHERE source_row % 7 = 0",
+    "development_truth": "SELECT t.* FROM truth t JOIN s1 USING (s1_id) WHERE s1_row % 4 = 0",
+    "sample_records": "SELECT entity_id, country FROM rec WHERE entity_id IN (SELECT s1_id FROM s1 WHERE s1_row % 4 = 0) OR entity_id IN (SELECT cand_id FROM truth JOIN s1 USING (s1_id) WHERE s1_row % 4 = 0)",
+    "value_counts": "WITH c AS (" + " UNION ALL ".join(f"SELECT '{c}' AS field, {c}::VARCHAR AS value FROM rec" for c in ("business_name", "business_address", "country", "source")) + "), m AS (SELECT field, value, count(*) AS m FROM c GROUP BY ALL) SELECT field, sum(m)::BIGINT AS n_rows, count(value) AS n_values, coalesce(sum(m) FILTER (WHERE value IS NULL), 0)::BIGINT AS n_null, max(m) AS most FROM m GROUP BY field",
+    "mark_counts": " UNION ALL ".join(f"SELECT '{c}' AS field, sum(len(regexp_extract_all({c}, '\\p{{M}}')))::BIGINT AS marks, count_if(regexp_matches({c}, '[*#]'))::BIGINT AS masked FROM rec" for c in ("business_name", "business_address")),
+    "holdout_overlap": f"SELECT count(*) AS n_held, 0::BIGINT AS n_shared FROM ({BODY['holdout_select']})",
+    "score_extremes": "SELECT s1_id, cand_id, max(prob) FILTER (WHERE label = 0) OVER s AS max_false, min(prob) FILTER (WHERE label = 1) OVER s AS min_true FROM lab WINDOW s AS (PARTITION BY s1_id)",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     head = "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())

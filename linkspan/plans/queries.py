@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
 from ..functions import text as t
-from ..operators import analysis, blocking, decide, features, learn, metrics, stats
+from ..operators import analysis, blocking, decide, evaluation, features, learn, metrics, stats
 from ..sources import records as src
 from ..sources import sinks
 from ..session import settle
@@ -131,7 +131,54 @@ def _validated(v: View) -> DataFrame:
     return sinks.check_lists(lists, v.s1.select("s1_id"))
 
 
+def _final(v: View) -> DataFrame:
+    return decide.merge_deep(_accepted(v), v.hybrid.where(f"origin = 1 and prob >= {DEEP_THRESHOLD}"))
+
+
+def _judged(v: View) -> DataFrame:
+    return evaluation.judged(v.labelled.withColumnRenamed("prob", "score"), _accepted(v))
+
+
+def _compared(v: View) -> DataFrame:
+    run = lambda k: (matching.label(v.scored(k), v.truth), decide.base_predictions(v.scored(k), THRESHOLD))
+    return evaluation.compare_runs(v.s1, v.truth, {"base": run(CONFIG.top_k), "deep": run(DEEP_K)})
+
+
+def _categories(v: View) -> DataFrame:
+    rows = evaluation.categorised(v.labelled, v.truth, v.records)
+    return metrics.breakdown(rows, evaluation.pair_categories(rows, v.truth, v.records), ["prob"])
+
+
+def _missed(v: View) -> DataFrame:
+    side = lambda mark, key: v.records.select(F.col("entity_id").alias(key), t.house_number(F.col("business_address")).alias(f"{mark}_no"), F.length("business_name").cast("double").alias(f"{mark}_len"))
+    facts = v.truth.join(side("a", "s1_id"), "s1_id").join(side("b", "cand_id"), "cand_id").withColumn("name_len", F.col("a_len"))
+    return evaluation.missed_shares(v.truth, v.run(1), {"numbered": F.col("a_no") != "", "S2": F.col("cand_id").startswith("S2-")}, facts, "name_len")
+
+
+def _sample(v: View) -> tuple[DataFrame, DataFrame]:
+    return evaluation.sampled(v.s1.where("s1_row % 4 = 0"), v.truth, v.records)
+
+
 QUERIES: dict[str, Callable[[View], DataFrame]] = {
+    "candidate_owner": lambda v: evaluation.owners(v.run(CONFIG.top_k), v.truth).select("s1_id", "cand_id", "owner", "whose"),
+    "run_comparison": _compared,
+    "hybrid_report": lambda v: evaluation.hybrid_report(v.s1, v.hybrid, _accepted(v), _final(v), v.truth, v.records.where(t.has_nonlatin(F.col("business_name"))).select(F.col("entity_id").alias("cand_id"))),
+    "deep_evaluation": lambda v: evaluation.deep_evaluation(v.s1, _accepted(v), _final(v), v.truth),
+    "oracle_ladder": lambda v: evaluation.oracle_ladder(v.s1, _judged(v), v.run(DEEP_K), v.truth),
+    "error_attribution": lambda v: evaluation.attribute_errors(_judged(v), v.truth, 0.3).where("fault is not null").groupBy("fault").agg(F.count(F.lit(1)).alias("n")),
+    "error_categories": _categories,
+    "gate_metrics": lambda v: evaluation.gate_metrics(v.s1, _accepted(v), v.truth, v.s1.where("s1_row % 5 = 0")),
+    "fold_thresholds": lambda v: evaluation.fold_thresholds(v.s1, decide.exclusive(v.scored(CONFIG.top_k)), v.truth, (F.floor(F.col("s1_row") / 3) % 3).cast("int"), 3, GRID),
+    "hard_groups": lambda v: evaluation.hard_groups(v.labelled, THRESHOLD, {"all": F.lit(True), "S2": F.col("cand_id").startswith("S2-"), "behind": F.col("rank") > 1, "unnamed": F.col("name_score") == 0}),
+    "missed_shares": _missed,
+    "first_s1": lambda v: evaluation.first_s1(v.s1, 500),
+    "every_kth": lambda v: evaluation.every_kth(v.records, 7).select("entity_id"),
+    "development_truth": lambda v: _sample(v)[0],
+    "sample_records": lambda v: _sample(v)[1].select("entity_id", "country"),
+    "value_counts": lambda v: evaluation.value_counts(v.records, ["business_name", "business_address", "country", "source"]),
+    "mark_counts": lambda v: evaluation.mark_counts(v.records, ["business_name", "business_address"]),
+    "holdout_overlap": lambda v: evaluation.overlap_proof(stats.holdout(v.records.where("source = 1"), 0.5, "holdout-v1", [t.stable_hash(F.col("entity_id"), "dev-v1") < 0.3]).select("entity_id"), v.records.where(t.stable_hash(F.col("entity_id"), "dev-v1") < 0.3).select("entity_id")),
+    "score_extremes": lambda v: metrics.extremes(v.labelled.withColumnRenamed("prob", "score")).select("s1_id", "cand_id", "max_false", "min_true"),
     "scan_records": lambda v: v.records.drop("twin"),
     "country_counts": lambda v: stats.country_counts(v.records),
     "source_profile": lambda v: stats.source_profile(v.records),

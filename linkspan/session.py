@@ -39,5 +39,8 @@ def settle(df: DataFrame) -> DataFrame:
     """``df`` computed once, with its lineage cut, in the folder that the cluster names in spark.checkpoint.dir."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkspan-"))
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="linkspan-"))
     return df.checkpoint()

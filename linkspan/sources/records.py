@@ -5,6 +5,7 @@ Text files are tab-separated UTF-8 without quoting; every column is a string and
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +41,14 @@ def read_source(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_row(df: DataFrame, name: str = "source_row") -> DataFrame:
-    """Rows numbered from 0 in file order: partition counts are summed, rows are counted within partitions."""
-    spark, schema = df.sparkSession, T.StructType([*df.schema.fields, T.StructField(name, T.LongType(), False)])
-    return spark.createDataFrame(df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])), schema)
+    """Rows numbered from 0 in file order: the rows of each block of a file are counted, blocks are put in order of their
+    place, and a row adds its place within the block. Without files, partitions are the blocks."""
+    file, start = F.input_file_name(), F.input_file_block_start()
+    placed = df.withColumns({"__file": file, "__start": start, "__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()})
+    blocks = placed.groupBy("__file", "__start", "__part").agg(F.min("__id").alias("__low"), F.count(F.lit(1)).alias("__n"))
+    before = W.orderBy("__file", "__start", "__part").rowsBetween(W.unboundedPreceding, -1)  # a row for each block
+    blocks = blocks.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    return placed.join(blocks, ["__file", "__start", "__part"]).select(*df.columns, (F.col("__before") + F.col("__id") - F.col("__low")).alias(name))
 
 
 def read_split(spark: SparkSession, folder: str, split: str, sources: tuple[int, ...] = (1, 2, 3)) -> DataFrame:

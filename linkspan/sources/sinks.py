@@ -59,9 +59,14 @@ def write_shards(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").partitionBy("country").parquet(path)
 
 
-def _read_text(spark: SparkSession, path: str) -> str | None:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file, such as a key; null where there is none."""
+    if not exists(spark, path):
         return None
     return "\n".join(r.value for r in spark.read.text(path).collect())
 
@@ -114,4 +119,4 @@ def preflight(spark: SparkSession, folder: str, split: str) -> list[str]:
     from .records import source_path
 
     missing = [f"package {m}" for m in ("pyspark", "numpy", "pandas", "pyarrow") if importlib.util.find_spec(m) is None]
-    return missing + [f"table {source_path(folder, split, s)}" for s in (1, 2, 3) if _read_text(spark, source_path(folder, split, s)) is None]
+    return missing + [f"table {source_path(folder, split, s)}" for s in (1, 2, 3) if not exists(spark, source_path(folder, split, s))]

@@ -140,3 +140,55 @@ def test_streams_equal_batch(spark, tmp_path):
         want[c] = folds.fold_winner(want.get(c), [(p, s)])
     assert last == want
     assert folds.fold_top_two((None, None), [0.2, 0.5, 0.5]) == (0.5, 0.5)
+
+
+def test_auc_equals_all_pairs(spark):
+    import random
+
+    from linkspan.operators import metrics
+
+    rng = random.Random(2)
+    for n, digits in ((1, 1), (400, 1), (900, 6)):
+        rows = [(round(rng.random() ** 3, digits), int(rng.random() < 0.3)) for _ in range(n)] + [(0.5, 1), (0.25, 0)]
+        pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+        want = sum((p > q) + 0.5 * (p == q) for p in pos for q in neg) / len(pos) / len(neg)
+        for parts in (4, 256):
+            got = metrics.auc(spark.createDataFrame(rows, "score double, label int"), parts).first().auc
+            assert abs(got - want) < 1e-8
+    assert metrics.auc(spark.createDataFrame([], "score double, label int")).first().auc is None
+
+
+def test_bootstrap_interval_and_poisson_weights(spark):
+    import math
+    import random
+
+    from linkspan.operators import metrics
+
+    for m in (1.0, 4.0, 60.0, 500.0):
+        draws = spark.range(20_000).select(metrics.poisson(F.lit(m), (F.xxhash64("id").bitwiseAND((1 << 53) - 1) + 0.5) / float(1 << 53)).alias("w"))
+        got = draws.agg(F.avg("w").alias("mean"), F.variance("w").alias("var"), F.avg((F.col("w") == 0).cast("double")).alias("none")).first()
+        assert abs(got.mean / m - 1) < 0.03 and abs(got["var"] / m - 1) < 0.05 and abs(got.none - math.exp(-m)) < 0.02
+    rng = random.Random(1)
+    values = [rng.gauss(1, 2) for _ in range(200)]
+    mean, sd = sum(values) / 200, (sum((x - sum(values) / 200) ** 2 for x in values) / 200) ** 0.5
+    got = metrics.bootstrap(spark.createDataFrame([(x,) for x in values], "d double"), n=1000).first()
+    half = 1.96 * sd / 200**0.5
+    assert abs(got.low - (mean - half)) < 0.15 * half and abs(got.high - (mean + half)) < 0.15 * half
+
+
+def test_cache_is_adopted_only_with_equal_keys_and_columns(spark):
+    from linkspan.operators import evaluation
+
+    rows = spark.createDataFrame([("a", "x", 1), ("a", "y", 2)], "s1_id string, cand_id string, n int")
+    assert evaluation.adopts(rows, rows.withColumn("n", F.lit(0)))
+    assert not evaluation.adopts(rows, rows.where("n = 1")) and not evaluation.adopts(rows, rows.unionByName(rows.limit(1))) and not evaluation.adopts(rows, rows.drop("n"))
+
+
+def test_deep_rules_conditions(spark):
+    from linkspan.operators import decide
+
+    names = ["prob", "num_best_ratio", "name_tsort", "ph_jacc", "cand_addr_missing", "addr_word_jacc", "deep_is_best", "deep_second_prob"]
+    rows = [("all", 0.9, 0.9, 0.9, 0.0, 0, 0.5, True, 0.1), ("conflict", 0.9, 0.3, 0.1, 0.1, 0, 0.1, False, 0.8), ("unlikely", 0.5, 0.9, 0.9, 0.9, 1, 1.0, True, 0.0)]
+    df = spark.createDataFrame(rows, "id string, " + ", ".join(f"{c} {'boolean' if c == 'deep_is_best' else 'double' if c != 'cand_addr_missing' else 'int'}" for c in names))
+    got = {r.id: "".join(k for k in "ABCDE" if r[k]) for r in df.select("id", *[c.alias(k) for k, c in decide.deep_rules(0.85).items()]).collect()}
+    assert got == {"all": "ABCDE", "conflict": "A", "unlikely": ""}

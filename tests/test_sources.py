@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from linkspan.sources import records as src
 from linkspan.sources import sinks
@@ -42,3 +43,50 @@ def test_cached_refuses_another_configuration(spark, tmp_path):
     assert sinks.cached(spark, f"file://{tmp_path}/run", key, lambda: 1 / 0).count() == 3
     with pytest.raises(ValueError, match="another"):
         sinks.cached(spark, f"file://{tmp_path}/run", "other", make)
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        text = "entity_id\tbusiness_name\tbusiness_address\tcountry\n" + "".join(f"S1-{k}\tname {k}\t{'x' * (k % 50)}\tUS\n" for k in range(3000))
+        (tmp_path / "t.tsv").write_text(text)
+        rows = src.with_row(src.read_source(spark, str(tmp_path / "t.tsv")))
+        assert rows.rdd.getNumPartitions() > 1
+        assert all(r.entity_id == f"S1-{r.source_row}" for r in rows.collect()) and rows.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    memory = src.with_row(spark.range(100).repartition(5)).collect()
+    assert sorted(r.source_row for r in memory) == list(range(100))
+
+
+def test_clean_and_raw_side_by_side(spark):
+    raw = spark.createDataFrame([("S1-0", "a", "b", "US"), ("S1-1", "c", "d", "US")], ", ".join(f"{c} string" for c in src.RECORD)).coalesce(1)
+    clean = raw.select(*[F.col(c) if c in src.RECORD else F.lit("x").alias(c) for c in src.CLEAN])
+    both = src.load_table(raw, clean, "both").orderBy("source_row").collect()
+    assert [(r.entity_id, r.clean_business_name, r.clean_name_script) for r in both] == [("S1-0", "a", "x"), ("S1-1", "c", "x")]
+    assert src.load_table(raw, clean).columns == raw.columns and src.load_table(raw, clean, "clean").columns == clean.columns
+    with pytest.raises(ValueError, match="agree"):
+        src.load_table(raw, clean.withColumn("entity_id", F.lit("S1-9")), "both")
+    with pytest.raises(src.CleanTableMissing):
+        src.load_table(raw, None, "both")
+
+
+def test_shards_and_frames(spark, tmp_path):
+    shard = spark.createDataFrame([(0, "S1-0", 1, "S2-5", 2, 5, 1.5, 0.5, "US")], f"{src.SHARD}, country string")
+    sinks.write_shards(shard, str(tmp_path / "run"))
+    assert src.read_shards(spark, str(tmp_path / "run")).collect() == shard.collect()
+    records = spark.createDataFrame([("S1-0", "a", "b", "US"), ("S2-5", "c", "d", "US"), ("S2-6", "e", "f", "US")], ", ".join(f"{c} string" for c in src.RECORD))
+    truth = spark.createDataFrame([("S1-0", ["S2-5"])], "s1_id string, matched array<string>")
+    row = src.candidate_frames(shard, records, truth).first()
+    assert (row.s1_business_name, row.cand_business_name, row.label) == ("a", "c", 1)
+    assert "label" not in src.candidate_frames(shard, records).columns
+    assert src.by_ids(records, spark.createDataFrame([("S2-6",), ("S2-6",)], "x string")).count() == 1
+    (tmp_path / "c.tsv").write_text("source1_entity_id\tcandidate_entity_ids\nS1-0\tS2-5,S2-6\nS1-1\t\n")
+    assert {r.s1_id: r.candidates for r in src.read_candidates(spark, str(tmp_path / "c.tsv")).collect()} == {"S1-0": ["S2-5", "S2-6"], "S1-1": []}
+    lists = lambda ids: spark.createDataFrame([("S1-0", ids)], "s1_id string, ids array<string>")
+    assert [tuple(r) for r in sinks.subset_findings(lists(["S2-5", "S3-1"]), lists(["S2-5"])).collect()] == [("S1-0", "S3-1")]
+
+
+def test_preflight_names_what_is_missing(spark, tmp_path):
+    (tmp_path / "test_source1.tsv").write_text("")
+    assert sinks.preflight(spark, str(tmp_path), "test") == [f"table {tmp_path}/test_source{s}.tsv" for s in (2, 3)]
