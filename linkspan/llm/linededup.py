@@ -89,7 +89,8 @@ def dedup(docs: DataFrame, min_words: int = MIN_WORDS, gone: str = "gone") -> Da
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(whole.alias("doc"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
     lost = repeated_lines(docs, min_words).select(F.col("doc_id").alias("id2"), F.col("th").alias("h2"), "gone")
-    both = rows.join(lost, F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left")
+    # Dealt by key at every size: the plan is the same for small and large inputs, and texts aren't sorted.
+    both = rows.join(lost.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("id2")) & (F.col("h") == F.col("h2")), "left")
     both = both.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("doc.text", "\n")))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     text = F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
