@@ -93,9 +93,9 @@ def smallest(rows: DataFrame, group: str, by: str, most: int) -> DataFrame:
 
     No group is gathered in one task: counts by the leading bits of the hash tell the bits where the group's last row
     lies, and only rows with just these bits are ranked."""
-    hashed = rows.withColumn("__hash", F.xxhash64(by)).withColumn("__top", F.shiftrightunsigned(F.col("__hash"), 50))
+    hashed = rows.withColumn("__hash", F.xxhash64(by)).withColumn("__top", F.shiftrightunsigned(F.col("__hash"), 56))
     counts = hashed.groupBy(F.col(group).alias("__group"), F.col("__top").alias("__at")).agg(F.count(F.lit(1)).alias("__m"))
-    before = W.partitionBy("__group").orderBy("__at").rowsBetween(W.unboundedPreceding, -1)  # 2 ** 14 rows of a group at most
+    before = W.partitionBy("__group").orderBy("__at").rowsBetween(W.unboundedPreceding, -1)  # 256 rows of a group at most
     counts = counts.withColumn("__before", F.coalesce(F.sum("__m").over(before), F.lit(0)))
     last = counts.where(F.col("__before") < most).groupBy("__group").agg(F.max(F.struct("__at", "__before")).alias("__last"))
     near = hashed.join(last, F.col(group) == F.col("__group")).where(F.col("__top") <= F.col("__last.__at"))
