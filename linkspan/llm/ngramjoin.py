@@ -359,11 +359,15 @@ def components(spark: SparkSession, edges: DataFrame, scratch: Scratch) -> DataF
 
 
 def _free(spark: SparkSession) -> None:
-    """Lets Spark remove the shuffle files of what has been written and isn't referred to any more."""
+    """Lets Spark remove the shuffle files of what has been written and isn't referred to any more. The removal is the
+    work of a thread that the collectors wake, so it gets a moment, twice: what the first round frees holds others."""
     import gc
+    import time
 
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -407,9 +411,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
         packed = texts.mapInArrow(_packed(n), "id bigint, uses array<struct<block:bigint,query:int>>, set binary")
         flat = packed.select(F.explode_outer("uses").alias("u"), "id", "set").select("u.block", "u.query", "id", "set")
         flat = flat.repartition("block").sortWithinPartitions("block", "query")
-        edges = scratch.write(flat.mapInArrow(_opened(threshold), "a bigint, b bigint"), name)
-        _free(spark)
-        return edges
+        return scratch.write(flat.mapInArrow(_opened(threshold), "a bigint, b bigint"), name)
 
     # Round 1: stars around three documents of each min-hash, the smallest, the largest and one by hash: who isn't
     # similar enough to one of them, but to most of the group, is to another.
@@ -419,6 +421,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     stars = scratch.write(stars, "stars")
     hubs = stars.select(F.col("block").alias("id"), "block").distinct()
     near = opened(stars, hubs, "near")
+    _free(spark)
     groups = components(spark, near.unionByName(same), scratch)
     groups = scratch.write(groups, "groups")
 
@@ -438,6 +441,7 @@ def link(spark: SparkSession, docs: DataFrame, n: int = N, threshold: tuple[int,
     members = placed.join(wanted, ["root", "cut"], "left_semi").select("id", block)
     found = found.select("id", block)
     far = opened(found, members, "far")
+    _free(spark)
 
     roots = scratch.write(components(spark, near.unionByName(far).unionByName(same), scratch), "roots")
     scratch.keep("measured", "roots")
