@@ -111,7 +111,9 @@ def fit(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """Languages, and log likelihoods of the cells by language. Counts leave the executors as one row for each task and language."""
     known = docs.where("doc_id is not null and lang is not null and text is not null")
     chosen = smallest(known.groupBy("doc_id").agg(F.min("lang").alias("lang")), "lang", "doc_id", PER_LANGUAGE)
-    # Ids are chosen first; only the texts chosen travel. Of rows with one id the smallest text counts.
+    # Ids are chosen first and written, so Spark knows how few they are and only the texts chosen travel. Of rows with one
+    # id the smallest text counts.
+    chosen = Scratch(docs.sparkSession, "sample").write(chosen, "chosen")
     sample = known.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id").agg(F.min("lang").alias("lang"), F.min("text").alias("text")).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
