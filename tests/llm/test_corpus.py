@@ -580,3 +580,74 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
         if name == "near_duplicates":
             assert {r.doc_id for r in df.collect()} == set(range(6))
     assert set(df.columns) == {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}
+
+
+def test_pipeline_stages_against_brute_force(spark, tmp_path):
+    """Each stage on what the one before kept, against plain Python."""
+    import corpus_pipeline as cp
+    import tiktoken
+
+    rng = random.Random(21)
+    word = lambda: f"{rng.choice('abcdefgh')}{rng.randint(0, 300)}"
+    passage = " ".join(word() for _ in range(60))
+    texts: list = [None, "", "short text", "x y z " * 60]
+    for k in range(40):
+        lines = [" ".join(word() for _ in range(rng.randint(5, 60))) for _ in range(rng.randint(1, 4))]
+        texts.append("\n".join([*lines, passage] if k % 4 == 0 else lines))
+    for k in range(20):
+        words = rng.choice(texts[4:44]).split(" ")
+        words[rng.randrange(len(words))] = word()
+        texts.append(" ".join(words))
+    df = clashing(docs(spark, texts))
+    spark.createDataFrame([(0, None, None)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    now = dict(enumerate(texts))
+    stages = dict(cp.STAGES)
+
+    def ran(name):
+        nonlocal df
+        stages[name](spark, df, str(tmp_path)).write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+        return df.collect()
+
+    m = {i: base_measures(t) for i, t in now.items()}
+    now = {i: t for i, t in now.items() if m[i][0] >= 50 and 100 * m[i][4] <= 50 * m[i][0]}
+    assert {r.doc_id: r.text for r in ran("quality_rules")} == now
+
+    ids = sorted(now)
+    gone = lost_lines([now[i] for i in ids], 50)
+    for k, i in enumerate(ids):
+        lines = now[i].split("\n")
+        now[i] = "\n".join(x for p, x in enumerate(lines) if p not in gone[k])
+    now = {i: t for i, t in now.items() if WORD.search(t)}
+    rows = ran("line_dedup")
+    assert {r.doc_id: r.text for r in rows} == now and all(r.n_chars == len(now[r.doc_id]) for r in rows)
+
+    ids = sorted(now)
+    roots = brute_components([now[i] for i in ids])
+    now = {i: now[i] for k, i in enumerate(ids) if roots[k][1] == k}
+    assert {r.doc_id: r.text for r in ran("near_duplicates")} == now and len(now) < len(ids)
+
+    assert collections.Counter((r.doc_id, r.text) for r in ran("mixing")) == collections.Counter(now.items())  # without labels all rates are 1
+
+    path, pattern = bpe.vocabulary()
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load(path, pattern).ranks, special_tokens={})
+    for r in ran("byte_bpe"):
+        coded = library.encode_ordinary(now[r.doc_id])
+        assert (r.n_tokens, r.ids_sha256) == (len(coded), hashlib.sha256(",".join(map(str, coded)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(now[r.doc_id].encode()).hexdigest()
+
+    empty = docs(spark, [])
+    for k, (name, stage) in enumerate(cp.STAGES):
+        stage(spark, empty, str(tmp_path)).write.parquet(str(tmp_path / f"empty{k}"))
+        assert spark.read.parquet(str(tmp_path / f"empty{k}")).count() == 0, name
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (4, "other text of this id")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumns({"lang": F.lit("en"), "block": F.lit(1), "query": F.lit(2), "__text": F.lit(3)})
+    assert ngramjoin.link(spark, df).count() == 5 and ngramjoin.deduplicate(spark, df).columns == df.columns
+    labels = spark.createDataFrame([(4, "en"), (4, "fr"), (None, "fr")], "doc_id bigint, domain string")
+    mixed, _ = mixing.mix(spark, df, labels)
+    assert mixing.apply(df, mixed).columns == df.columns
+    marks = spark.createDataFrame([(4, 1), (None, 0)], "doc_id bigint, quality int")
+    assert quality.assess(spark, df, marks).count() == 5 and pii.find_spans(df).count() == 5 and bpe.digests(df).count() == 5
