@@ -6,8 +6,8 @@ round every row merges its leftmost pair of minimum rank: pair ranks come from a
 (left id, right id), the row closes up over the merged pair, rows without a mergeable pair leave, and columns that no
 row uses are cut. Only the two pairs beside a merge are looked up anew.
 
-Pieces are first cut, exactly, where no token has the two bytes beside each other: no merge can cross there. Rows of the
-widest bucket (over ``WIDTHS[-1]`` bytes, any length) merge all pairs of minimum rank in a round, from left to right,
+Pieces of the widest bucket are first cut, exactly, where no token has the two bytes beside each other: no merge can
+cross there. Rows of that bucket (over ``WIDTHS[-1]`` bytes, any length) merge all pairs of minimum rank in a round, from left to right,
 which is what single merges come to where every token of the file is made, from its own bytes, by merges of rising
 rank: then no merge brings a pair of lower rank than its own. The file is checked for that before the first such row;
 where it fails, these rows too merge one pair a round.
@@ -104,8 +104,10 @@ class ByteBPE:
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         raw = [p.encode() for p in pieces]
+        if max(map(len, raw), default=0) <= WIDTHS[-1]:
+            return self._encode_sections(raw)
         whole = np.fromiter((self.ranks.get(p, -1) for p in raw), np.int32, len(raw))
-        cut = [[p] if w >= 0 else self._sections(p) for p, w in zip(raw, whole.tolist(), strict=True)]
+        cut = [self._sections(p) if w < 0 and len(p) > WIDTHS[-1] else [p] for p, w in zip(raw, whole.tolist(), strict=True)]
         parts, of = [x for y in cut for x in y], np.fromiter(map(len, cut), np.int64, len(cut))
         flat, lens = self._encode_sections(parts)
         return flat, np.diff(np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(of)])])
