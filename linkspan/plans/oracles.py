@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from ..functions import text as t
-from .queries import CAP, CONFIG, DEEP_K, DEEP_THRESHOLD, GRID, THRESHOLD
+from ..sources.records import NAME_PART
+from .queries import CAP, CONFIG, DEEP_K, DEEP_THRESHOLD, GRID, HALF, LIMITS, THRESHOLD, Limits
 
 
 def _list(words: list[str]) -> str:
@@ -18,7 +21,7 @@ _NAMES, _SPARSE = round(CONFIG.top_k * CONFIG.name_quota), round(CONFIG.top_k *
 
 #: Common table expressions by name; each may use those above it.
 CTES = {
-    "rec": "SELECT 'S' || (1 + doc_id % 3)::INT || '-' || lpad(doc_id::VARCHAR, 7, '0') AS entity_id, substr(text, 1, 40) AS business_name, substr(text, 41, 60) AS business_address, lang AS country, (1 + doc_id % 3)::INT AS source, doc_id AS source_row, md5(text) AS twin FROM documents",
+    "rec": f"SELECT 'S' || (1 + doc_id % 3)::INT || '-' || lpad(doc_id::VARCHAR, 7, '0') AS entity_id, regexp_extract(text, '{NAME_PART}', 1) AS business_name, regexp_replace(text, '{NAME_PART}', '') AS business_address, lang AS country, (1 + doc_id % 3)::INT AS source, doc_id AS source_row, md5(text) AS twin FROM documents",
     "s1": "SELECT entity_id AS s1_id, country, source_row AS s1_row FROM rec WHERE source = 1",
     "truth": "SELECT o.s1_id, r.entity_id AS cand_id FROM rec r JOIN (SELECT twin, min(entity_id) AS s1_id FROM rec WHERE source = 1 GROUP BY twin) o USING (twin) WHERE r.source <> 1",
     "names": f"SELECT *, list_filter({_FOLD.format('business_name')}, lambda x: x NOT IN {_list(t.NAME_STOPWORDS)}) AS nt, {_PLAIN.format(f'list_filter({_FOLD.format("business_address")}, lambda x: x NOT IN {_list(t.ADDRESS_STOPWORDS)})')} AS adt FROM rec",
@@ -26,12 +29,12 @@ CTES = {
     "df": "SELECT country, field, token, count(*) AS df FROM tok GROUP BY ALL",
     "idf": "SELECT d.*, round(ln((n + 1) / df) * 1000000)::BIGINT AS idf_micro FROM df d JOIN (SELECT country, count(*)::DOUBLE AS n FROM rec GROUP BY country) USING (country)",
     "w": "SELECT *, CASE field WHEN 'n' THEN idf_micro ELSE round(idf_micro * 1.5::DOUBLE)::BIGINT END AS weight FROM idf",
-    "pool": f"SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS combined, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS name_score FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df <= {CONFIG.max_df} AND l.source = 1 AND r.source <> 1 GROUP BY ALL",
+    "pool": f"SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS combined, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS name_score FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df <= @max_df@ AND l.source = 1 AND r.source <> 1 GROUP BY ALL",
     "flags": "SELECT entity_id, (CASE WHEN regexp_matches(business_name, '[\\x{0250}-\\x{10FFFF}]') AND regexp_matches(regexp_replace(business_name, '[\\x{0000}-\\x{024F}]', '', 'g'), '\\p{L}') THEN 1 ELSE 0 END + CASE WHEN len(adt) = 0 THEN 2 ELSE 0 END)::INT AS flags FROM names",
     "marked": "SELECT p.*, f.flags <> 0 AS sparse FROM pool p JOIN flags f ON f.entity_id = p.cand_id",
     "ranked": "SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id) AS rank FROM pool",
-    "run": f"SELECT *, floor(100 * combined / (combined + 10000000)) / 100.0 AS prob FROM ranked WHERE rank <= {CONFIG.top_k}",
-    "deep": f"SELECT *, floor(100 * combined / (combined + 10000000)) / 100.0 AS prob FROM ranked WHERE rank <= {DEEP_K}",
+    "run": f"SELECT *, floor(100 * combined / (combined + {HALF})) / 100.0 AS prob FROM ranked WHERE rank <= {CONFIG.top_k}",
+    "deep": f"SELECT *, floor(100 * combined / (combined + {HALF})) / 100.0 AS prob FROM ranked WHERE rank <= {DEEP_K}",
     "won": "SELECT s1_id, cand_id, prob FROM run QUALIFY row_number() OVER (PARTITION BY cand_id ORDER BY prob DESC, s1_id) = 1",
     "acc": f"SELECT s1_id, cand_id FROM won WHERE prob::FLOAT >= {THRESHOLD}::FLOAT",
     "lab": "SELECT r.*, (t.s1_id IS NOT NULL)::INT AS label FROM run r LEFT JOIN truth t USING (s1_id, cand_id)",
@@ -89,33 +92,32 @@ BODY = {
         SELECT *, sparse AND NOT by_name AND row_number() OVER (PARTITION BY s1_id ORDER BY (sparse AND NOT by_name) DESC, combined DESC, cand_id) <= {_SPARSE} AS by_flag FROM (
         SELECT *, name_score > 0 AND row_number() OVER (PARTITION BY s1_id ORDER BY (name_score > 0) DESC, name_score DESC, cand_id) <= {_NAMES} AS by_name FROM marked))) WHERE pos <= {CONFIG.top_k}""",
     "rerank_exact": f"""WITH short AS (SELECT s1_id, cand_id, combined, name_score, sparse FROM (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id) AS r1, row_number() OVER (PARTITION BY s1_id ORDER BY (name_score > 0) DESC, name_score DESC, cand_id) AS r2, row_number() OVER (PARTITION BY s1_id ORDER BY sparse DESC, combined DESC, cand_id) AS r3 FROM marked)
-        WHERE r1 <= {CONFIG.rerank_depth} OR (name_score > 0 AND r2 <= {CONFIG.rerank_depth}) OR (sparse AND r3 <= {5 * max(1, _SPARSE)})),
-        more AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS m1, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS m2 FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df > {CONFIG.max_df} AND l.source = 1 AND r.source <> 1 GROUP BY ALL)
+        WHERE r1 <= @rerank_depth@ OR (name_score > 0 AND r2 <= @rerank_depth@) OR (sparse AND r3 <= {5 * max(1, _SPARSE)})),
+        more AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(weight)::BIGINT AS m1, sum(CASE WHEN l.field = 'n' THEN weight ELSE 0 END)::BIGINT AS m2 FROM w JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE df > @max_df@ AND l.source = 1 AND r.source <> 1 GROUP BY ALL)
         SELECT s1_id, cand_id, combined + coalesce(m1, 0) AS combined, name_score + coalesce(m2, 0) AS name_score, sparse FROM short LEFT JOIN more USING (s1_id, cand_id)""",
     "trigram_fallback": """WITH g AS (SELECT entity_id, source, country, unnest(list_distinct(CASE WHEN length(j) < 3 THEN [j] ELSE list_transform(range(1, length(j) - 1), lambda i: substr(j, i, 3)) END)) AS token FROM (SELECT *, array_to_string(nt, '') AS j FROM names) WHERE j <> ''),
         few AS (SELECT s1_id FROM s1 LEFT JOIN pool USING (s1_id) GROUP BY s1_id HAVING count(pool.cand_id) < 3),
-        wt AS (SELECT country, token, round(round(ln((n + 1) / df) * 1000000) * 0.5::DOUBLE)::BIGINT AS w FROM (SELECT country, token, count(*) AS df FROM g GROUP BY ALL) JOIN (SELECT country, count(*)::DOUBLE AS n FROM rec GROUP BY country) USING (country) WHERE df <= 5),
+        wt AS (SELECT country, token, round(round(ln((n + 1) / df) * 1000000) * 0.5::DOUBLE)::BIGINT AS w FROM (SELECT country, token, count(*) AS df FROM g GROUP BY ALL) JOIN (SELECT country, count(*)::DOUBLE AS n FROM rec GROUP BY country) USING (country) WHERE df <= @grams@),
         more AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(w) AS c FROM wt JOIN g l USING (country, token) JOIN g r USING (country, token) WHERE l.source = 1 AND r.source <> 1 AND l.entity_id IN (SELECT s1_id FROM few) GROUP BY ALL)
         SELECT s1_id, cand_id, sum(combined)::BIGINT AS combined, sum(name_score)::BIGINT AS name_score FROM (SELECT * FROM pool UNION ALL SELECT s1_id, cand_id, c, c FROM more) GROUP BY ALL""",
     "rarest_key_block": """WITH ch AS (SELECT k.*, d.df, row_number() OVER (PARTITION BY k.entity_id, k.field ORDER BY d.df, k.token) AS pos FROM tok k JOIN df d USING (country, field, token) WHERE k.source = 1),
-        nor AS (SELECT * FROM ch WHERE pos <= 2 AND df <= 10), alt AS (SELECT * FROM ch ANTI JOIN nor USING (entity_id) WHERE pos <= 2 AND df <= 30 QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY df, field, token) = 1),
+        nor AS (SELECT * FROM ch WHERE pos <= 2 AND df <= @keys@), alt AS (SELECT * FROM ch ANTI JOIN nor USING (entity_id) WHERE pos <= 2 AND df <= @last_key@ QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY df, field, token) = 1),
         keyed AS (SELECT entity_id, country, field, token FROM nor UNION ALL SELECT entity_id, country, field, token FROM alt),
         pr AS (SELECT DISTINCT k.entity_id AS s1_id, r.entity_id AS cand_id FROM keyed k JOIN tok r USING (country, field, token) WHERE r.source <> 1)
         SELECT s1_id, cand_id, sum(idf_micro)::BIGINT AS combined, sum(CASE WHEN l.field = 'n' THEN idf_micro ELSE 0 END)::BIGINT AS name_score FROM pr JOIN tok l ON l.entity_id = s1_id JOIN tok r ON r.entity_id = cand_id AND r.field = l.field AND r.token = l.token JOIN idf i ON i.country = l.country AND i.field = l.field AND i.token = l.token GROUP BY ALL""",
     "coverage": "SELECT p.*, round(combined::DOUBLE / greatest(own, 1), 6) AS coverage FROM pool p JOIN (SELECT entity_id AS s1_id, sum(idf_micro)::BIGINT AS own FROM tok JOIN idf USING (country, field, token) WHERE source = 1 GROUP BY entity_id) USING (s1_id)",
     "three_views": "SELECT * FROM (SELECT *, combined > 0 AND row_number() OVER (PARTITION BY s1_id ORDER BY (combined > 0) DESC, combined DESC, cand_id DESC) <= 3 AS in_combined, name_score > 0 AND row_number() OVER (PARTITION BY s1_id ORDER BY (name_score > 0) DESC, name_score DESC, cand_id DESC) <= 3 AS in_name, combined > name_score AND row_number() OVER (PARTITION BY s1_id ORDER BY (combined > name_score) DESC, combined - name_score DESC, cand_id DESC) <= 3 AS in_address FROM pool) WHERE in_combined OR in_name OR in_address",
     "standin_block": f"""WITH k AS (SELECT entity_id AS id, source, country, unnest(list_distinct({_WORDS.format('business_name')})) AS token FROM rec), u AS (SELECT * FROM k WHERE source <> 1),
-        wt AS (SELECT country, token, round(ln(n::DOUBLE / count(*)) * 1000000)::BIGINT AS w FROM u JOIN (SELECT country, count(DISTINCT id) AS n FROM u GROUP BY country) USING (country) GROUP BY country, token, n HAVING count(*) <= 30),
+        wt AS (SELECT country, token, round(ln(n::DOUBLE / count(*)) * 1000000)::BIGINT AS w FROM u JOIN (SELECT country, count(DISTINCT id) AS n FROM u GROUP BY country) USING (country) GROUP BY country, token, n HAVING count(*) <= @standin@),
         p AS (SELECT k.id AS s1_id, u.id AS cand_id, sum(w)::BIGINT AS score FROM k JOIN wt USING (country, token) JOIN u USING (country, token) WHERE k.source = 1 GROUP BY ALL)
         SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_id)::INT AS rank FROM p QUALIFY rank <= 3""",
-    "rescue_channel": "WITH p AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(idf_micro)::BIGINT AS combined, 0::BIGINT AS name_score FROM idf JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE l.field = 'a' AND df <= 20 AND l.source = 1 AND r.source <> 1 GROUP BY ALL), q AS (SELECT * FROM p ANTI JOIN (SELECT * FROM ranked WHERE rank <= 2) x USING (s1_id, cand_id)) SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id)::INT AS rank FROM q QUALIFY rank <= 3",
+    "rescue_channel": "WITH p AS (SELECT l.entity_id AS s1_id, r.entity_id AS cand_id, sum(idf_micro)::BIGINT AS combined, 0::BIGINT AS name_score FROM idf JOIN tok l USING (country, field, token) JOIN tok r USING (country, field, token) WHERE l.field = 'a' AND df <= @rescue@ AND l.source = 1 AND r.source <> 1 GROUP BY ALL), q AS (SELECT * FROM p ANTI JOIN (SELECT * FROM ranked WHERE rank <= 2) x USING (s1_id, cand_id)) SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY combined DESC, cand_id)::INT AS rank FROM q QUALIFY rank <= 3",
     "label_pairs": "SELECT s1_id, cand_id, label FROM lab",
     "truth_summary": "SELECT (SELECT count(*) FROM s1) AS n_s1, (SELECT count(*) FROM s1 ANTI JOIN truth USING (s1_id)) AS singletons, (SELECT max(k) FROM (SELECT count(t.cand_id) AS k FROM s1 LEFT JOIN truth t USING (s1_id) GROUP BY s1_id)) AS most_matches, count(*) AS links, count_if(starts_with(cand_id, 'S2-'))::BIGINT AS links_s2, count_if(starts_with(cand_id, 'S3-'))::BIGINT AS links_s3, count(DISTINCT cand_id) AS linked, (SELECT count(*) FROM (SELECT 1 FROM truth GROUP BY cand_id HAVING count(DISTINCT s1_id) > 1)) AS several_s1 FROM truth",
     "match_histogram": "SELECT k AS n_matches, count(*) AS n_s1 FROM (SELECT count(t.cand_id) AS k FROM s1 LEFT JOIN truth t USING (s1_id) GROUP BY s1_id) GROUP BY k",
     "token_changes": f"WITH x AS (SELECT {_WORDS.format('an')} AS a, {_WORDS.format('bn')} AS b FROM texts), c AS (SELECT 'added' AS kind, unnest(list_distinct(list_filter(b, lambda y: NOT list_contains(a, y)))) AS token FROM x UNION ALL SELECT 'removed', unnest(list_distinct(list_filter(a, lambda y: NOT list_contains(b, y)))) FROM x) SELECT kind, token, count(*) AS n FROM c GROUP BY kind, token QUALIFY row_number() OVER (PARTITION BY kind ORDER BY n DESC, token) <= 25",
     "pair_recall_by_group": "WITH m AS (SELECT t.*, s.country, r.cand_id IS NOT NULL AS f FROM truth t JOIN s1 s USING (s1_id) LEFT JOIN run r USING (s1_id, cand_id)) SELECT grp, value, count(*) AS n_true, count_if(f)::BIGINT AS n_found FROM (SELECT f, 'all' AS grp, 'all' AS value FROM m UNION ALL SELECT f, 'country', country FROM m UNION ALL SELECT f, 'source', substr(cand_id, 1, 2) FROM m) GROUP BY grp, value",
     "jaccard_pairs": f"SELECT s1_id, cand_id, round({_JACC.format('a', 'b')}, 9) AS jaccard FROM (SELECT s1_id, cand_id, list_distinct({_WORDS.format('an')}) AS a, list_distinct({_WORDS.format('bn')}) AS b FROM texts)",
-    "jaro_winkler_pairs": "SELECT s1_id, cand_id, round(jaro_winkler_similarity(x, y), 6) AS jaro_winkler FROM (SELECT s1_id, cand_id, regexp_replace(lower(an), '[^\\x00-\\x7F]', '', 'g') AS x, regexp_replace(lower(bn), '[^\\x00-\\x7F]', '', 'g') AS y FROM texts) WHERE x <> '' OR y <> ''",
     "num_features": f"""WITH x AS (SELECT s1_id, cand_id, {_DIGITS.format(_ADDRESS.format('aa'))} AS a, {_DIGITS.format(_ADDRESS.format('ba'))} AS b, list_distinct({_NODIGITS.format(_ADDRESS.format('aa'))}) AS u, list_distinct({_NODIGITS.format(_ADDRESS.format('ba'))}) AS v FROM texts)
         SELECT s1_id, cand_id, len(list_intersect(a, b))::INT AS num_shared_n, len(list_distinct(list_filter(a, lambda y: NOT list_contains(b, y))))::INT AS num_only_s1_n, len(list_distinct(list_filter(b, lambda y: NOT list_contains(a, y))))::INT AS num_only_cand_n,
         CASE WHEN len(a) = 0 OR len(b) = 0 THEN -1 ELSE (len(list_filter(a, lambda y: len(list_filter(b, lambda z: y <> z AND least(length(y), length(z)) >= 2 AND (starts_with(y, z) OR starts_with(z, y)))) > 0)) > 0)::INT END AS num_prefix, round({_JACC.format('u', 'v')}, 6) AS addr_word_jacc FROM x""",
@@ -236,6 +238,12 @@ BODY |= {
 }
 
 
-def oracle_sql() -> dict[str, str]:
+def _limited(sql: str, limits: Limits) -> str:
+    for name, value in asdict(limits).items():
+        sql = sql.replace(f"@{name}@", str(value))
+    return sql
+
+
+def oracle_sql(limits: Limits = LIMITS) -> dict[str, str]:
     head = "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in CTES.items())
-    return {name: f"{head},\nanswer AS ({body})\nSELECT * FROM answer" for name, body in BODY.items()}
+    return {name: _limited(f"{head},\nanswer AS ({body})\nSELECT * FROM answer", limits) for name, body in BODY.items()}

@@ -1,11 +1,13 @@
 """Registered queries over a three-source view of ``documents``, each with DuckDB SQL where SQL can express it.
 
 Where a classifier's probability is needed, a fixed function of the blocking score stands in, so decisions have exact
-oracles: prob = floor(100 c / (c + 10^7)) / 100 with c the combined score in millionths."""
+oracles: prob = floor(100 c / (c + HALF)) / 100 with c the combined score in millionths."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +20,35 @@ from ..sources import sinks
 from ..session import settle
 from . import matching
 
-CONFIG = blocking.Config(top_k=5, name_quota=0.3, sparse_quota=0.3, nonlatin_boost=1.0, max_df=20, rerank_depth=50, weights=(("n", 1.0), ("a", 1.5)))
+
+
+@dataclass(frozen=True)
+class Limits:
+    """Caps on document frequency of the blocking operators and the depth of a re-rank, as the operators have them."""
+
+    max_df: int = blocking.Config.max_df
+    rerank_depth: int = blocking.Config.rerank_depth
+    keys: int = 20_000
+    last_key: int = 50_000
+    standin: int = 3_000
+    grams: int = blocking.Config.fallback_max_df
+    rescue: int = 20_000
+
+
+LIMITS = Limits()
+CONFIG = blocking.Config(top_k=5, name_quota=0.3, sparse_quota=0.3, nonlatin_boost=1.0, weights=(("n", 1.0), ("a", 1.5)))
 FIELDS = ("n", "a")
 DEEP_K, CAP, THRESHOLD, DEEP_THRESHOLD = 9, 7, 0.6, 0.7
+HALF = 10_000_000
 GRID = [0.2, 0.4, 0.5, 0.6, 0.7, 0.8]
 
 
 class View:
     """The view's tables, as plans."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, limits: Limits = LIMITS):
+        self.limits = limits
+        self.config = replace(CONFIG, max_df=limits.max_df, rerank_depth=limits.rerank_depth)
         self.records = src.demo_records(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
     @property
@@ -55,9 +76,10 @@ class View:
     def flags(self) -> DataFrame:
         return self.records.select("entity_id", t.record_flags(F.col("business_name"), F.col("business_address")).alias("flags"))
 
-    @property
+    @cached_property
     def pool(self) -> DataFrame:
-        return blocking.block(self.tokens(), self.weighted.where(F.col("df") <= CONFIG.max_df))
+        """Computed once: most queries rank it more than once."""
+        return settle(blocking.block(self.tokens(), self.weighted.where(F.col("df") <= self.limits.max_df)))
 
     @property
     def marked(self) -> DataFrame:
@@ -67,7 +89,7 @@ class View:
         return blocking.top_n(self.pool, k)
 
     def scored(self, k: int) -> DataFrame:
-        return self.run(k).withColumn("prob", F.floor(100 * F.col("combined") / (F.col("combined") + 10_000_000)) / 100.0)
+        return self.run(k).withColumn("prob", F.floor(100 * F.col("combined") / (F.col("combined") + HALF)) / 100.0)
 
     @property
     def labelled(self) -> DataFrame:
@@ -93,11 +115,6 @@ def _words(c: str):
     return F.filter(F.split(F.trim(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}\p{M}]+", " ")), " "), lambda x: x != "")
 
 
-def _ascii(c: str):
-    """Lower case without characters beyond ASCII: DuckDB's metric compares bytes."""
-    return F.regexp_replace(F.lower(c), r"[^\x00-\x7F]", "")
-
-
 def _rarity(v: View) -> DataFrame:
     rec = v.records.select("entity_id", "country", t.core_words("business_name").alias("core"))
     side = lambda mark, key: rec.select(F.col("entity_id").alias(key), *([F.col("country")] if mark == "a" else []), F.col("core").alias(f"{mark}_core"))
@@ -198,22 +215,21 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "block_score": lambda v: v.pool,
     "block_top_k": lambda v: v.run(CONFIG.top_k),
     "block_quota_top_k": lambda v: blocking.quota_top_k(v.marked, CONFIG.top_k, CONFIG.name_quota, CONFIG.sparse_quota),
-    "rerank_exact": lambda v: blocking.rerank(blocking.shortlist(v.marked, CONFIG), v.tokens(), v.weighted.where(F.col("df") > CONFIG.max_df)),
+    "rerank_exact": lambda v: blocking.rerank(blocking.shortlist(v.marked, v.config), v.tokens(), v.weighted.where(F.col("df") > v.limits.max_df)),
     "candidate_run": lambda v: matching.candidate_run(v.records, blocking.Config()),
-    "trigram_fallback": lambda v: blocking.with_fallback(v.pool, v.s1, v.tokens(("g",)), stats.idf(stats.doc_freq(v.tokens(("g",))), stats.country_counts(v.records)), 3, 5, 0.5),
-    "rarest_key_block": lambda v: blocking.rarest_key_block(v.tokens(), stats.doc_freq(v.tokens()), v.idf, {"n": 2, "a": 2}, 10, 30),
+    "trigram_fallback": lambda v: blocking.with_fallback(v.pool, v.s1, v.tokens(("g",)), stats.idf(stats.doc_freq(v.tokens(("g",))), stats.country_counts(v.records)), 3, v.limits.grams, 0.5),
+    "rarest_key_block": lambda v: blocking.rarest_key_block(v.tokens(), stats.doc_freq(v.tokens()), v.idf, {"n": 2, "a": 2}, v.limits.keys, v.limits.last_key),
     "coverage": lambda v: blocking.coverage(v.pool, v.tokens(), v.idf),
     "three_views": lambda v: blocking.three_views(v.pool, 3),
-    "standin_block": lambda v: blocking.standin_block(*[v.records.where(w).select(F.col("entity_id").alias("id"), "country", F.explode(F.array_distinct(_words("business_name"))).alias("token")) for w in ("source = 1", "source <> 1")], 3, 30),
-    "rescue_channel": lambda v: blocking.channel_candidates(v.tokens(("a",)), v.idf, v.run(2), "a", 3, 20),
+    "standin_block": lambda v: blocking.standin_block(*[v.records.where(w).select(F.col("entity_id").alias("id"), "country", F.explode(F.array_distinct(_words("business_name"))).alias("token")) for w in ("source = 1", "source <> 1")], 3, v.limits.standin),
+    "rescue_channel": lambda v: blocking.channel_candidates(v.tokens(("a",)), v.idf, v.run(2), "a", 3, v.limits.rescue),
     "label_pairs": lambda v: v.labelled.select("s1_id", "cand_id", "label"),
     "truth_summary": lambda v: stats.truth_summary(v.s1, v.truth),
     "match_histogram": lambda v: stats.match_histogram(v.s1, v.truth),
     "token_changes": lambda v: stats.token_changes(v.texts.select(_words("a_name").alias("s1_tokens"), _words("b_name").alias("cand_tokens"))),
     "pair_recall_by_group": lambda v: metrics.recall_by_group(v.truth.join(v.s1.select("s1_id", "country"), "s1_id"), v.run(CONFIG.top_k), {"country": F.col("country"), "source": F.substring("cand_id", 1, 2)}),
     "jaccard_pairs": lambda v: v.texts.select("s1_id", "cand_id", F.round(sim.jaccard(F.array_distinct(_words("a_name")), F.array_distinct(_words("b_name"))), 9).alias("jaccard")),
-    "jaro_winkler_pairs": lambda v: v.texts.select("s1_id", "cand_id", _ascii("a_name").alias("a"), _ascii("b_name").alias("b")).where("a <> '' or b <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a", "b"), 6).alias("jaro_winkler")),
-    "jaro_winkler_whole": lambda v: v.texts.where("a_name <> '' or b_name <> ''").select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a_name", "b_name"), 6).alias("jaro_winkler")),
+    "jaro_winkler_pairs": lambda v: v.texts.select("s1_id", "cand_id", F.round(sim.jaro_winkler_of("a_name", "b_name"), 6).alias("jaro_winkler")),
     "indel_ratio_pairs": lambda v: v.texts.select("s1_id", "cand_id", sim.ratio_of("a_name", "b_name").alias("ratio"), sim.token_sort_of("a_name", "b_name").alias("tsort"), sim.token_set_of("a_name", "b_name").alias("tset"), sim.partial_of("a_name", "b_name").alias("partial")),
     "num_features": _numbers,
     "name_rarity": _rarity,

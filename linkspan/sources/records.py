@@ -126,13 +126,18 @@ def by_ids(records: DataFrame, ids: DataFrame, column: str = "entity_id") -> Dat
     return records.join(ids.select(F.col(ids.columns[0]).alias(column)).distinct(), column, "left_semi")
 
 
+#: Up to six words at the start of a text, and what is before them.
+NAME_PART = r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+(?:[\x20\x09-\x0D]+[^\x20\x09-\x0D]+){0,5})"
+
+
 def demo_records(documents: DataFrame) -> DataFrame:
-    """A three-source view over ``documents`` for queries and tests: name and address are stretches of the text."""
+    """A three-source view over ``documents`` for queries and tests: the first six words of a text are the name, all that
+    follows is the address."""
     source = (F.lit(1) + F.col("doc_id") % 3).cast("int")
     return documents.select(
         F.concat(F.lit("S"), source.cast("string"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 7, "0")).alias("entity_id"),
-        F.substring("text", 1, 40).alias("business_name"),
-        F.substring("text", 41, 60).alias("business_address"),
+        F.regexp_extract("text", NAME_PART, 1).alias("business_name"),
+        F.regexp_replace("text", NAME_PART, "").alias("business_address"),
         F.col("lang").alias("country"),
         source.alias("source"),
         F.col("doc_id").alias("source_row"),

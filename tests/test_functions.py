@@ -109,3 +109,31 @@ def test_number_features(spark):
     row = spark.createDataFrame([(["1622"], ["162"], ["oak", "street", "pune"], ["oak", "st", "pune"])], "a array<string>, b array<string>, x array<string>, y array<string>")
     got = row.select(*[c.alias(k) for k, c in number_features(F.col("a"), F.col("b"), F.col("x"), F.col("y")).items()]).first()
     assert round(got.num_best_ratio, 3) == 0.857 and got.num_prefix == 1 and got.addr_word_jacc == 0.5
+
+
+def test_partial_ratio_equals_all_windows():
+    import random
+
+    def brute(a, b):
+        a, b = sorted((a, b), key=len)
+        sides = [(a, b), (b, a)] if len(a) == len(b) else [(a, b)]
+        return max(sim.ratio(x, y[max(0, k) : k + len(x)]) for x, y in sides for k in range(1 - len(x), len(y)))
+
+    rng = random.Random(5)
+    for _ in range(600):
+        letters = rng.choice(["ab", "abcdef", "abcdefghijklmnop  "])
+        a, b = ("".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(2))
+        if rng.random() < 0.3:
+            b = b[:5] + a[: len(a) // 2] + "x" + a[len(a) // 2 :] + b[5:]
+        assert sim.partial_ratio(a, b) == brute(a, b), (a, b)
+
+
+def test_string_metrics_of_long_texts_end_soon():
+    import random
+    import time
+
+    rng = random.Random(3)
+    a, b = (" ".join("".join(rng.choices("aeiounrstl", k=rng.randint(2, 9))) for _ in range(600)) for _ in range(2))
+    start = time.time()
+    assert 0.4 < sim.partial_ratio(a, b) < 1 and 0.4 < sim.jaro_winkler(a, b) < 1
+    assert time.time() - start < 30

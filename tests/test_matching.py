@@ -63,7 +63,7 @@ def test_jaro_winkler_of_whole_names(spark, tmp_path):
     spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     view = queries.View(spark, str(tmp_path))
     name = {r.entity_id: r.business_name for r in view.records.collect()}
-    got = queries.QUERIES["jaro_winkler_whole"](view).collect()
+    got = queries.QUERIES["jaro_winkler_pairs"](view).collect()
     assert len(got) == view.run(queries.CONFIG.top_k).count() > 0
     assert any(r.jaro_winkler < 1 and not name[r.s1_id].isascii() for r in got)
     for r in got:
