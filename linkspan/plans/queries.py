@@ -39,7 +39,7 @@ LIMITS = Limits()
 CONFIG = blocking.Config(top_k=5, name_quota=0.3, sparse_quota=0.3, nonlatin_boost=1.0, weights=(("n", 1.0), ("a", 1.5)))
 FIELDS = ("n", "a")
 DEEP_K, CAP, THRESHOLD, DEEP_THRESHOLD = 9, 7, 0.6, 0.7
-HALF = 10_000_000
+HALF = 200_000_000
 GRID = [0.2, 0.4, 0.5, 0.6, 0.7, 0.8]
 
 
