@@ -114,6 +114,17 @@ def rate(v: list[float]) -> Column:
     return F.greatest(F.lit(0.0), F.aggregate(F.zip_with(F.lit(v), "p", lambda x, y: x * y), F.lit(1.0), lambda a, x: a + x))
 
 
+def moments(soft: DataFrame, v: list[float]) -> DataFrame:
+    """One row, of the rows of positive rate: expected tokens of the domains (have), tokens times squared rate (square),
+    Gram matrix (g, its upper half). A document is one row throughout: a step makes no row for each of its domains."""
+    rows = soft.select(F.col("n").cast("double").alias("n"), "p", rate(v).alias("r")).where("r > 0")
+    p = [F.col("p")[i] for i in range(len(v))]
+    mass = F.col("n") * F.aggregate("p", F.lit(0.0), lambda a, x: a + x)
+    have = [F.sum(F.col("n") * x * F.col("r")).alias(f"have{i}") for i, x in enumerate(p)]
+    gram = [F.sum(F.col("n") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(len(v)) for j in range(i, len(v))]
+    return rows.agg(*have, F.sum(mass * F.col("r") * F.col("r")).alias("square"), *gram)
+
+
 def fit_rates(soft: DataFrame, shares: list[float], keep: list[int], tolerance: float = TOLERANCE, headroom: float = HEADROOM) -> tuple[Column, dict]:
     """The rate as an expression over ``p``, and a report: available, wanted and reached tokens of the domains, steps,
     and miss, the largest difference as a share of all wanted tokens (over ``tolerance`` only where no rates reach the
@@ -123,13 +134,9 @@ def fit_rates(soft: DataFrame, shares: list[float], keep: list[int], tolerance:
     times = lambda g, x: [dot(row, x) for row in g]
 
     def sums(v: list[float]) -> tuple[list[float], float, list[list[float]]]:
-        """Of the rows of positive rate: expected tokens of the domains, tokens times squared rate, Gram matrix."""
-        rows = soft.select(F.col("n").cast("double").alias("n"), "p", rate(v).alias("r")).where("r > 0")
-        each = rows.select("n", "r", "p", F.posexplode_outer("p").alias("i", "x")).where("x > 0").withColumn("m", F.col("n") * F.col("x"))
-        each = each.groupBy("i").agg(F.sum(F.col("m") * F.col("r")).alias("have"), F.sum(F.col("m") * F.col("r") * F.col("r")).alias("square"), *[F.sum(F.col("m") * F.col("p")[j]).alias(f"g{j}") for j in range(size)])
-        got = {x.i: x for x in each.collect()}  # a row for each domain
-        of = lambda name, i: float(got[i][name] or 0.0) if i in got else 0.0
-        return [of("have", i) for i in range(size)], sum(of("square", i) for i in range(size)), [[of(f"g{j}", i) for j in range(size)] for i in range(size)]
+        got = moments(soft, v).first()
+        of = lambda name: float(got[name] or 0.0)
+        return [of(f"have{i}") for i in range(size)], of("square"), [[of(f"g{min(i, j)}_{max(i, j)}") for j in range(size)] for i in range(size)]
 
     v = [0.0] * size
     have, square, whole = sums(v)

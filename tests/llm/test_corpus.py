@@ -651,3 +651,17 @@ def test_repeated_rows_and_null_ids(spark):
     assert mixing.apply(df, mixed).columns == df.columns
     marks = spark.createDataFrame([(4, 1), (None, 0)], "doc_id bigint, quality int")
     assert quality.assess(spark, df, marks).count() == 5 and pii.find_spans(df).count() == 5 and bpe.digests(df).count() == 5
+
+
+def test_a_step_of_the_rates_makes_no_row_for_each_domain(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    p, n, v = rng.dirichlet(np.ones(3), 60), rng.integers(0, 50, 60), [-2.0, 0.3, 1.0]
+    made = mixing.moments(spark.createDataFrame([(int(k), x.tolist()) for k, x in zip(n, p, strict=True)], "n long, p array<double>"), v)
+    assert "Generate" not in made._jdf.queryExecution().executedPlan().toString()
+    r = np.maximum(0, 1 + p @ v)
+    on, got = r > 0, made.first()
+    assert not on.all() and np.allclose([got.have0, got.have1, got.have2], (n * r) @ p) and np.isclose(got.square, (n * r * r) @ p.sum(1))
+    gram = (p[on].T * n[on]) @ p[on]
+    assert all(np.isclose(got[f"g{i}_{j}"], gram[i, j]) for i in range(3) for j in range(i, 3))
