@@ -236,7 +236,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "doc_freq": lambda v: stats.doc_freq(v.tokens()),
     "idf": lambda v: v.idf,
     "rarest_tokens": lambda v: stats.rarest_tokens(v.tokens(), stats.doc_freq(v.tokens(), 2), 2).select("entity_id", "field", "token", "df", "pos"),
-    "block_pool": lambda v: blocking.pool_size(v.pool),
+    "block_pool": lambda v: v.pool_size,
     "block_score": lambda v: v.pool,
     "block_top_k": lambda v: v.run(CONFIG.top_k),
     "block_quota_top_k": lambda v: blocking.quota_top_k(v.with_sparse(v.pool), CONFIG.top_k, CONFIG.name_quota, CONFIG.sparse_quota),
@@ -273,7 +273,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "threshold_grid": lambda v: metrics.threshold_grid(v.s1, decide.exclusive(v.scored(CONFIG.top_k)), v.truth, GRID),
     "blocking_metrics": lambda v: metrics.blocking_metrics(v.s1, v.run(CONFIG.top_k), v.truth),
     "overlap_runs": lambda v: metrics.overlap(v.run(CONFIG.top_k), v.run(DEEP_K), v.truth, v.s1),
-    "pool_summary": lambda v: metrics.summary(blocking.pool_size(v.pool), "pool"),
+    "pool_summary": lambda v: metrics.summary(v.pool_size, "pool"),
     "error_classes": lambda v: metrics.error_classes(v.labelled, THRESHOLD).groupBy("error").agg(F.count(F.lit(1)).alias("n")),
     "missed_pairs": lambda v: metrics.missed_pairs(v.truth, v.run(CONFIG.top_k)),
     "error_breakdown": lambda v: metrics.breakdown(v.labelled, {"S2": F.col("cand_id").startswith("S2-"), "S3": F.col("cand_id").startswith("S3-"), "first": F.col("rank") == 1, "named": F.col("name_score") > 0}, ["prob", "rank"]),
