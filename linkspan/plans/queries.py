@@ -239,7 +239,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "block_pool": lambda v: v.pool_size,
     "block_score": lambda v: v.pool,
     "block_top_k": lambda v: v.run(CONFIG.top_k),
-    "block_quota_top_k": lambda v: blocking.quota_top_k(v.with_sparse(v.pool), CONFIG.top_k, CONFIG.name_quota, CONFIG.sparse_quota),
+    "block_quota_top_k": lambda v: blocking.quota_top_k(v.with_sparse(v.score(**blocking.quota_views(CONFIG, v.flags))), CONFIG.top_k, CONFIG.name_quota, CONFIG.sparse_quota),
     "rerank_exact": lambda v: blocking.reranked(blocking.shortlist(v.with_sparse(v.score(common=True, **blocking.shortlist_views(v.config, v.flags))), v.config)),
     "candidate_run": lambda v: matching.candidate_run(v.records, blocking.Config()),
     "trigram_fallback": lambda v: blocking.with_fallback(v.pool, v.s1, v.tokens(("g",)), stats.idf(stats.doc_freq(v.tokens(("g",))), stats.country_counts(v.records)), 3, v.limits.grams, 0.5),
