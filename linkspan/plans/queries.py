@@ -288,7 +288,7 @@ QUERIES: dict[str, Callable[[View], DataFrame]] = {
     "validator_findings": _validated,
     "pair_patterns": lambda v: analysis.pattern_rates(analysis.with_texts(v.run(CONFIG.top_k).select("s1_id", "cand_id"), v.records)),
     "pair_traits": lambda v: analysis.pair_traits(analysis.with_texts(v.run(CONFIG.top_k).select("s1_id", "cand_id"), v.records)),
-    "blocking_losses": lambda v: analysis.blocking_losses(v.truth, v.pool, v.run(1)).groupBy("fate").agg(F.count(F.lit(1)).alias("n")),
+    "blocking_losses": lambda v: analysis.blocking_losses(v.truth, blocking.sharing(v.truth, v.listed, v.weights.where(F.col("df") <= v.limits.max_df)), v.run(1)).groupBy("fate").agg(F.count(F.lit(1)).alias("n")),
     "adaptive_thresholds": lambda v: analysis.adaptive(v.hybrid.withColumn("rank", F.coalesce("base_rank", "deep_rank")), "first", (0.5, 0.65, 0.7)).select("s1_id", "cand_id", "origin", "prob"),
     "count_capped": lambda v: analysis.capped(decide.exclusive(v.scored(CONFIG.top_k)).where("prob >= 0.5"), v.s1.select("s1_id", (F.col("s1_row") % 5).alias("n"))).select("s1_id", "cand_id", "prob"),
     "count_filled": lambda v: analysis.filled(decide.meta_decide(v.hybrid, THRESHOLD, DEEP_THRESHOLD, "prob"), v.hybrid, v.s1.select("s1_id", (F.col("s1_row") % 5).alias("n"))).select("s1_id", "cand_id", "origin", "prob"),
