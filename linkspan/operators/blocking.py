@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from . import stats
+from ..session import settle
+from . import scoring, stats
 from .stats import rarest_tokens
 
 
@@ -155,15 +156,24 @@ def with_fallback(pool: DataFrame, s1: DataFrame, grams: DataFrame, idf: DataFra
     return pool.unionByName(more).groupBy("s1_id", "cand_id").agg(F.sum("combined").alias("combined"), F.sum("name_score").alias("name_score"))
 
 
-def candidates(records: DataFrame, tokens: DataFrame, idf: DataFrame, flags: DataFrame, config: Config) -> DataFrame:
-    """(s1_id, cand_id, combined, name_score, rank) of a split: blocking, fallback, re-rank and quota Top-K."""
-    weighted = _weighted(idf, config)
-    pool = block(tokens, weighted.where(F.col("df") <= config.max_df), flags, config.nonlatin_boost)
-    if config.fallback_below > 0:
-        pool = with_fallback(pool, records.where("source = 1").select(F.col("entity_id").alias("s1_id")), tokens, idf, config.fallback_below, config.fallback_max_df, config.fallback_weight)
-    marked = pool.join(flags.select(F.col("entity_id").alias("cand_id"), (F.col("flags") != 0).alias("sparse")), "cand_id")
-    exact = rerank(shortlist(marked, config), tokens, weighted.where(F.col("df") > config.max_df), flags, config.nonlatin_boost)
-    return quota_top_k(exact, config.top_k, config.name_quota, config.sparse_quota).drop("sparse")
+def candidates(records: DataFrame, listed: DataFrame, idf: DataFrame, flags: DataFrame, config: Config) -> DataFrame:
+    """(s1_id, cand_id, combined, name_score, rank) of a split: blocking, fallback, re-rank and quota Top-K. ``listed`` is
+    ``stats.token_texts``, settled."""
+    weighted, score = _weighted(idf, config), {"boost": config.nonlatin_boost, "max_df": config.max_df}
+    mark = lambda pool: pool.join(flags.select(F.col("entity_id").alias("cand_id"), (F.col("flags") != 0).alias("sparse")), "cand_id")
+    exact = lambda of: reranked(shortlist(mark(scoring.score(of, weighted, config.fields, common=True, **score, **shortlist_views(config, flags))), config))
+    if config.fallback_below <= 0:
+        found = exact(listed)
+    else:
+        size = scoring.score(listed, weighted, config.fields, max_df=config.max_df, count=True)
+        s1 = records.where("source = 1").select(F.col("entity_id").alias("s1_id"))
+        few = settle(s1.join(size, "s1_id", "left").where(F.coalesce("pool", F.lit(0)) < config.fallback_below).select(F.col("s1_id").alias("entity_id")))
+        own = listed.where("source <> 1").unionByName(listed.where("source = 1").join(few, "entity_id", "left_semi").select(*listed.columns))
+        tokens = stats.listed_tokens(own, tuple(dict.fromkeys([*config.fields, "g"])))
+        pool = with_fallback(scoring.score(own, weighted, config.fields, flags=flags, **score), few.withColumnRenamed("entity_id", "s1_id"), tokens, idf, config.fallback_below, config.fallback_max_df, config.fallback_weight)
+        fallen = rerank(shortlist(mark(pool), config), tokens, weighted.where(F.col("df") > config.max_df), flags, config.nonlatin_boost)
+        found = exact(listed.join(few, "entity_id", "left_anti")).unionByName(fallen)
+    return quota_top_k(found, config.top_k, config.name_quota, config.sparse_quota).drop("sparse")
 
 
 def rarest_key_block(tokens: DataFrame, df: DataFrame, idf: DataFrame, keys: dict[str, int], cap: int = 20_000, fallback_cap: int = 50_000) -> DataFrame:

@@ -35,6 +35,12 @@ def listed_tokens(listed: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     return long.select("entity_id", "source", "country", "field", F.explode(F.split("tokens", SEPARATOR)).alias("token"))
 
 
+def token_freq(listed: DataFrame, fields: tuple[str, ...]) -> DataFrame:
+    """``doc_freq`` of ``token_texts``, with the sides that have a token (in_s1, in_others)."""
+    one = F.col("source") == 1
+    return listed_tokens(listed, fields).groupBy("country", "field", "token").agg(F.count(F.lit(1)).alias("df"), F.max(one).alias("in_s1"), F.max(~one).alias("in_others"))
+
+
 def country_counts(records: DataFrame) -> DataFrame:
     return records.groupBy("country").agg(F.count(F.lit(1)).alias("n_records"))
 

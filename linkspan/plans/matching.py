@@ -17,10 +17,10 @@ from ..session import settle
 def candidate_run(records: DataFrame, config: blocking.Config) -> DataFrame:
     """Ranked candidates of every S1 record of a split."""
     fields = tuple(dict.fromkeys([*config.fields, *(("g",) if config.fallback_below > 0 else ())]))
-    tokens = stats.record_tokens(records, fields)
-    idf = stats.idf(stats.doc_freq(tokens), stats.country_counts(records))
+    listed = settle(stats.token_texts(records, fields))
+    idf = stats.idf(stats.token_freq(listed, fields), stats.country_counts(records))
     flags = records.select("entity_id", t.record_flags(F.col("business_name"), F.col("business_address")).alias("flags"))
-    return blocking.candidates(records, tokens, idf, flags, config)
+    return blocking.candidates(records, listed, idf, flags, config)
 
 
 def pairs_of(run: DataFrame) -> DataFrame:

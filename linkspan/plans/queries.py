@@ -84,8 +84,7 @@ class View:
     @cached_property
     def weights(self) -> DataFrame:
         """Weights of the tokens, with the sides that have them."""
-        tokens = stats.listed_tokens(self.listed, FIELDS)
-        df = tokens.groupBy("country", "field", "token").agg(F.count(F.lit(1)).alias("df"), F.max(F.col("source") == 1).alias("in_s1"), F.max(F.col("source") != 1).alias("in_others"))
+        df = stats.token_freq(self.listed, FIELDS)
         return blocking._weighted(stats.idf(df, stats.country_counts(self.records)), CONFIG)
 
     def score(self, **options) -> DataFrame:

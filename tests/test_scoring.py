@@ -96,3 +96,24 @@ def test_empty_tables(spark, made):
     for none in (listed.where("false"), listed.where("source = 1"), listed.where("source <> 1")):
         assert not scoring.score(none, weighted, FIELDS).count() and not scoring.score(none, weighted, FIELDS, count=True).count()
     assert not scoring.score(listed, weighted.where("false"), FIELDS).count()
+
+
+@pytest.mark.parametrize("below", [0, 40])
+def test_candidates_equal_the_joins(spark, below):
+    from linkspan.functions import text as t
+    from linkspan.plans import matching, queries
+
+    records = queries.View(spark, "/root/testdata/sf0.001").records
+    config = blocking.Config(top_k=6, max_df=15, rerank_depth=8, fallback_below=below, fallback_max_df=12)
+    fields = (*config.fields, "g")
+    tokens = stats.record_tokens(records, fields).localCheckpoint()
+    weighted = blocking._weighted(idf := stats.idf(stats.doc_freq(tokens), stats.country_counts(records)).localCheckpoint(), config)
+    flags = records.select("entity_id", t.record_flags(F.col("business_name"), F.col("business_address")).alias("flags")).localCheckpoint()
+    pool = blocking.block(tokens, weighted.where(F.col("df") <= config.max_df), flags, config.nonlatin_boost)
+    if below:
+        pool = blocking.with_fallback(pool, records.where("source = 1").select(F.col("entity_id").alias("s1_id")), tokens, idf, below, config.fallback_max_df, config.fallback_weight)
+    marked = pool.join(flags.select(F.col("entity_id").alias("cand_id"), (F.col("flags") != 0).alias("sparse")), "cand_id")
+    short = blocking.rerank(blocking.shortlist(marked, config), tokens, weighted.where(F.col("df") > config.max_df), flags, config.nonlatin_boost)
+    want = blocking.quota_top_k(short, config.top_k, config.name_quota, config.sparse_quota)
+    got = rows(matching.candidate_run(records, config), *PAIR, "rank")
+    assert got and got == rows(want, *PAIR, "rank")
