@@ -36,17 +36,19 @@ class _Layer:
     """The postings of the candidates for some of the tokens."""
 
     def __init__(self, chosen: np.ndarray, toks: np.ndarray, rows: np.ndarray, size: int, named: np.ndarray):
-        on = chosen[toks]
-        toks, rows = toks[on], rows[on]
-        self.post = rows[np.argsort(toks, kind="stable")]
+        if not chosen.all():
+            on = chosen[toks]
+            toks, rows = toks[on], rows[on]
+        self.post = rows[np.argsort(toks, kind="stable")].astype(np.int64)
         self.counts = np.bincount(toks, minlength=len(chosen))
         self.ends = np.cumsum(self.counts)
         many = np.flatnonzero((self.counts >= max(DENSE * size, 32)) & ~named)
         many = many[np.argsort(-self.counts[many], kind="stable")][:MOST_DENSE]
         self.slot = np.full(len(chosen), -1)
         self.slot[many] = np.arange(len(many))
-        self.dense = np.array([np.bincount(self._of(t), minlength=size) for t in many], dtype=float).reshape(len(many), size)
-        self.any, self.size = bool(len(toks)), size
+        self.dense, self.size = np.zeros((len(many), size)), size
+        for k, t in enumerate(many):
+            self.dense[k] = np.bincount(self._of(t), minlength=size)
 
     def _of(self, t: int) -> np.ndarray:
         return self.post[self.ends[t] - self.counts[t] : self.ends[t]]
@@ -78,10 +80,10 @@ def _side(table: pa.Table, fields: list[str], words: dict[str, pa.Array], start:
             lists = pc.split_pattern(pc.fill_null(chunk, ""), SEPARATOR)
             found = pc.index_in(lists.flatten(), value_set=words[f])
             known = found.is_valid().to_numpy(zero_copy_only=False)
-            rows.append(np.repeat(place[at : at + len(chunk)], pc.list_value_length(lists).to_numpy(zero_copy_only=False))[known])
-            toks.append(found.drop_null().to_numpy(zero_copy_only=False).astype(np.int64) + start[f])
+            rows.append(np.repeat(place[at : at + len(chunk)].astype(np.int32), pc.list_value_length(lists).to_numpy(zero_copy_only=False))[known])
+            toks.append(found.drop_null().to_numpy(zero_copy_only=False).astype(np.int32) + np.int32(start[f]))
             at += len(chunk)
-    none = np.zeros(0, np.int64)
+    none = np.zeros(0, np.int32)
     return names, np.concatenate([none, *rows]), np.concatenate([none, *toks]), place
 
 
@@ -103,7 +105,7 @@ def _scorer(fields: list[str], boosted: bool, common: bool, keep: dict[str, int]
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches))
         kinds = {k: table.filter(pc.equal(table["kind"], k)) for k in (0, 1, 2)}
-        del table
+        del table  # what is read goes as soon as its numbers are there
         if not all(t.num_rows for t in kinds.values()):
             return
         words, start, numbers, at = {}, {}, [], 0
@@ -116,11 +118,13 @@ def _scorer(fields: list[str], boosted: bool, common: bool, keep: dict[str, int]
         of = np.concatenate([np.full(len(words[f]), k) for k, f in enumerate(fields)])
         named = np.isin(of, [k for k, f in enumerate(fields) if f in NAME_FIELDS])
         sounds = np.isin(of, [k for k, f in enumerate(fields) if f in SOUND_FIELDS]) & boosted
-        s1, rows1, toks1, _ = _side(kinds[0], fields, words, start)
-        cands, rows2, toks2, place = _side(kinds[1], fields, words, start)
+        del kinds[2], own
+        s1, rows1, toks1, _ = _side(kinds.pop(0), fields, words, start)
+        marks = kinds[1]["flags"].to_numpy()
+        cands, rows2, toks2, place = _side(kinds.pop(1), fields, words, start)
         flags = np.zeros(len(cands), np.int64)
-        flags[place] = kinds[1]["flags"].to_numpy()
-        del kinds, words
+        flags[place] = marks
+        del words
         layers = [_Layer(is_common == k, toks2, rows2, len(cands), named) for k in ((0, 1) if common else (0,))]
         toks1, ends = toks1[np.argsort(rows1, kind="stable")], np.cumsum(np.bincount(rows1, minlength=len(s1)))
         rows1 = np.sort(rows1, kind="stable")
