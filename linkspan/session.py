@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
@@ -44,3 +46,23 @@ def settle(df: DataFrame) -> DataFrame:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="linkspan-"))
     return df.checkpoint()
+
+
+def settle_pressed(df: DataFrame) -> DataFrame:
+    """``settle`` for long texts: checkpoints are written as they are, so batches of rows are compressed before."""
+
+    def press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_pydict({"pressed": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+        pa.default_memory_pool().release_unused()
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.column(0):
+                yield from pa.ipc.open_stream(row.as_buffer())
+        pa.default_memory_pool().release_unused()
+
+    return settle(df.mapInArrow(press, "pressed binary")).mapInArrow(opened, df.schema)
