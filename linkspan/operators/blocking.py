@@ -101,11 +101,16 @@ def quota_top_k(scored: DataFrame, k: int, name_quota: float, sparse_quota: floa
     return df.drop("by_name", "open", "by_flag", "picked", "pos")
 
 
+def slots(config: Config) -> tuple[int, int, int]:
+    """Rows of an S1 in all, slots of the best names, slots of flagged candidates."""
+    return config.top_k, half_even(config.top_k * config.name_quota), half_even(config.top_k * config.sparse_quota) if config.sparse_quota > 0 else 0
+
+
 def quota_views(config: Config, flags: DataFrame) -> dict:
     """What ``scoring.score`` has to keep so that ``quota_top_k`` picks the same rows as from all pairs: flagged rows
     may lose as many places to names as names have slots."""
-    names, sparse = half_even(config.top_k * config.name_quota), half_even(config.top_k * config.sparse_quota) if config.sparse_quota > 0 else 0
-    return {"flags": flags, "keep": {"combined": config.top_k, "name_score": names, "flagged": names + sparse if sparse else 0}}
+    k, names, sparse = slots(config)
+    return {"flags": flags, "keep": {"combined": k, "name_score": names, "flagged": names + sparse if sparse else 0}}
 
 
 def shortlist_views(config: Config, flags: DataFrame) -> dict:
@@ -161,7 +166,7 @@ def candidates(records: DataFrame, listed: DataFrame, idf: DataFrame, flags: Dat
     ``stats.token_texts``, settled."""
     weighted, score = _weighted(idf, config), {"boost": config.nonlatin_boost, "max_df": config.max_df}
     mark = lambda pool: pool.join(flags.select(F.col("entity_id").alias("cand_id"), (F.col("flags") != 0).alias("sparse")), "cand_id")
-    exact = lambda of: reranked(shortlist(mark(scoring.score(of, weighted, config.fields, common=True, **score, **shortlist_views(config, flags))), config))
+    exact = lambda of: reranked(shortlist(scoring.score(of, weighted, config.fields, common=True, sparse=True, quota=slots(config), **score, **shortlist_views(config, flags)), config))
     if config.fallback_below <= 0:
         found = exact(listed)
     else:

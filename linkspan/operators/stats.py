@@ -22,10 +22,12 @@ def record_tokens(records: DataFrame, fields: tuple[str, ...] = ("n", "p", "pb",
     return long.select("entity_id", "source", "source_row", "country", "field", F.explode("tokens").alias("token"))
 
 
-def token_texts(records: DataFrame, fields: tuple[str, ...]) -> DataFrame:
-    """(entity_id, source, country, t_<field>): a record's distinct tokens of each field as one text, a row for each record."""
+def token_texts(records: DataFrame, fields: tuple[str, ...], flags: bool = False) -> DataFrame:
+    """(entity_id, source, country, t_<field>): a record's distinct tokens of each field as one text, a row for each record. With
+    its flags, if asked."""
     made = t.record_features(F.col("business_name"), F.col("business_address"))
-    return records.select("entity_id", "source", "country", *[F.array_join(made[f], SEPARATOR).alias(f"t_{f}") for f in fields])
+    marks = [t.record_flags(F.col("business_name"), F.col("business_address")).alias("flags")] if flags else []
+    return records.select("entity_id", "source", "country", *marks, *[F.array_join(made[f], SEPARATOR).alias(f"t_{f}") for f in fields])
 
 
 def listed_tokens(listed: DataFrame, fields: tuple[str, ...]) -> DataFrame:

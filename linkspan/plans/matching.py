@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions import text as t
 from ..operators import blocking, decide, features, learn, metrics, stats
-from ..session import settle
+from ..session import settle, settle_pressed
 
 
 def candidate_run(records: DataFrame, config: blocking.Config) -> DataFrame:
     """Ranked candidates of every S1 record of a split."""
     fields = tuple(dict.fromkeys([*config.fields, *(("g",) if config.fallback_below > 0 else ())]))
-    listed = settle(stats.token_texts(records, fields))
+    listed = settle_pressed(stats.token_texts(records, fields, flags=True))
     idf = stats.idf(stats.token_freq(listed, fields), stats.country_counts(records))
     flags = records.select("entity_id", t.record_flags(F.col("business_name"), F.col("business_address")).alias("flags"))
     return blocking.candidates(records, listed, idf, flags, config)

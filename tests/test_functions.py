@@ -137,3 +137,9 @@ def test_string_metrics_of_long_texts_end_soon():
     start = time.time()
     assert 0.4 < sim.partial_ratio(a, b) < 1 and 0.4 < sim.jaro_winkler(a, b) < 1
     assert time.time() - start < 30
+
+
+def test_silent_keys_are_those_of_the_stop_words(spark):
+    """Before, they were worked out anew for each key of each record."""
+    made = spark.range(1).select(F.transform(F.lit([w for w in t.NAME_STOPWORDS if w.isascii()]), t.phonetic)).first()[0]
+    assert set(t.SILENT_KEYS) == {k for k in [*made, *t.PHONETIC_EXTRA_STOPWORDS] if len(k) >= 2}
